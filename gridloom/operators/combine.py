@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from gridloom.functions.ordered import over_blocks, running_total, whole_first
 from gridloom.functions.text import parent_folder
 
 
@@ -63,10 +63,15 @@ def union_same_key(tables: DataFrame, keys: Sequence[str] = ("key",)) -> DataFra
     being the 0-based place among the later tables. ``out_place`` orders the
     outputs of a key: separate ones first, the union last.
     """
-    *scope, key = keys
-    same = Window.partitionBy(*keys).orderBy("table_id")  # one row per table
-    numbered = tables.withColumns(
-        {"__first": F.first("n_cols").over(same), "__at": F.row_number().over(same) - 1}
+    key = keys[-1]
+    numbered = over_blocks(
+        tables,
+        keys,
+        "table_id",
+        {
+            "__first": whole_first(F.col("n_cols"), "table_id"),
+            "__at": running_total(F.lit(1).cast("long"), inclusive=False),
+        },
     )
     joins = F.col("n_cols") == F.col("__first")
     output = F.when(joins, F.col(key)).otherwise(F.concat_ws("_", F.col(key), (F.col("__at") - 1).cast("string")))
@@ -82,9 +87,8 @@ def route_outputs(tables: DataFrame, path: str = "source", marker: str = "NSDUHD
     group = F.when(F.col(path).contains(marker), "NSDUHDetTabsSect").otherwise("NSDUHDetTabsApp")
     grouped = tables.withColumn("output_group", group)
     empty = F.trim("key") == ""
-    count = F.sum(F.when(empty, 1)).over(
-        Window.partitionBy("folder", "output_group").orderBy("table_id").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return grouped.withColumn(
-        "table_name", F.when(empty, F.concat(F.lit("index_"), count.cast("string"))).otherwise(F.col("key"))
+    counted = over_blocks(
+        grouped, ["folder", "output_group"], "table_id", {"__index": running_total(empty.cast("int"))}
     )
+    numbered = F.concat(F.lit("index_"), F.col("__index").cast("string"))
+    return counted.withColumn("table_name", F.when(empty, numbered).otherwise(F.col("key"))).drop("__index")

@@ -679,3 +679,9 @@ def soi_header_rows(rows: DataFrame, depths: DataFrame) -> DataFrame:
 def whole_first_at(condition: Column):
     """``vals`` of the one row of a sheet that meets ``condition``."""
     return whole_first(F.when(condition, F.col("vals")), "position")
+
+
+def first_row_names(rows: DataFrame) -> DataFrame:
+    """``names(source, sheet, col_idx, raw)`` from the first row of every sheet."""
+    first = rows.groupBy(*SHEET).agg(F.min_by("vals", "row_idx").alias("vals"))
+    return first.select(*SHEET, F.posexplode("vals").alias("col_idx", "raw"))
