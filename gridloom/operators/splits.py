@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import cache, reduce
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +30,7 @@ ROWS_OF_A_TABLE = 10
 
 
 def _events(rows: DataFrame) -> DataFrame:
-    """What every row does to the split, as five flags."""
+    """What every row does to the split: five flags in one number."""
     vals = F.col("vals")
     n = n_cells(vals)
     seen = over_blocks(
@@ -40,14 +44,15 @@ def _events(rows: DataFrame) -> DataFrame:
     lone_off_column = (n == 1) & cell(vals, 0).isNull()
     sparse = ((F.floor(F.size(vals) / 2) > n) & (n != 1)) | lone_off_column
     heading = F.when(n == 1, after > 1).otherwise(letters > 1)
-    flags = {
-        "__blank": n == 0,
-        "__gap": (n == 0) & (after > 1) & (F.coalesce("__next_nulls", F.lit(0)) > 2),
-        "__title": F.coalesce(strip(first_value(vals)).startswith("Table"), F.lit(False)),
-        "__sparse": (n > 0) & sparse & heading,
-        "__full": n > 1,
-    }
-    return seen.withColumns(flags).drop("__next_n", "__next_nulls")
+    flags = [
+        n == 0,
+        (n == 0) & (after > 1) & (F.coalesce("__next_nulls", F.lit(0)) > 2),
+        F.coalesce(strip(first_value(vals)).startswith("Table"), F.lit(False)),
+        (n > 0) & sparse & heading,
+        n > 1,
+    ]
+    code = reduce(lambda x, y: x + y, [F.when(f, 1 << i).otherwise(0) for i, f in enumerate(flags)])
+    return seen.select(*SHEET, "row_idx", code.cast("int").alias("__code"), (n == 0).alias("__blank"))
 
 
 def _step(state: tuple[bool, int], blank: bool, gap: bool, title: bool, sparse: bool, full: bool):
@@ -72,82 +77,108 @@ def _step(state: tuple[bool, int], blank: bool, gap: bool, title: bool, sparse:
 
 
 _STATES = [(h, p) for h in (False, True) for p in range(ROWS_OF_A_TABLE + 2)]
-_FLAGS = ["__blank", "__gap", "__title", "__sparse", "__full"]
 
 
-def _moves() -> dict[tuple[bool, ...], list[tuple[int, bool]]]:
-    """For every combination of flags: next state and table start, per state."""
+@cache
+def _moves() -> list[list[tuple[int, bool]]]:
+    """For every code of a row: next state and table start, per state."""
     index = {s: i for i, s in enumerate(_STATES)}
-    moves = {}
-    for bits in range(1 << len(_FLAGS)):
-        flags = tuple(bool(bits >> i & 1) for i in range(len(_FLAGS)))
-        row = []
-        for state in _STATES:
-            header, pending, starts = _step(state, *flags)
-            row.append((index[(header, pending)], starts))
-        moves[flags] = row
+    moves = []
+    for code in range(1 << 5):
+        steps = [_step(state, *(bool(code >> i & 1) for i in range(5))) for state in _STATES]
+        moves.append([(index[(header, pending)], starts) for header, pending, starts in steps])
     return moves
 
 
+def _block_changes(pdf: pd.DataFrame, last: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Where a new ``(source, sheet, block)`` begins, given the last one of the batch before."""
+    changes = np.zeros(len(pdf), dtype=bool)
+    for name in _BLOCK_KEYS:
+        column = pdf[name].to_numpy()
+        changes[1:] |= column[1:] != column[:-1]
+    first = tuple(pdf[_BLOCK_KEYS].iloc[0])
+    changes[0] = first != last
+    return changes, tuple(pdf[_BLOCK_KEYS].iloc[-1])
+
+
+_BLOCK_KEYS = [*SHEET, "__block"]
+
+
+def _block_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """End state of every block for each start state, over rows sorted by block."""
+    moves, last, state = _moves(), None, []
+    for pdf in batches:
+        changes, key = _block_changes(pdf, last)
+        done, keys = [], pdf[_BLOCK_KEYS].itertuples(index=False, name=None)
+        for code, new, at in zip(pdf["__code"].tolist(), changes.tolist(), keys):
+            if new:
+                if last is not None:
+                    done.append((*last, state))
+                state, last = list(range(len(_STATES))), at
+            row = moves[code]
+            state = [row[s][0] for s in state]
+        last = key
+        if done:
+            yield pd.DataFrame(done, columns=[*_BLOCK_KEYS, "ends"])
+    if last is not None:
+        yield pd.DataFrame([(*last, state)], columns=[*_BLOCK_KEYS, "ends"])
+
+
+def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Start states of the blocks of one sheet, from one row per block."""
+    pdf = pdf.sort_values("__block")
+    state, starts = 0, []
+    for ends in pdf["ends"]:
+        starts.append(state)
+        state = int(ends[state])
+    return pdf[_BLOCK_KEYS].assign(start=starts)
+
+
+def _mark_starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    moves, last, state = _moves(), None, 0
+    for pdf in batches:
+        changes, last = _block_changes(pdf, last)
+        marks = []
+        for code, new, start in zip(pdf["__code"].tolist(), changes.tolist(), pdf["start"].tolist()):
+            state, first = moves[code][start if new else state]
+            marks.append(first)
+        out = pdf[[*SHEET, "row_idx"]].assign(starts=marks)
+        yield out[~pdf["__blank"].to_numpy(dtype=bool)]
+
+
 def split_tables_down(rows: DataFrame) -> DataFrame:
     """Number the tables of a sheet; blank rows go.
 
     Whether a row opens a table depends on how many rows the pending table
     has, which the rule itself resets. That state is small (header seen or
     not, 0 to 11 rows), so a block of rows is a function from state to state.
-    Three steps, none of which holds a whole sheet:
+    Three steps, each streaming over blocks; none holds a whole sheet:
 
-    1. per block: the end state for every possible start state;
-    2. per sheet, over one row per block: chain these to get the start states;
+    1. per block of the sheets with several: end state for every start state;
+    2. per such sheet, over one row per block: chain these to start states;
     3. per block: run through the rows from the known start state.
     """
     size = block_rows(rows.sparkSession)
     events = _events(rows).withColumn("__block", F.floor(F.col("row_idx") / F.lit(size)).cast("long"))
-    keys = [*SHEET, "__block"]
-    n_states = len(_STATES)
-
-    def ends(pdf: pd.DataFrame) -> pd.DataFrame:
-        moves = _moves()
-        state = list(range(n_states))
-        for flags in pdf.sort_values("row_idx")[_FLAGS].itertuples(index=False, name=None):
-            row = moves[tuple(map(bool, flags))]
-            state = [row[s][0] for s in state]
-        first = pdf.iloc[0]
-        return pd.DataFrame(
-            {"source": [first["source"]], "sheet": [first["sheet"]], "__block": [first["__block"]], "ends": [state]}
-        )
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__block")
-        state, start = 0, []
-        for block_ends in pdf["ends"]:
-            start.append(state)
-            state = int(block_ends[state])
-        return pdf[keys].assign(start=start)
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        moves = _moves()
-        pdf = pdf.sort_values("row_idx")
-        state, starts = int(pdf["start"].iloc[0]), []
-        for flags in pdf[_FLAGS].itertuples(index=False, name=None):
-            state, first = moves[tuple(map(bool, flags))][state]
-            starts.append(first)
-        return pdf[[*SHEET, "row_idx"]].assign(starts=starts)[~pdf["__blank"].astype(bool)]
-
-    narrow = events.select(*keys, "row_idx", *_FLAGS)
-    block_ends = narrow.groupBy(*keys).applyInPandas(
-        ends, "source string, sheet string, __block long, ends array<int>"
+    long_sheets = (
+        events.groupBy(*SHEET)
+        .agg(F.min("__block").alias("lo"), F.max("__block").alias("hi"))
+        .filter("lo < hi")
+        .select(*SHEET)
+    )
+    by_block = lambda df: df.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "row_idx")
+    ends = by_block(events.join(long_sheets, SHEET, "left_semi")).mapInPandas(
+        _block_ends, "source string, sheet string, __block long, ends array<int>"
     )
-    block_starts = block_ends.groupBy(*SHEET).applyInPandas(
-        chain, "source string, sheet string, __block long, start int"
+    block_starts = ends.groupBy(*SHEET).applyInPandas(
+        _chain, "source string, sheet string, __block long, start int"
     )
-    starts = (
-        narrow.join(block_starts, keys)
-        .groupBy(*keys)
-        .applyInPandas(mark, "source string, sheet string, row_idx long, starts boolean")
+    started = events.join(block_starts, _BLOCK_KEYS, "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    marked = by_block(started).mapInPandas(
+        _mark_starts, "source string, sheet string, row_idx long, starts boolean"
     )
     numbered = over_blocks(
-        starts, SHEET, "row_idx", {"table_id": running_total(F.col("starts").cast("int"))}
+        marked, SHEET, "row_idx", {"table_id": running_total(F.col("starts").cast("int"))}
     ).select(*SHEET, "row_idx", (F.col("table_id") - 1).alias("table_id"))
     return rows.join(numbered, [*SHEET, "row_idx"])
 

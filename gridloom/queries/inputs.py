@@ -55,12 +55,28 @@ DOC_LINES = """doc_lines AS (
 
 
 def doc_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as rows, sentences as cells: some cells empty, first cells indented."""
-    cell = lambda x, i: (
-        F.when(F.length(x) % 5 == 0, F.lit(None).cast("string"))
-        .when(i == 0, F.concat(F.repeat(F.lit(" "), F.length(F.split(x, " ")[0]) % 4), x))
-        .otherwise(x)
-    )
+    """Lines as rows, sentences as cells.
+
+    By their length some cells become empty, headings with a colon, file
+    names, numbers, notes or single words; first cells are indented.
+    """
+
+    def cell(x: Column, i: Column) -> Column:
+        n = F.length(x)
+        kind = (
+            F.when(n % 5 == 0, F.lit(None).cast("string"))
+            .when(n % 11 == 0, F.concat(x, F.lit(":")))
+            .when(n % 13 == 0, F.concat(x, F.lit(".pdf")))
+            .when(n % 17 == 0, F.concat(F.lit("Table "), x))
+            .when(n % 19 == 0, F.concat(F.lit("* "), x))
+            .when(n % 23 == 0, n.cast("string"))
+            .when(n % 29 == 0, F.concat(F.lit("Effective "), x))
+            .when(n % 31 == 0, F.split(x, " ")[0])
+            .otherwise(x)
+        )
+        indent = F.repeat(F.lit(" "), F.length(F.split(x, " ")[0]) % 4)
+        return F.when(i == 0, F.concat(indent, kind)).otherwise(kind)
+
     lines = doc_lines(spark, sf_dir)
     return lines.select(
         "source", "sheet", "row_idx", F.transform(F.split("value", r"\. "), cell).alias("vals")
@@ -72,8 +88,15 @@ DOC_GRID = (
     + """, doc_grid AS (
   SELECT source, sheet, row_idx,
          list_transform(string_split(value, '. '), lambda x, i:
+           CASE WHEN i = 1 THEN repeat(' ', length(string_split(x, ' ')[1]) % 4) ELSE '' END ||
            CASE WHEN length(x) % 5 = 0 THEN NULL
-                WHEN i = 1 THEN repeat(' ', length(string_split(x, ' ')[1]) % 4) || x
+                WHEN length(x) % 11 = 0 THEN x || ':'
+                WHEN length(x) % 13 = 0 THEN x || '.pdf'
+                WHEN length(x) % 17 = 0 THEN 'Table ' || x
+                WHEN length(x) % 19 = 0 THEN '* ' || x
+                WHEN length(x) % 23 = 0 THEN CAST(length(x) AS VARCHAR)
+                WHEN length(x) % 29 = 0 THEN 'Effective ' || x
+                WHEN length(x) % 31 = 0 THEN string_split(x, ' ')[1]
                 ELSE x END) AS vals
   FROM doc_lines),
 rowfacts AS (
