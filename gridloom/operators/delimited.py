@@ -161,8 +161,10 @@ def retry_parse(tab_rows: DataFrame) -> DataFrame:
     seen = with_head(tab_rows)
     header, one, two = _at(0), _at(1), _at(2)
     clean = lambda v: F.filter(F.transform(v, clean_name_text), lambda n: n.isNotNull())
-    numbered = lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("col_"), i.cast("string"))
+    # NULL where the file has no second line: such a file has no names and goes to the quarantine.
+    numbered = lambda n: F.when(
+        n >= 1,
+        F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("col_"), i.cast("string"))),
     )
     names = clean(header)
     # A heading whose last name opens with "_" had nothing but marks there.

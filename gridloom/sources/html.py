@@ -37,6 +37,7 @@ class _Tables(HTMLParser):
         self.part = "tbody"
         self.row = -1
         self.first_of_row = 0
+        self.row_class: str | None = None
         self.current: list | None = None
 
     def handle_starttag(self, tag, attrs):
@@ -55,18 +56,20 @@ class _Tables(HTMLParser):
             return
         elif tag == "tr":
             self.row, self.first_of_row, self.current = self.row + 1, len(self.cells), None
+            self.row_class = None
         elif tag in ("td", "th"):
             self._start(tag, len(self.cells) - self.first_of_row, self.part, attrs)
-            if tag == "th":
-                name = (attrs.get("class") or "").split()
+            if tag == "th" and self.row_class is None:
+                # The first heading cell speaks for the whole row.
+                self.row_class = next(iter((attrs.get("class") or "").split()), "")
                 for cell in self.cells[self.first_of_row:]:
-                    if cell[8] is None:
-                        cell[8] = name[0] if name else ""
+                    cell[8] = self.row_class
 
     def _start(self, tag, place, part, attrs):
         row = self.row if part in ("thead", "tbody") else 0
         self.current = [
-            self.table, part, row, place, tag, "", _span(attrs.get("rowspan")), _span(attrs.get("colspan")), None,
+            self.table, part, row, place, tag, "", _span(attrs.get("rowspan")), _span(attrs.get("colspan")),
+            self.row_class if part in ("thead", "tbody") else None,
         ]
         self.cells.append(self.current)
 
