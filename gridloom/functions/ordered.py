@@ -98,8 +98,6 @@ class Whole:
 
     def carry(self, summary: str, across: WindowSpec) -> Column:
         everything = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        if self.merge == "gather":
-            return F.flatten(F.collect_list(summary).over(everything))
         if self.merge == "first":
             return F.first(summary, ignorenulls=True).over(everything)
         if self.merge == "last":
@@ -117,21 +115,20 @@ class Neighbour:
     value: Column
     forward: bool
 
-    def _seen(self) -> Seen:
-        # A struct is never NULL, so the nearest struct is the adjacent row.
-        return Seen(F.struct(self.value.alias("v")), inclusive=False, forward=self.forward)
-
     def local(self, inside: Window, order: str) -> Column:
-        return self._seen().local(inside, order)
+        # A struct tells a neighbour without a value from no neighbour in the block.
+        shift = F.lag if self.forward else F.lead
+        return shift(F.struct(self.value.alias("v"))).over(inside)
 
     def summary(self, order: str) -> Column:
-        return self._seen().summary(order)
+        return (F.max_by if self.forward else F.min_by)(self.value, order)
 
     def carry(self, summary: str, across: WindowSpec) -> Column:
-        return self._seen().carry(summary, across)
+        # Every block has a row, so the adjacent block holds the neighbour.
+        return (F.lag if self.forward else F.lead)(summary).over(across)
 
     def result(self, local: Column, carried: Column) -> Column:
-        return F.coalesce(local, carried)["v"]
+        return F.when(local.isNotNull(), local["v"]).otherwise(carried)
 
 
 def last_seen(value: Column, inclusive: bool = True) -> Seen:
@@ -176,10 +173,30 @@ def whole_last(value: Column, order: str) -> Whole:
     return Whole(F.max_by(value, F.when(value.isNotNull(), F.col(order))), "last")
 
 
-def whole_head(value: Column, order: str, n: int) -> Whole:
-    """The values of the rows with order below ``n``, as an array of at most ``n``."""
-    kept = F.when(F.col(order) < n, F.struct(F.col(order).alias("at"), value.alias("v")))
-    return Whole(F.collect_list(kept), "gather")
+def with_blocks(df: DataFrame, order: str, rows_per_block: int | None = None) -> DataFrame:
+    """Add the block column, so that several calls share one shuffle.
+
+    ``over_blocks`` keeps a block column it finds; drop it with ``no_blocks``.
+    """
+    if _BLOCK in df.columns:
+        return df
+    size = rows_per_block or block_rows(df.sparkSession)
+    return df.withColumn(_BLOCK, F.floor(F.col(order) / F.lit(size)).cast("long"))
+
+
+def no_blocks(df: DataFrame) -> DataFrame:
+    return df.drop(_BLOCK)
+
+
+def join_facts(blocked: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Facts per key beside every row, joined on ``(keys, block)``.
+
+    A join on the keys alone would send all rows of a large key to one task.
+    The facts are first spread over the blocks of their key, of which there
+    are few, and then meet rows that are partitioned by block already.
+    """
+    blocks = blocked.select(*keys, _BLOCK).distinct()
+    return blocked.join(blocks.join(facts, list(keys)), [*keys, _BLOCK])
 
 
 def over_blocks(
@@ -190,9 +207,8 @@ def over_blocks(
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``outputs``; see the module text."""
-    size = rows_per_block or block_rows(df.sparkSession)
     group = [*keys, _BLOCK]
-    blocked = df.withColumn(_BLOCK, F.floor(F.col(order) / F.lit(size)).cast("long"))
+    blocked = with_blocks(df, order, rows_per_block)
     inside = Window.partitionBy(*group).orderBy(order)
     across = Window.partitionBy(*keys).orderBy(_BLOCK)
 

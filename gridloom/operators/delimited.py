@@ -2,7 +2,7 @@
 
 Rows come as ``rows(source, sheet, row_idx, vals)`` from ``delimited_layout``.
 All decisions about a file look at its first lines only; these travel beside
-the rows as one small array (``whole_head``), so no file is ever gathered.
+the rows as one decision per file (``join_facts``), so no file is ever gathered.
 """
 
 from __future__ import annotations
@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.ordered import dense_position, over_blocks, whole_head, whole_min, whole_sum
+from gridloom.functions.ordered import (
+    dense_position,
+    join_facts,
+    no_blocks,
+    over_blocks,
+    whole_min,
+    with_blocks,
+)
 from gridloom.functions.text import clean_name_text, is_digits, strip
 from gridloom.operators.grid import ROW, SHEET, cell
 
@@ -40,38 +47,31 @@ def drop_last(vals: Column) -> Column:
     return F.slice(vals, F.lit(1), F.greatest(F.size(vals) - 1, F.lit(0)))
 
 
-def with_head(rows: DataFrame) -> DataFrame:
-    """Adds ``position``, ``head`` (first rows, in order) and ``n_rows`` of the file."""
-    placed = dense_position(rows, SHEET, "row_idx")
-    seen = over_blocks(
-        placed,
-        SHEET,
-        "position",
-        {"__head": whole_head(F.col("vals"), "position", HEAD_LINES), "n_rows": whole_sum(F.lit(1))},
-    )
-    return seen.withColumn("head", F.transform(F.array_sort("__head"), lambda h: h["v"])).drop("__head")
+def file_heads(placed: DataFrame) -> DataFrame:
+    """``head`` (the first rows, in order) and ``n_rows`` per file; needs ``position``.
+
+    The partial aggregate keeps at most ``HEAD_LINES`` rows of a file.
+    """
+    early = F.when(F.col("position") < HEAD_LINES, F.struct("position", "vals"))
+    heads = placed.groupBy(*SHEET).agg(F.collect_list(early).alias("head"), F.count(F.lit(1)).alias("n_rows"))
+    return heads.withColumn("head", F.transform(F.array_sort("head"), lambda h: h["vals"]))
 
 
 def _at(i: int) -> Column:
     return F.try_element_at("head", F.lit(i + 1))
 
 
-def sniff_table(rows: DataFrame) -> DataFrame:
-    """Settle heading and width of every file.
+def _placed(rows: DataFrame) -> DataFrame:
+    return dense_position(with_blocks(rows, "row_idx"), SHEET, "row_idx")
 
-    Adds ``mode``, ``header`` (raw names) and sets ``vals`` of the data rows;
-    ``position`` tells data rows from the heading: only rows after
-    ``header_end`` are data. Modes: ``header_only`` (one line), ``ruler`` (a
-    line of dashes under the heading), ``plain``, ``trim`` (rows end in an
-    empty field), ``unnamed`` (columns without a name in the second line) and
-    ``bad`` (none fits; the rows go to the quarantine).
-    """
-    seen = with_head(rows)
+
+def _file_layout(heads: DataFrame) -> DataFrame:
+    """Mode, heading and what to do with the rows: one decision per file."""
     header, one, two = _at(0), _at(1), _at(2)
     is_ruler = lambda v: F.coalesce(cell(v, 0).rlike(RULER), F.lit(False))
     window = F.slice("head", 1, RULER_LINES)
     ruler = F.array_position(F.transform(window, is_ruler), True).cast("int") - 1
-    seen = seen.withColumn("__ruler", F.when((F.size(header) <= 2) & (ruler >= 1), ruler))
+    seen = heads.withColumn("__ruler", F.when((F.size(header) <= 2) & (ruler >= 1), ruler))
     above = F.try_element_at("head", F.col("__ruler"))
     below = F.try_element_at("head", F.col("__ruler") + 2)
     words = F.split(F.regexp_replace(strip(cell(above, 0)), r"\s+", " "), " ")
@@ -81,30 +81,47 @@ def sniff_table(rows: DataFrame) -> DataFrame:
     ends_empty = F.coalesce(cell(one, -1) == "", F.lit(False))
     cut = lambda v: F.when(ends_empty, drop_last(v)).otherwise(v)
     one_cut, two_cut = cut(one), cut(two)
-    named = F.size(F.filter(one_cut, lambda v: strip(v) != ""))
+    # Columns whose cell in the second line is empty have no name and go.
+    named = F.transform(one_cut, lambda v: strip(v) != "")
+    n_named = F.size(F.filter(named, lambda v: v))
     narrow = F.size(header) < F.size(one)
     mode = (
         F.when(F.col("n_rows") == 1, "header_only")
         .when(use_ruler, "ruler")
         .when(~narrow, "plain")
         .when(F.size(header) == F.size(one_cut), "trim")
-        .when((F.size(one_cut) == F.size(two_cut)) & (F.size(header) == named), "unnamed")
+        .when((F.size(one_cut) == F.size(two_cut)) & (F.size(header) == n_named), "unnamed")
         .otherwise("bad")
     )
-    # Columns whose cell in the second line is empty have no name and go.
-    keep = F.transform(one_cut, lambda v: strip(v) != "")
-    named_cells = lambda v: F.filter(v, lambda x, i: F.coalesce(F.try_element_at(keep, i + 1), F.lit(False)))
-    out = seen.withColumns(
-        {
-            "mode": mode,
-            "header": F.when(mode == "ruler", ruled).otherwise(header),
-            "header_end": F.when(mode == "ruler", F.col("__ruler")).otherwise(0),
-            "vals": F.when(mode == "trim", cut(F.col("vals")))
-            .when(mode == "unnamed", named_cells(cut(F.col("vals"))))
-            .otherwise(F.col("vals")),
-        }
+    return seen.select(
+        *SHEET,
+        "n_rows",
+        mode.alias("mode"),
+        F.when(mode == "ruler", ruled).otherwise(header).alias("header"),
+        F.when(mode == "ruler", F.col("__ruler")).otherwise(0).alias("header_end"),
+        ends_empty.alias("__cut"),
+        named.alias("__named"),
     )
-    return out.drop("head", "__ruler")
+
+
+def sniff_table(rows: DataFrame) -> DataFrame:
+    """Settle heading and width of every file.
+
+    Adds ``mode``, ``header`` (raw names) and sets ``vals`` of the data rows;
+    ``position`` tells data rows from the heading: only rows after
+    ``header_end`` are data. Modes: ``header_only`` (one line), ``ruler`` (a
+    line of dashes under the heading), ``plain``, ``trim`` (rows end in an
+    empty field), ``unnamed`` (columns without a name in the second line) and
+    ``bad`` (none fits; the rows go to the quarantine).
+    """
+    placed = _placed(rows)
+    seen = join_facts(placed, _file_layout(file_heads(placed)), SHEET)
+    cut = F.when(F.col("__cut"), drop_last(F.col("vals"))).otherwise(F.col("vals"))
+    named_cells = F.filter(cut, lambda x, i: F.coalesce(F.try_element_at("__named", i + 1), F.lit(False)))
+    vals = (
+        F.when(F.col("mode") == "trim", cut).when(F.col("mode") == "unnamed", named_cells).otherwise(F.col("vals"))
+    )
+    return no_blocks(seen.withColumn("vals", vals)).drop("__cut", "__named")
 
 
 def ruler_header(rows: DataFrame) -> DataFrame:
@@ -158,39 +175,54 @@ def retry_parse(tab_rows: DataFrame) -> DataFrame:
     heading, padded with blanks, stays as a row. Output: ``names`` and data
     rows ``vals``; ``fits`` is false for rows of another width.
     """
-    seen = with_head(tab_rows)
+    placed = _placed(tab_rows)
+    seen = join_facts(placed, _retry_layout(file_heads(placed)), SHEET)
+    padding = F.array_repeat(F.lit(" "), F.greatest(F.col("__width") - F.size("vals"), F.lit(0)))
+    heading = F.when(F.col("position") == 0, F.concat("vals", padding)).otherwise(F.col("vals"))
+    vals = (
+        F.when(F.col("route") == "fit", _fit(F.col("vals"), F.col("__named")))
+        .when(F.col("route") == "trim", _chop(F.col("vals")))
+        .otherwise(heading)
+    )
+    kept = seen.filter((F.col("position") > 0) | F.col("__stays")).withColumn("vals", vals)
+    return kept.select(*ROW, "route", "names", "vals", (F.size("vals") == F.size("names")).alias("fits"))
+
+
+def _chop(vals: Column) -> Column:
+    return F.when(cell(vals, -1) == "", drop_last(vals)).otherwise(vals)
+
+
+def _retry_layout(heads: DataFrame) -> DataFrame:
+    """Route and names of the second attempt: one decision per file."""
     header, one, two = _at(0), _at(1), _at(2)
-    clean = lambda v: F.filter(F.transform(v, clean_name_text), lambda n: n.isNotNull())
+    clean = F.filter(F.transform(header, clean_name_text), lambda n: n.isNotNull())
+    trimmed = F.transform(_chop(header), lambda v: F.regexp_replace(strip(v), "[^A-Za-z0-9]+", "_"))
+    seen = heads.withColumns({"__clean": clean, "__one": one, "__trimmed": trimmed, "__two": two})
+    names = F.col("__clean")
     # NULL where the file has no second line: such a file has no names and goes to the quarantine.
     numbered = lambda n: F.when(
         n >= 1,
         F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("col_"), i.cast("string"))),
     )
-    names = clean(header)
     # A heading whose last name opens with "_" had nothing but marks there.
-    odd = F.try_element_at(names, F.lit(-1)).startswith("_") | (F.size(one) != F.size(names))
-    odd = F.coalesce(odd, F.lit(False))
-    trailing = F.coalesce(cell(two, -1) == "", F.lit(False))
-    route = F.when(~odd, "fit").when(trailing, "trim").otherwise("pad")
-    chop = lambda v: F.when(cell(v, -1) == "", drop_last(v)).otherwise(v)
-    trimmed = F.transform(chop(header), lambda v: F.regexp_replace(strip(v), "[^A-Za-z0-9]+", "_"))
-    base = F.when(route == "fit", names).when(route == "trim", trimmed)
+    odd = F.try_element_at(names, F.lit(-1)).startswith("_") | (F.size("__one") != F.size(names))
+    trailing = F.coalesce(cell(F.col("__two"), -1) == "", F.lit(False))
+    route = F.when(~F.coalesce(odd, F.lit(False)), "fit").when(trailing, "trim").otherwise("pad")
+    seen = seen.withColumn("route", route)
+    base = F.when(F.col("route") == "fit", names).when(F.col("route") == "trim", F.col("__trimmed"))
     numeric = F.coalesce(F.exists(base, is_digits), F.lit(False))
     final = (
-        F.when(route == "pad", numbered(F.size(one)))
+        F.when(F.col("route") == "pad", numbered(F.size("__one")))
         .when(numeric, numbered(F.size(base)))
         .otherwise(base)
     )
-    pad = F.concat(F.col("vals"), F.array_repeat(F.lit(" "), F.greatest(F.size(one) - F.size("vals"), F.lit(0))))
-    vals = (
-        F.when(route == "fit", _fit(F.col("vals"), F.size(names)))
-        .when(route == "trim", chop(F.col("vals")))
-        .otherwise(F.when(F.col("position") == 0, pad).otherwise(F.col("vals")))
-    )
-    heading_stays = (route == "pad") | numeric
-    out = seen.withColumns({"route": route, "names": final, "vals": vals, "__stays": heading_stays})
-    return out.filter((F.col("position") > 0) | F.col("__stays")).select(
-        *ROW, "route", "names", "vals", (F.size("vals") == F.size("names")).alias("fits")
+    return seen.select(
+        *SHEET,
+        "route",
+        final.alias("names"),
+        F.size(names).alias("__named"),
+        F.size("__one").alias("__width"),
+        ((F.col("route") == "pad") | numeric).alias("__stays"),
     )
 
 

@@ -16,9 +16,11 @@ from gridloom.functions.ordered import (
     following,
     last_seen,
     next_seen,
+    no_blocks,
     over_blocks,
     running_total,
     whole_sum,
+    with_blocks,
 )
 from gridloom.functions.text import is_alpha, starts_with_letter, strip
 from gridloom.operators.grid import COLUMN, SHEET, cell, column_profile, first_value, n_cells, n_nulls, non_null
@@ -255,7 +257,7 @@ def section_extract(
         & ~has(NEVER_CLOSING_STARTS, lambda v, w: v.startswith(w))
         & ~has(NEVER_CLOSING_WORDS, lambda v, w: v.contains(w))
     )
-    marked = lines.withColumns({"__closes": closes, "__title": has(list(titles), lambda v, w: v.contains(w))})
+    marked = with_blocks(lines, order).withColumns({"__closes": closes, "__title": has(list(titles), lambda v, w: v.contains(w))})
     event = F.when(F.col("__title"), "open").when(F.col("__closes"), "closed")
     states = over_blocks(
         marked,
@@ -280,6 +282,7 @@ def section_extract(
     if not flush_last:
         rows = rows.filter(F.col("__later").isNotNull())
     heading = F.col("__heading")
+    rows = no_blocks(rows)
     names = F.create_map(*[F.lit(x) for pair in titles.items() for x in pair])
     tokens = F.filter(F.split(value, r"\s+"), lambda t: t != "")
     parts = F.split(value, " ", 2)

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from gridloom.functions.ordered import (
     last_seen,
+    no_blocks,
     over_blocks,
     previous,
     running_total,
@@ -24,6 +25,7 @@ from gridloom.functions.ordered import (
     whole_max,
     whole_min,
     whole_sum,
+    with_blocks,
 )
 from gridloom.functions.text import indent_level, is_alpha, is_digits, starts_with_letter, strip
 from gridloom.operators.grid import (
@@ -37,6 +39,7 @@ from gridloom.operators.grid import (
     non_null,
     to_cells,
 )
+from gridloom.session import settle
 
 # Headings of the government finance sheets that carry no prefix.
 GOV_HEADINGS = ["Revenue1", "Expenditure1", "Debt outstanding", "Cash and security holdings"]
@@ -91,9 +94,11 @@ def header_row_dl() -> Column:
 
 def mark_leading_run(rows: DataFrame, predicate: Column, name: str = "is_header") -> DataFrame:
     """Mark the rows before the first one that fails ``predicate``."""
-    out = over_blocks(rows, SHEET, "row_idx", {"__stop": whole_min(F.when(~predicate, F.col("row_idx")))})
+    # The test becomes a column first, so that only it is read for the summary.
+    tested = rows.withColumn("__fails", ~predicate)
+    out = over_blocks(tested, SHEET, "row_idx", {"__stop": whole_min(F.when(F.col("__fails"), F.col("row_idx")))})
     before = F.col("__stop").isNull() | (F.col("row_idx") < F.col("__stop"))
-    return out.withColumn(name, before).drop("__stop")
+    return out.withColumn(name, before).drop("__stop", "__fails")
 
 
 def header_depth(rows: DataFrame, predicate: Column) -> DataFrame:
@@ -223,22 +228,20 @@ def discover_levels(rows: DataFrame) -> list[int]:
 def indent_path(rows: DataFrame, levels: Sequence[int] | None = None) -> DataFrame:
     """First cell prefixed by the labels it is indented under.
 
-    A label is an ancestor when it is the last one at or above its own level:
-    for each level j, the last row with a level of at most j, used if that row
-    is at j exactly.
+    A label is an ancestor when no later row is as shallow: for each level j
+    the last row with a level of at most j counts, if that row is at j exactly.
     """
     levels = discover_levels(rows) if levels is None else sorted(levels)
     first = cell(F.col("vals"), 0)
     marked = rows.withColumns({"__k": indent_level(first), "__label": strip(first)})
-    label = F.struct(F.col("__k").alias("k"), F.col("__label").alias("label"))
+    # Per level: its label, or an empty text where a shallower row closes it.
     outputs = {
-        f"__a{j}": last_seen(F.when(F.col("__label").isNotNull() & (F.col("__k") <= j), label)) for j in levels
+        f"__a{j}": last_seen(F.when(F.col("__k") == j, F.col("__label")).when(F.col("__k") < j, F.lit("")))
+        for j in levels
     }
     seen = over_blocks(marked, SHEET, "row_idx", outputs)
     # concat_ws leaves out the levels that are not open.
-    path = F.concat_ws(
-        " ", *[F.when((F.col("__k") >= j) & (F.col(f"__a{j}.k") == j), F.col(f"__a{j}.label")) for j in levels]
-    )
+    path = F.concat_ws(" ", *[F.nullif(F.col(f"__a{j}"), F.lit("")) for j in levels])
     vals = F.when(F.col("__label").isNotNull(), replace_first(F.col("vals"), path)).otherwise(F.col("vals"))
     return seen.withColumn("vals", vals).drop("__k", "__label", *outputs)
 
@@ -260,9 +263,33 @@ def drop_label_rows(rows: DataFrame, need_first: bool = False) -> DataFrame:
 # ---- row roles ----------------------------------------------------------
 
 
+def _facts(rows: DataFrame, **more: Column) -> DataFrame:
+    """What the rules ask about a row, as small columns beside its cells.
+
+    Summaries then read these columns only, and chained scans share a shuffle.
+    """
+    vals = F.col("vals")
+    facts = {"__n": n_cells(vals), "__open": cell(vals, 0).isNull()}
+    return with_blocks(rows.withColumns({**facts, **more}), "row_idx")
+
+
+def _settled_facts(rows: DataFrame, **more: Column) -> DataFrame:
+    """The facts alone, written once: for rules that take several scans.
+
+    The scans then run over these small columns, and the rows themselves are
+    read twice in all: for the facts and to join the decision.
+    """
+    marked = _facts(rows, **more)
+    return settle(marked.select(*[c for c in marked.columns if c not in rows.columns or c in ROW or c == "role"]))
+
+
+def _done(df: DataFrame, *columns: str) -> DataFrame:
+    return no_blocks(df).drop("__n", "__open", *columns)
+
+
 def _roles(body: Column, title: Column, footer: Column) -> Column:
     return (
-        F.when(n_cells(F.col("vals")) == 0, "blank")
+        F.when(F.col("__n") == 0, "blank")
         .when(body, "body")
         .when(title, "title")
         .when(footer, "footer")
@@ -270,26 +297,33 @@ def _roles(body: Column, title: Column, footer: Column) -> Column:
     )
 
 
-def _plain_body() -> Column:
-    vals = F.col("vals")
-    return (n_cells(vals) > 1) | ((n_cells(vals) == 1) & cell(vals, 0).isNull())
+def _full() -> Column:
+    """More than one cell, or a single one that is not the label."""
+    return (F.col("__n") > 1) | ((F.col("__n") == 1) & F.col("__open"))
+
+
+def _lone() -> Column:
+    return (F.col("__n") == 1) & ~F.col("__open")
+
+
+def _early() -> Column:
+    """No body row yet, given the first body row as ``__first``."""
+    return F.col("__first").isNull() | (F.col("row_idx") < F.col("__first"))
 
 
 def classify_rows_html(rows: DataFrame) -> DataFrame:
     """Titles before the first body row; of the single cells after it only the last is a footer."""
-    body = _plain_body()
-    single = ~body & (n_cells(F.col("vals")) == 1)
     seen = over_blocks(
-        rows,
+        _facts(rows),
         SHEET,
         "row_idx",
         {
-            "__first": whole_min(F.when(body, F.col("row_idx"))),
-            "__last": whole_max(F.when(single, F.col("row_idx"))),
+            "__first": whole_min(F.when(_full(), F.col("row_idx"))),
+            "__last": whole_max(F.when(_lone(), F.col("row_idx"))),
         },
     )
-    early = F.col("__first").isNull() | (F.col("row_idx") < F.col("__first"))
-    return seen.withColumn("role", _roles(body, early, F.col("row_idx") == F.col("__last"))).drop("__first", "__last")
+    role = _roles(_full(), _early(), F.col("row_idx") == F.col("__last"))
+    return _done(seen.withColumn("role", role), "__first", "__last")
 
 
 def classify_rows_dl(rows: DataFrame) -> DataFrame:
@@ -305,10 +339,10 @@ def classify_rows_dl(rows: DataFrame) -> DataFrame:
         | (one & cell(vals, 0).isNotNull() & (F.length(cell(vals, 0)) == 2))
         | (one & (n_nulls(vals) == 3) & is_alpha(F.replace(strip(value), F.lit(" "), F.lit(""))))
     )
-    body = F.coalesce(body, F.lit(False))
-    seen = over_blocks(rows, SHEET, "row_idx", {"__first": whole_min(F.when(body, F.col("row_idx")))})
-    early = F.col("__first").isNull() | (F.col("row_idx") < F.col("__first"))
-    return seen.withColumn("role", _roles(body, early, F.lit(True))).drop("__first")
+    marked = _facts(rows, __body=F.coalesce(body, F.lit(False)))
+    first = whole_min(F.when(F.col("__body"), F.col("row_idx")))
+    seen = over_blocks(marked, SHEET, "row_idx", {"__first": first})
+    return _done(seen.withColumn("role", _roles(F.col("__body"), _early(), F.lit(True))), "__first", "__body")
 
 
 def classify_rows_gov(rows: DataFrame) -> DataFrame:
@@ -318,36 +352,35 @@ def classify_rows_gov(rows: DataFrame) -> DataFrame:
     more than one body row before them.
     """
     vals = F.col("vals")
-    n = n_cells(vals)
-    before = over_blocks(rows, SHEET, "row_idx", {"__prev": previous(n)})
-    heading = first_value(vals).endswith(":") & (F.coalesce("__prev", F.lit(0)) != 1)
-    pdf = F.exists(vals, lambda v: F.coalesce(v.contains(".pdf"), F.lit(False)))
-    body = (_plain_body() | F.coalesce(heading, F.lit(False))) & ~pdf
-    marked = before.withColumn("__body", body & (n > 0))
+    marked = _settled_facts(
+        rows,
+        __colon=F.coalesce(first_value(vals).endswith(":"), F.lit(False)),
+        __pdf=F.exists(vals, lambda v: F.coalesce(v.contains(".pdf"), F.lit(False))),
+    )
+    n = F.col("__n")
+    before = over_blocks(marked, SHEET, "row_idx", {"__prev": previous(n)})
+    heading = F.col("__colon") & (F.coalesce("__prev", F.lit(0)) != 1)
+    body = before.withColumn("__body", (n > 0) & (_full() | heading) & ~F.col("__pdf"))
     counted = over_blocks(
-        marked, SHEET, "row_idx", {"__bodies": running_total(F.col("__body").cast("int"), inclusive=False)}
+        body, SHEET, "row_idx", {"__bodies": running_total(F.col("__body").cast("int"), inclusive=False)}
     )
     early = ~F.col("__body") & (F.col("__bodies") == 0)
     titled = over_blocks(counted, SHEET, "row_idx", {"__titles": whole_sum(F.when(early, n))})
     note = (F.col("__titles") > 1) & (F.col("__bodies") > 1) & (n == 1)
-    return titled.withColumn("role", _roles(F.col("__body"), early, note)).drop(
-        "__prev", "__body", "__bodies", "__titles"
-    )
+    return rows.join(titled.select(*ROW, _roles(F.col("__body"), early, note).alias("role")), ROW)
 
 
 def classify_rows_uspto(rows: DataFrame) -> DataFrame:
     """Notes must not open with a letter (two openings excepted); other lone
     cells before any note are labels for the rows below."""
-    vals = F.col("vals")
-    body = _plain_body()
-    single = ~body & (n_cells(vals) == 1)
-    value = cell(vals, 0)
+    value = cell(F.col("vals"), 0)
     opening = ~starts_with_letter(value) | value.rlike("^(?:" + "|".join(USPTO_NOTE_OPENINGS) + ")")
+    marked = _facts(rows, __opening=F.coalesce(opening, F.lit(False)))
     counted = over_blocks(
-        rows, SHEET, "row_idx", {"__bodies": running_total(body.cast("int"), inclusive=False)}
+        marked, SHEET, "row_idx", {"__bodies": running_total(_full().cast("int"), inclusive=False)}
     )
-    early = single & (F.col("__bodies") == 0)
-    candidate = single & (F.col("__bodies") > 1) & opening
+    early = _lone() & (F.col("__bodies") == 0)
+    candidate = _lone() & (F.col("__bodies") > 1) & F.col("__opening")
     seen = over_blocks(
         counted,
         SHEET,
@@ -357,17 +390,16 @@ def classify_rows_uspto(rows: DataFrame) -> DataFrame:
             "__note": whole_min(F.when(candidate, F.col("row_idx"))),
         },
     )
-    note = candidate & (F.col("__titles") > 1)
-    after_note = (F.col("__titles") > 1) & (F.col("__note") < F.col("row_idx"))
+    many = F.col("__titles") > 1
     role = (
-        F.when(n_cells(vals) == 0, "blank")
-        .when(body, "body")
+        F.when(F.col("__n") == 0, "blank")
+        .when(_full(), "body")
         .when(early, "title")
-        .when(note, "footer")
-        .when(F.coalesce(after_note, F.lit(False)), "other")
+        .when(candidate & many, "footer")
+        .when(F.coalesce(many & (F.col("__note") < F.col("row_idx")), F.lit(False)), "other")
         .otherwise("label")
     )
-    return seen.withColumn("role", role).drop("__bodies", "__titles", "__note")
+    return _done(seen.withColumn("role", role), "__opening", "__bodies", "__titles", "__note")
 
 
 def soi_normalise(rows: DataFrame) -> DataFrame:
@@ -404,28 +436,25 @@ def classify_rows_soi(rows: DataFrame) -> DataFrame:
     Adds ``island``, the number of full rows up to here: lone cells of one
     island stand together.
     """
-    body = _plain_body()
-    full = n_cells(F.col("vals")) > 1
+    full = F.col("__n") > 1
     seen = over_blocks(
-        rows,
+        _facts(rows),
         SHEET,
         "row_idx",
         {
-            "__first": whole_min(F.when(body, F.col("row_idx"))),
+            "__first": whole_min(F.when(_full(), F.col("row_idx"))),
             "island": running_total(full.cast("int")),
             "__islands": whole_sum(full.cast("int")),
         },
     )
-    early = F.col("__first").isNull() | (F.col("row_idx") < F.col("__first"))
-    trailing = ~body & (F.col("island") == F.col("__islands"))
     role = (
-        F.when(n_cells(F.col("vals")) == 0, "blank")
-        .when(body, "body")
-        .when(early, "title")
-        .when(trailing, "footer")
+        F.when(F.col("__n") == 0, "blank")
+        .when(_full(), "body")
+        .when(_early(), "title")
+        .when(F.col("island") == F.col("__islands"), "footer")
         .otherwise("body")
     )
-    return seen.withColumn("role", role).drop("__first", "__islands")
+    return _done(seen.withColumn("role", role), "__first", "__islands")
 
 
 def collapse_lone_rows(classified: DataFrame) -> DataFrame:
@@ -466,53 +495,70 @@ def carry_label_uspto(rows: DataFrame) -> DataFrame:
     lone cells join with a space, a later one replaces them, a blank row ends
     the label. Output: the body rows.
     """
-    vals = F.col("vals")
-    n = n_cells(vals)
     label = F.col("role") == "label"
-    before = over_blocks(rows, SHEET, "row_idx", {"__prev": previous(n)})
-    restart = (n == 0) | (label & (F.coalesce("__prev", F.lit(0)) != 1))
+    facts = _settled_facts(rows, __first=F.when(label, cell(F.col("vals"), 0)))
+    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n"))})
+    follows = F.coalesce("__prev", F.lit(0)) == 1
+    restart = (F.col("__n") == 0) | (label & ~follows)
     islands = over_blocks(before, SHEET, "row_idx", {"__island": running_total(restart.cast("int"))})
-    # Running text on the label rows alone, which chain over few rows.
-    so_far = Window.partitionBy(*SHEET, "__island").orderBy("row_idx")
-    piece = F.when(F.coalesce("__prev", F.lit(0)) == 1, F.concat(F.lit(" "), cell(vals, 0))).otherwise(cell(vals, 0))
-    texts = islands.filter(label).select(
-        *ROW, F.array_join(F.collect_list(piece).over(so_far), "").alias("__text")
-    )
-    marked = islands.join(texts, ROW, "left").withColumn(
-        "__event", F.when(n == 0, F.lit("")).otherwise(F.col("__text"))
+    piece = F.when(follows, F.concat(F.lit(" "), F.col("__first"))).otherwise(F.col("__first"))
+    marked = _with_running_text(islands, "__island", label, piece).withColumn(
+        "__event", F.when(F.col("__n") == 0, F.lit("")).otherwise(F.col("__text"))
     )
     carried = over_blocks(marked, SHEET, "row_idx", {"__label": last_seen(F.col("__event"))})
+    labels = carried.filter((F.col("role") == "body") & (F.col("__label") != "")).select(*ROW, "__label")
+    vals = F.col("vals")
     prefixed = F.concat(F.col("__label"), F.lit(" "), F.coalesce(cell(vals, 0), F.lit("")))
-    out = F.when(F.coalesce(F.col("__label"), F.lit("")) != "", replace_first(vals, prefixed)).otherwise(vals)
-    return carried.filter(F.col("role") == "body").select(*ROW, out.alias("vals"))
+    out = F.when(F.col("__label").isNotNull(), replace_first(vals, prefixed)).otherwise(vals)
+    return rows.filter(F.col("role") == "body").join(labels, ROW, "left").select(*ROW, out.alias("vals"))
+
+
+def _with_running_text(rows: DataFrame, chain: str, label: Column, piece: Column) -> DataFrame:
+    """``__text`` of every label row: the pieces of its chain so far.
+
+    Only label rows are sorted here, by chain; the others pass by.
+    """
+    so_far = Window.partitionBy(*SHEET, chain).orderBy("row_idx")
+    text = F.array_join(F.collect_list(piece).over(so_far), "")
+    texts = rows.filter(label).select(*ROW, "__block", text.alias("__text"))
+    return rows.join(texts, [*ROW, "__block"], "left")
 
 
 def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     """The sheets whose lone cells stay as rows.
 
-    Input: rows with ``role``. A lone cell after another lone one is appended
-    to its text unless it is indented; ``Patent Matters`` moves in front of
-    the next row; then labels that end in a colon or are not indented go.
+    Input: rows with ``role``. A lone cell right after another row of one cell
+    continues the text of the label above, unless it is indented; ``Patent
+    Matters`` moves in front of the next row; then labels that end in a colon
+    or are not indented go.
     """
-    vals = F.col("vals")
-    before = over_blocks(rows, SHEET, "row_idx", {"__prev": previous(n_cells(vals)), "__prev_text": previous(cell(vals, 0))})
+    first, lone = F.col("__first"), F.col("__n") == 1
     label = F.col("role") == "label"
-    joins = label & (F.col("__prev") == 1) & ~cell(vals, 0).startswith(" ") & F.col("__prev_text").isNotNull()
-    text = F.concat(F.col("__prev_text"), F.lit(" "), strip(cell(vals, 0)))
-    body = before.filter(F.col("role").isin("body", "label")).withColumn(
-        "vals", F.when(joins, replace_first(vals, text)).otherwise(vals)
-    )
-    moved = over_blocks(body, SHEET, "row_idx", {"__above": previous(F.col("vals"))})
-    lone_joined = lambda v: (n_cells(v) == 1) & (cell(v, 0) == USPTO_JOINED_LABEL)
-    above = F.coalesce(lone_joined(F.col("__above")), F.lit(False))
-    prefix = F.concat(F.lit(USPTO_JOINED_LABEL + " "), F.coalesce(cell(vals, 0), F.lit("")))
-    out = moved.filter(~F.coalesce(lone_joined(vals), F.lit(False))).withColumn(
-        "vals", F.when(above, replace_first(vals, prefix)).otherwise(vals)
+    facts = _settled_facts(rows, __first=F.when(n_cells(F.col("vals")) == 1, cell(F.col("vals"), 0)))
+    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n"))})
+    joins = F.coalesce(label & (F.col("__prev") == 1) & ~first.startswith(" "), F.lit(False))
+    marked = before.withColumn("__joins", joins)
+    # A label that does not continue starts a chain, a blank row ends one.
+    starts = (label & ~F.col("__joins")) | (F.col("__n") == 0)
+    chains = over_blocks(marked, SHEET, "row_idx", {"__chain": running_total(starts.cast("int"))})
+    piece = F.when(F.col("__joins"), F.concat(F.lit(" "), strip(first))).otherwise(first)
+    texts = _with_running_text(chains, "__chain", label, piece)
+    kept = texts.filter(F.col("role").isin("body", "label")).withColumn(
+        "__first", F.when(F.col("__joins"), F.col("__text")).otherwise(first)
+    )
+    mover = F.coalesce(lone & (first == USPTO_JOINED_LABEL), F.lit(False))
+    moved = over_blocks(kept.withColumn("__mover", mover), SHEET, "row_idx", {"__above": previous(F.col("__mover"))})
+    above = F.coalesce("__above", F.lit(False))
+    final = F.when(above, F.concat_ws(" ", F.lit(USPTO_JOINED_LABEL), first)).otherwise(first)
+    dropped = lone & (final.endswith(":") | ~final.startswith(" "))
+    decided = moved.filter(~F.col("__mover") & ~F.coalesce(dropped, F.lit(False))).select(
+        *ROW, above.alias("__above"), F.when(F.col("__joins"), F.col("__text")).alias("__text")
     )
-    dropped = (n_cells(vals) == 1) & cell(vals, 0).isNotNull() & (
-        cell(vals, 0).endswith(":") | ~cell(vals, 0).startswith(" ")
-    )
-    return out.filter(cell(vals, 0).isNotNull() & ~F.coalesce(dropped, F.lit(False))).select(*ROW, "vals")
+    vals = F.col("vals")
+    text = F.coalesce("__text", cell(vals, 0))
+    shown = F.when(F.col("__above"), F.concat_ws(" ", F.lit(USPTO_JOINED_LABEL), text)).otherwise(text)
+    out = rows.join(decided, ROW).withColumn("__shown", shown).filter("__shown is not null")
+    return out.select(*ROW, replace_first(vals, F.col("__shown")).alias("vals"))
 
 
 def carry_label_soi(rows: DataFrame) -> DataFrame:
@@ -523,9 +569,10 @@ def carry_label_soi(rows: DataFrame) -> DataFrame:
     ``prefix``, to be put before the indentation path of the row.
     """
     vals = F.col("vals")
-    lone = n_cells(vals) == 1
+    marked = _settled_facts(rows, __lone=n_cells(vals) == 1, __value=F.when(n_cells(vals) == 1, first_value(vals)))
+    lone = F.col("__lone")
     placed = over_blocks(
-        rows,
+        marked,
         SHEET,
         "row_idx",
         {
@@ -536,31 +583,34 @@ def carry_label_soi(rows: DataFrame) -> DataFrame:
     )
     exempt = F.col("__at") > F.col("__of") - 2
     starts = ~(lone & F.coalesce("__before", F.lit(False)) & (F.col("__at") <= F.col("__of") - 1))
-    marked = placed.withColumns({"__exempt": exempt, "__starts": starts})
-    runs = over_blocks(marked, SHEET, "row_idx", {"__run": running_total(F.col("__starts").cast("int"))})
+    runs = over_blocks(
+        placed.withColumns({"__exempt": exempt, "__starts": starts}),
+        SHEET,
+        "row_idx",
+        {"__run": running_total(F.col("__starts").cast("int"))},
+    )
+    pieces = F.array_sort(F.collect_list(F.struct("row_idx", "__value")))
     texts = (
         runs.filter(lone)
         .groupBy(*SHEET, "__run")
         .agg(
             F.max("row_idx").alias("row_idx"),
+            F.max("__block").alias("__block"),
             F.count(F.lit(1)).alias("__length"),
-            F.array_join(
-                F.transform(
-                    F.array_sort(F.collect_list(F.struct("row_idx", first_value(vals).alias("v")))), lambda c: c["v"]
-                ),
-                " ",
-            ).alias("__text"),
+            F.array_join(F.transform(pieces, lambda c: c["__value"]), " ").alias("__text"),
         )
         .drop("__run")
     )
-    joined = runs.join(texts, ROW, "left")
+    joined = runs.join(texts, [*ROW, "__block"], "left")
     ends = F.col("__text").isNotNull()
     label = F.when(ends & ~F.col("__exempt"), F.col("__text"))
     carried = over_blocks(joined.withColumn("__label", label), SHEET, "row_idx", {"prefix": last_seen(F.col("__label"))})
     # Inside a run only the exempt end survives, with the joined text.
-    text = F.when(ends & (F.col("__length") > 1), replace_first(vals, F.col("__text"))).otherwise(vals)
-    kept = ~lone | F.col("__exempt") & ends
-    return carried.filter(kept).select(*ROW, text.alias("vals"), "prefix")
+    decided = carried.filter(~lone | F.col("__exempt") & ends).select(
+        *ROW, "prefix", F.when(F.col("__length") > 1, F.col("__text")).alias("__text")
+    )
+    text = F.when(F.col("__text").isNotNull(), replace_first(vals, F.col("__text"))).otherwise(vals)
+    return rows.join(decided, ROW).select(*ROW, text.alias("vals"), "prefix")
 
 
 def apply_prefix(rows: DataFrame) -> DataFrame:

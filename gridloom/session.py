@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,10 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+    """Write a table to the shared checkpoint folder and go on from there.
 
-    Used between rounds of an iteration and where two branches of a plan would
-    otherwise both recompute a long chain of scans.
+    Cuts the lineage between the rounds of an iteration and before a chain of
+    scans that would otherwise compute its input several times. The table is
+    columnar, so later steps read only the columns they use, and it outlives
+    the executors that wrote it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/gridloom/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

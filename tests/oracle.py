@@ -70,7 +70,7 @@ def main(names: list[str], sf_dir: str) -> int:
     from gridloom.queries.registry import load
     from gridloom.session import local_session
 
-    spark = local_session(cores=8, spark__sql__shuffle__partitions="8")
+    spark = local_session(cores=8, spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false")
     con = connect(sf_dir)
     queries, sql = load()
     bad = 0
