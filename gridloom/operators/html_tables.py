@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.functions.text import caption_key
 
@@ -41,27 +41,33 @@ def spanned_rows(cells: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
 def insert_rowspans(rows: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
     """A cell over several rows inserts empty cells below it, at its own index.
 
-    Where a cell lands depends on the insertions above, so one part of a table
-    is worked row by row. A table is a piece of one page record, which Spark
-    holds as a single value already; the group is never larger than that.
-    A heading of one row ignores row spans.
+    Every such cell names the rows it reaches; these collect the indexes, in
+    the order of the cells, and insert one after the other. Rows are counted
+    inside one table, which is a piece of one page record. A heading of one
+    row ignores row spans.
     """
-    keys = [*keys, "table_idx", "part"]
-    types = dict(rows.dtypes)
-
-    def insert(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row_idx", "slice_idx"])
-        source = list(pdf["cells"])
-        out = [[c["text"] for c in row] for row in source]
-        if not (pdf["part"].iloc[0] == "thead" and len(out) == 1):
-            for i, row in enumerate(source):
-                for j, c in enumerate(row):
-                    for below in range(i + min(int(c["rowspan"]), len(out) - i) - 1, i, -1):
-                        out[below].insert(j, "")
-        return pdf[[*keys, "row_idx", "slice_idx"]].assign(vals=out)
-
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", row_idx int, slice_idx int, vals array<string>"
-    return rows.groupBy(*keys).applyInPandas(insert, schema)
+    part = [*keys, "table_idx", "part"]
+    table = Window.partitionBy(*part)
+    placed = rows.withColumn("__at", F.row_number().over(table.orderBy("row_idx", "slice_idx"))).withColumn(
+        "__of", F.count(F.lit(1)).over(table)
+    )
+    spans = placed.filter(
+        F.exists("cells", lambda c: c["rowspan"] > 1) & ((F.col("part") != "thead") | (F.col("__of") > 1))
+    ).select(*part, "__at", "__of", F.posexplode("cells").alias("__index", "__cell"))
+    # A span never reaches below the last row of its part.
+    last = F.least(F.col("__at") + F.col("__cell.rowspan") - 1, F.col("__of"))
+    reached = spans.filter((F.col("__cell.rowspan") > 1) & (F.col("__at") < F.col("__of"))).select(
+        *part, F.struct("__at", "__index").alias("__from"), F.explode(F.sequence(F.col("__at") + 1, last)).alias("__at")
+    )
+    inserts = reached.groupBy(*part, "__at").agg(
+        F.transform(F.array_sort(F.collect_list("__from")), lambda f: f["__index"]).alias("__inserts")
+    )
+    texts = F.transform("cells", lambda c: c["text"])
+    insert = lambda acc, i: F.concat(
+        F.slice(acc, F.lit(1), i), F.array(F.lit("")), F.slice(acc, i + 1, F.greatest(F.size(acc) - i, F.lit(0)))
+    )
+    filled = F.aggregate(F.coalesce("__inserts", F.array().cast("array<int>")), texts, insert)
+    return placed.join(inserts, [*part, "__at"], "left").select(*part, "row_idx", "slice_idx", filled.alias("vals"))
 
 
 def span_expand(cells: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:

@@ -16,7 +16,7 @@ from gridloom.queries.inputs import PART_CELLS, part_rows, show, sql_show, table
 from gridloom.queries.registry import query
 from gridloom.sources import archive, html, workbook
 
-ROWS_PER_FILE = 500
+ROWS_PER_FILE, ROWS_PER_SHEET = 2000, 500
 
 # ---- workbooks ----------------------------------------------------------
 
@@ -61,13 +61,13 @@ def _encode_workbook(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def workbooks(spark, sf_dir):
-    """One workbook per type and block of keys, a sheet per brand."""
+    """One workbook per block of keys, a sheet per smaller block."""
     key = F.col("row_idx")
-    block = F.floor(key / ROWS_PER_FILE)
+    number = lambda n: F.floor(n).cast("string")
     rows = part_rows(spark, sf_dir).select(
-        F.concat(F.lit("bronze/"), "source", F.lit(" "), block.cast("string"), F.lit(".xlsx")).alias("file"),
-        "sheet",
-        (key % ROWS_PER_FILE).alias("at"),
+        F.concat(F.lit("bronze/lot "), number(key / ROWS_PER_FILE), F.lit(".xlsx")).alias("file"),
+        F.concat(F.lit("part "), number(key % ROWS_PER_FILE / ROWS_PER_SHEET)).alias("sheet"),
+        (key % ROWS_PER_SHEET).alias("at"),
         "vals",
     )
     return rows.groupBy("file").applyInPandas(_encode_workbook, "path string, content binary")
@@ -75,8 +75,9 @@ def workbooks(spark, sf_dir):
 
 @query(
     "workbook_cells",
-    f"""WITH {PART_CELLS} SELECT 'bronze/' || source || ' ' || (row_idx // {ROWS_PER_FILE}) || '.xlsx' AS source, sheet,
-      row_idx % {ROWS_PER_FILE} AS row_idx, col_idx, value FROM part_cells WHERE value IS NOT NULL""",
+    f"""WITH {PART_CELLS} SELECT 'bronze/lot ' || (row_idx // {ROWS_PER_FILE}) || '.xlsx' AS source,
+      'part ' || (row_idx % {ROWS_PER_FILE} // {ROWS_PER_SHEET}) AS sheet, row_idx % {ROWS_PER_SHEET} AS row_idx, col_idx, value
+      FROM part_cells WHERE value IS NOT NULL""",
 )
 def workbook_cells(spark, sf_dir):
     rows = workbook.decode_workbooks(workbooks(spark, sf_dir)).filter("error is null")
@@ -86,10 +87,9 @@ def workbook_cells(spark, sf_dir):
 
 @query(
     "sheet_path",
-    f"""WITH f AS (SELECT DISTINCT 'bronze/' || p_type || '_' || (p_partkey // {ROWS_PER_FILE}) AS stem, p_brand AS sheet FROM part
-        WHERE p_partkey % 7 <> 0 OR p_partkey % 7 <> 1),
-      n AS (SELECT *, count(*) OVER (PARTITION BY stem) AS k FROM f)
-      SELECT sheet, CASE WHEN k > 1 THEN stem || '/' || sheet ELSE stem END AS table_path FROM n""",
+    f"""WITH f AS (SELECT DISTINCT 'bronze/lot_' || (p_partkey // {ROWS_PER_FILE}) AS stem, p_partkey % {ROWS_PER_FILE} // {ROWS_PER_SHEET} AS k FROM part),
+      n AS (SELECT *, count(*) OVER (PARTITION BY stem) AS n FROM f)
+      SELECT 'part ' || k AS sheet, CASE WHEN n > 1 THEN stem || '/part_' || k ELSE stem END AS table_path FROM n""",
 )
 def sheet_path(spark, sf_dir):
     rows = workbook.decode_workbooks(workbooks(spark, sf_dir)).filter("error is null")

@@ -65,12 +65,12 @@ def compare(spark, con, sf_dir, run, sql) -> str:
     return "" if rows else "EMPTY"
 
 
-def main(names: list[str], sf_dir: str) -> int:
+def main(names: list[str], sf_dir: str, block: str = "65536") -> int:
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
     from gridloom.queries.registry import load
     from gridloom.session import local_session
 
-    spark = local_session(cores=8, spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false")
+    spark = local_session(cores=8, spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false", spark__gridloom__blockRows=block)
     con = connect(sf_dir)
     queries, sql = load()
     bad = 0
@@ -89,4 +89,5 @@ def main(names: list[str], sf_dir: str) -> int:
 
 if __name__ == "__main__":
     sf = next((a for a in sys.argv[1:] if a.startswith("/")), "/root/testdata/sf0.01")
-    sys.exit(main([a for a in sys.argv[1:] if not a.startswith("/")], sf))
+    block = next((a.split("=")[1] for a in sys.argv[1:] if a.startswith("block=")), "65536")
+    sys.exit(main([a for a in sys.argv[1:] if not a.startswith("/") and "=" not in a], sf, block))
