@@ -1,0 +1 @@
+"""Published statistical files into clean tables, as Spark jobs."""

@@ -26,6 +26,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries; importing the modules registers them."""
-    from gridloom.queries import columns, decoders, fixed, flat, links, sheets, sniffing, structure  # noqa: F401
+    from gridloom.queries import columns, decoders, fixed, flat, links, sheets, sniffing, structure, tables  # noqa: F401
 
     return QUERIES, SQL

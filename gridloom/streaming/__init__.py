@@ -1,0 +1,7 @@
+"""Streams.
+
+The operators rebuilt here are batch operators; none needs a watermark or
+state over time. Those that look at one row at a time (slicing, cell clean-up,
+names, paths, links, payload records, row checks) run unchanged on a
+DataFrame from ``spark.readStream``.
+"""
