@@ -232,6 +232,8 @@ def indent_path(rows: DataFrame, levels: Sequence[int] | None = None) -> DataFra
     the last row with a level of at most j counts, if that row is at j exactly.
     """
     levels = discover_levels(rows) if levels is None else sorted(levels)
+    if not levels:  # no row has a label
+        return rows
     first = cell(F.col("vals"), 0)
     marked = rows.withColumns({"__k": indent_level(first), "__label": strip(first)})
     # Per level: its label, or an empty text where a shallower row closes it.
@@ -535,8 +537,17 @@ def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     first, lone = F.col("__first"), F.col("__n") == 1
     label = F.col("role") == "label"
     facts = _settled_facts(rows, __first=F.when(n_cells(F.col("vals")) == 1, cell(F.col("vals"), 0)))
-    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n"))})
-    joins = F.coalesce(label & (F.col("__prev") == 1) & ~first.startswith(" "), F.lit(False))
+    # A blank row leaves no label to continue.
+    open_label = F.when(label, F.lit(1)).when(F.col("__n") == 0, F.lit(0))
+    before = over_blocks(
+        facts,
+        SHEET,
+        "row_idx",
+        {"__prev": previous(F.col("__n")), "__above_label": last_seen(open_label, inclusive=False)},
+    )
+    joins = F.coalesce(
+        label & (F.col("__prev") == 1) & (F.col("__above_label") == 1) & ~first.startswith(" "), F.lit(False)
+    )
     marked = before.withColumn("__joins", joins)
     # A label that does not continue starts a chain, a blank row ends one.
     starts = (label & ~F.col("__joins")) | (F.col("__n") == 0)
@@ -609,7 +620,8 @@ def carry_label_soi(rows: DataFrame) -> DataFrame:
     decided = carried.filter(~lone | F.col("__exempt") & ends).select(
         *ROW, "prefix", F.when(F.col("__length") > 1, F.col("__text")).alias("__text")
     )
-    text = F.when(F.col("__text").isNotNull(), replace_first(vals, F.col("__text"))).otherwise(vals)
+    only = F.transform(vals, lambda v, i: F.when(i == 0, F.col("__text")))
+    text = F.when(F.col("__text").isNotNull(), only).otherwise(vals)
     return rows.join(decided, ROW).select(*ROW, text.alias("vals"), "prefix")
 
 
@@ -735,3 +747,23 @@ def first_row_names(rows: DataFrame) -> DataFrame:
     """``names(source, sheet, col_idx, raw)`` from the first row of every sheet."""
     first = rows.groupBy(*SHEET).agg(F.min_by("vals", "row_idx").alias("vals"))
     return first.select(*SHEET, F.posexplode("vals").alias("col_idx", "raw"))
+
+
+def shift_blank_headers(rows: DataFrame) -> DataFrame:
+    """Heading rows without a name for the first column take that of the second.
+
+    Input: rows with ``position`` and ``depth``. A lone value in the first row
+    is spread over the other columns, so it names the first column neither.
+    """
+    vals = F.col("vals")
+    head = (F.col("position") < F.col("depth")) & (F.col("depth") > 1)
+    spread = (F.col("position") == 0) & (n_cells(vals) == 1)
+    blank = (
+        rows.filter(head)
+        .groupBy(*SHEET)
+        .agg(F.bool_and(cell(vals, 0).isNull() | spread).alias("__blank"))
+        .filter("__blank")
+    )
+    marked = rows.join(blank, SHEET, "left")
+    moved = F.concat(F.slice(vals, 2, 1), F.slice(vals, F.lit(2), F.greatest(F.size(vals) - 1, F.lit(0))))
+    return marked.withColumn("vals", F.when(head & F.col("__blank"), moved).otherwise(vals)).drop("__blank")

@@ -253,7 +253,7 @@ def soi_tables(rows: DataFrame) -> SheetTables:
     placed = settle(dense_position(body, SHEET, "row_idx"))
     shaped = settle(structure.soi_header_rows(placed, structure.header_depth_soi(placed)))
     # Rows were dropped from the heading, so positions are counted again.
-    again = dense_position(shaped.drop("position"), SHEET, "row_idx")
+    again = structure.shift_blank_headers(dense_position(shaped.drop("position"), SHEET, "row_idx"))
     names, data = structure.split_header(again, F.col("depth"), strip_pieces=True)
     carried = structure.carry_label_soi(data.select(*ROW, "vals"))
     prefixes = settle(carried)

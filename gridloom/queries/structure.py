@@ -278,7 +278,7 @@ def keep_label_uspto_special(spark, sf_dir):
       t AS (SELECT source, sheet, max(row_idx) AS row_idx, count(*) AS n_run, string_agg(firstv, ' ' ORDER BY row_idx) AS txt FROM b WHERE lone GROUP BY source, sheet, run),
       c AS (SELECT b.*, n_run, txt FROM b LEFT JOIN t ON t.source = b.source AND t.sheet = b.sheet AND t.row_idx = b.row_idx),
       d AS (SELECT *, last_value(CASE WHEN NOT exempt THEN txt END IGNORE NULLS) OVER (PARTITION BY source, sheet ORDER BY row_idx ROWS UNBOUNDED PRECEDING) AS prefix FROM c)
-      SELECT source, sheet, row_idx, prefix, {sql_show("CASE WHEN n_run > 1 THEN list_concat([txt], vals[2:]) ELSE vals END")} AS vals
+      SELECT source, sheet, row_idx, prefix, {sql_show("CASE WHEN n_run > 1 THEN list_transform(vals, lambda v, i: CASE WHEN i = 1 THEN txt END) ELSE vals END")} AS vals
       FROM d WHERE NOT lone OR (exempt AND txt IS NOT NULL)""",
 )
 def carry_label_soi(spark, sf_dir):
