@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from gridloom.functions.ordered import over_blocks, whole_first, whole_min
 from gridloom.functions.text import null_normalise
+from gridloom.session import settle
 
 SHEET = ["source", "sheet"]
 ROW = [*SHEET, "row_idx"]
@@ -98,13 +99,25 @@ def column_profile(cells: DataFrame) -> DataFrame:
 def keep_columns(cells: DataFrame, condition: Column) -> DataFrame:
     """Cells of the columns whose profile meets ``condition``.
 
-    The profile has a row per column, so the join is a broadcast while Spark
-    measures it as small and a sort-merge join (split on skew) beyond that.
+    The profile is written first, a row per column. Spark then knows its size:
+    it broadcasts a small one, so that the cells are not shuffled at all, and
+    sort-merges beyond its limit, splitting skewed columns.
     """
-    kept = column_profile(cells).filter(condition).select(*COLUMN)
+    kept = settle(column_profile(cells).filter(condition).select(*COLUMN))
     return cells.join(kept, COLUMN, "left_semi")
 
 
+def select_columns(rows: DataFrame, condition: Column) -> DataFrame:
+    """The same on whole rows: unwanted columns leave ``vals``, the rest close up.
+
+    Sheets without a column left drop out.
+    """
+    kept = column_profile(to_cells(rows)).filter(condition)
+    keep = settle(kept.groupBy(*SHEET).agg(F.array_sort(F.collect_list("col_idx")).alias("__keep")))
+    picked = F.transform("__keep", lambda i: F.try_element_at("vals", i + 1))
+    return rows.join(keep, SHEET).withColumn("vals", picked).drop("__keep")
+
+
 def drop_empty_columns(cells: DataFrame) -> DataFrame:
     return keep_columns(cells, F.col("n_values") > 0)
 
@@ -135,8 +148,8 @@ def compact_columns(cells: DataFrame) -> DataFrame:
     """Renumber the columns of every sheet from 0 after some were dropped."""
     # The window sees one row per column, not per cell.
     columns = cells.select(*COLUMN).distinct()
-    numbered = columns.withColumn(
-        "__new", F.row_number().over(Window.partitionBy(*SHEET).orderBy("col_idx")) - 1
+    numbered = settle(
+        columns.withColumn("__new", F.row_number().over(Window.partitionBy(*SHEET).orderBy("col_idx")) - 1)
     )
     return cells.join(numbered, COLUMN).select(*ROW, F.col("__new").alias("col_idx"), "value")
 

@@ -23,6 +23,7 @@ from gridloom.functions.ordered import (
     with_blocks,
 )
 from gridloom.functions.text import is_alpha, starts_with_letter, strip
+from gridloom.session import settle
 from gridloom.operators.grid import COLUMN, SHEET, cell, column_profile, first_value, n_cells, n_nulls, non_null
 
 # A table is complete after more than this many rows.
@@ -202,7 +203,7 @@ def split_tables_across(cells: DataFrame, gap: str = "empty", minimum: int = 0)
     parts = marked.withColumn("opens", opens).withColumn("part", F.sum(F.col("opens").cast("int")).over(upto))
     before_start = F.coalesce(F.lead("opens").over(by_column), F.lit(False))
     dropped = before_start if gap == "always" else before_start & (F.col("n_values") == 0)
-    kept = (
+    kept = settle(
         parts.withColumn("__drop", dropped)
         .filter(~F.col("__drop") & (F.col("n_values") >= minimum))
         .withColumn("__new", F.row_number().over(Window.partitionBy(*SHEET, "part").orderBy("col_idx")) - 1)

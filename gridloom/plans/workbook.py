@@ -108,8 +108,10 @@ def sheet_tables(rows: DataFrame, profile: Profile) -> SheetTables:
     classified = settle(profile.classify(profile.prefix(found) if profile.prefix else found))
     body = profile.carry(classified) if profile.carry else classified.filter("role = 'body'").select(*ROW, "vals")
     placed = settle(dense_position(body, SHEET, "row_idx"))
-    depth = structure.header_depth(placed, profile.header_row()).withColumn(
-        "depth", F.greatest(F.col("depth") - profile.depth_offset, F.lit(0))
+    depth = settle(
+        structure.header_depth(placed, profile.header_row()).withColumn(
+            "depth", F.greatest(F.col("depth") - profile.depth_offset, F.lit(0))
+        )
     )
     names, data = structure.split_header(placed.join(depth, SHEET), F.col("depth"))
     return _finish(
@@ -146,20 +148,14 @@ def _finish(profile, names, rows, notes, plain_names, plain_rows) -> SheetTables
 # ---- preparation --------------------------------------------------------
 
 
-def _columns(rows: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    cells = grid.to_cells(rows)
-    for step in steps:
-        cells = step(cells)
-    return grid.to_rows(grid.compact_columns(cells))
-
-
 def prepare_gov(rows: DataFrame) -> DataFrame:
-    slim = _columns(rows, grid.drop_empty_rows_cols, grid.drop_marker_columns)
-    return grid.drop_leading_gap_column(grid.drop_description_marker_rows(slim))
+    slim = grid.select_columns(rows, (F.col("n_values") > 0) & ~F.col("has_line"))
+    return grid.drop_leading_gap_column(grid.drop_description_marker_rows(grid.drop_blank_rows(slim)))
 
 
 def prepare_dl(rows: DataFrame) -> DataFrame:
-    return _columns(rows, grid.drop_empty_rows_cols, grid.drop_star_columns)
+    starred = F.col("n_values").isin(1, 2) & F.col("has_star")
+    return grid.drop_blank_rows(grid.select_columns(rows, (F.col("n_values") > 0) & ~starred))
 
 
 def _no_gap(vals: Column) -> Column:

@@ -196,7 +196,10 @@ CODEBOOK = [
 
 
 def codebook(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CODEBOOK, "row_idx int, Code string, Desription string, Name string")
+    """As a local relation, so that Spark knows its size as it does for a file."""
+    text = lambda v: "cast(null as string)" if v is None else f"'{v}'"
+    rows = ", ".join(f"({i}, {text(c)}, {text(d)}, {text(n)})" for i, c, d, n in CODEBOOK)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(row_idx, Code, Desription, Name)")
 
 
 SQL_CODEBOOK = """codebook(row_idx, Code, Label, Name) AS (VALUES

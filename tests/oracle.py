@@ -46,7 +46,10 @@ _SPARK = {"int": "int", "bigint": "int", "smallint": "int", "string": "str", "bo
 
 def compare(spark, con, sf_dir, run, sql) -> str:
     """Empty text if both agree, else what differs."""
-    df = run(spark, sf_dir)
+    return compare_df(run(spark, sf_dir), con, sql)
+
+
+def compare_df(df, con, sql) -> str:
     rows = df.collect()
     if sql is None:
         return "" if df.columns else "no columns"
