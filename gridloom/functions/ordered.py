@@ -34,6 +34,19 @@ def block_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BLOCK_ROWS_SETTING, str(DEFAULT_BLOCK_ROWS)))
 
 
+@dataclass(frozen=True)
+class Ways:
+    """One window in both directions."""
+
+    up: WindowSpec
+    down: WindowSpec
+
+    @classmethod
+    def of(cls, keys: Sequence[str], order: str) -> Ways:
+        group = Window.partitionBy(*keys)
+        return cls(group.orderBy(order), group.orderBy(F.col(order).desc()))
+
+
 @dataclass(frozen=True)
 class Seen:
     """Nearest non-NULL value before (or after) a row."""
@@ -42,21 +55,20 @@ class Seen:
     inclusive: bool
     forward: bool
 
-    def local(self, inside: Window, order: str) -> Column:
-        if self.forward:
-            end = Window.currentRow if self.inclusive else -1
-            return F.last(self.value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, end))
-        start = Window.currentRow if self.inclusive else 1
-        return F.first(self.value, ignorenulls=True).over(inside.rowsBetween(start, Window.unboundedFollowing))
+    def local(self, inside: Ways, order: str) -> Column:
+        # Looking ahead is looking back in descending order: a frame that ends
+        # at the last row would be worked out anew for every row.
+        end = Window.currentRow if self.inclusive else -1
+        window = inside.up if self.forward else inside.down
+        return F.last(self.value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, end))
 
     def summary(self, order: str) -> Column:
         at = F.when(self.value.isNotNull(), F.col(order))
         return (F.max_by if self.forward else F.min_by)(self.value, at)
 
-    def carry(self, summary: str, across: WindowSpec) -> Column:
-        if self.forward:
-            return F.last(summary, ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
-        return F.first(summary, ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing))
+    def carry(self, summary: str, across: Ways) -> Column:
+        window = across.up if self.forward else across.down
+        return F.last(summary, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
     def result(self, local: Column, carried: Column) -> Column:
         return F.coalesce(local, carried)
@@ -69,15 +81,15 @@ class Total:
     value: Column
     inclusive: bool
 
-    def local(self, inside: Window, order: str) -> Column:
+    def local(self, inside: Ways, order: str) -> Column:
         end = Window.currentRow if self.inclusive else -1
-        return F.sum(self.value).over(inside.rowsBetween(Window.unboundedPreceding, end))
+        return F.sum(self.value).over(inside.up.rowsBetween(Window.unboundedPreceding, end))
 
     def summary(self, order: str) -> Column:
         return F.sum(self.value)
 
-    def carry(self, summary: str, across: WindowSpec) -> Column:
-        return F.sum(summary).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    def carry(self, summary: str, across: Ways) -> Column:
+        return F.sum(summary).over(across.up.rowsBetween(Window.unboundedPreceding, -1))
 
     def result(self, local: Column, carried: Column) -> Column:
         return F.coalesce(local, F.lit(0)) + F.coalesce(carried, F.lit(0))
@@ -90,14 +102,14 @@ class Whole:
     aggregate: Column
     merge: str
 
-    def local(self, inside: Window, order: str) -> None:
+    def local(self, inside: Ways, order: str) -> None:
         return None
 
     def summary(self, order: str) -> Column:
         return self.aggregate
 
-    def carry(self, summary: str, across: WindowSpec) -> Column:
-        everything = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    def carry(self, summary: str, across: Ways) -> Column:
+        everything = across.up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         if self.merge == "first":
             return F.first(summary, ignorenulls=True).over(everything)
         if self.merge == "last":
@@ -115,17 +127,17 @@ class Neighbour:
     value: Column
     forward: bool
 
-    def local(self, inside: Window, order: str) -> Column:
+    def local(self, inside: Ways, order: str) -> Column:
         # A struct tells a neighbour without a value from no neighbour in the block.
         shift = F.lag if self.forward else F.lead
-        return shift(F.struct(self.value.alias("v"))).over(inside)
+        return shift(F.struct(self.value.alias("v"))).over(inside.up)
 
     def summary(self, order: str) -> Column:
         return (F.max_by if self.forward else F.min_by)(self.value, order)
 
-    def carry(self, summary: str, across: WindowSpec) -> Column:
+    def carry(self, summary: str, across: Ways) -> Column:
         # Every block has a row, so the adjacent block holds the neighbour.
-        return (F.lag if self.forward else F.lead)(summary).over(across)
+        return (F.lag if self.forward else F.lead)(summary).over(across.up)
 
     def result(self, local: Column, carried: Column) -> Column:
         return F.when(local.isNotNull(), local["v"]).otherwise(carried)
@@ -209,8 +221,7 @@ def over_blocks(
     """Add one column per entry of ``outputs``; see the module text."""
     group = [*keys, _BLOCK]
     blocked = with_blocks(df, order, rows_per_block)
-    inside = Window.partitionBy(*group).orderBy(order)
-    across = Window.partitionBy(*keys).orderBy(_BLOCK)
+    inside, across = Ways.of(group, order), Ways.of(keys, _BLOCK)
 
     specs = list(outputs.items())
     local = {i: column for i, (_, spec) in enumerate(specs) if (column := spec.local(inside, order)) is not None}

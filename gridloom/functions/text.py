@@ -13,8 +13,11 @@ CSV_NAME_CHARACTERS = " .()"
 LAYOUT_NAME_CHARACTERS = " ,;{}()\n\t="
 MAX_NAME_LENGTH = 255
 
-# White space in the Unicode sense, as a strip in most languages sees it.
-SPACE = r"(?U)\s"
+# Fixed value: white space in the Unicode sense, control separators included.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def quote_regex(literal: str) -> str:
@@ -28,11 +31,11 @@ def any_of(patterns: Sequence[str]) -> str:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def strip_left(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+", "")
+    return F.ltrim(c, F.lit(WHITE_SPACE))
 
 
 def null_normalise(c: Column) -> Column:

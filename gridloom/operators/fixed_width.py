@@ -27,10 +27,10 @@ def layout_positions(layout: DataFrame) -> DataFrame:
 
 def layout_range(layout: DataFrame, location: str = "Location") -> DataFrame:
     """``a-b`` → start, end and length; rows without two numbers are dropped."""
-    parts = F.split(location, "-")
+    first, last = F.substring_index(location, "-", 1), F.substring_index(location, "-", -1)
     return (
-        layout.withColumn("start", parts[0].try_cast("int"))
-        .withColumn("end", F.element_at(parts, -1).try_cast("int"))
+        layout.withColumn("start", first.try_cast("int"))
+        .withColumn("end", last.try_cast("int"))
         .withColumn("length", F.col("end") - F.col("start") + 1)
         .dropna(subset=["length"])
     )

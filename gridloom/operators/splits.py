@@ -228,7 +228,7 @@ SECTION_NAMES = {
 }
 STATE_SECTION = "State Name Abbreviation State Code"
 # What may stand between the letters of a closing line, and lines that never close.
-CLOSING_PUNCTUATION = [" ", "–", "(", ")", ".", ",", "/", "3rd", '"', "-", "“", "”", "="]
+CLOSING_MARKS_FIRST, CLOSING_WORD, CLOSING_MARKS_LAST = " –().,/", "3rd", '"-“”='
 NEVER_CLOSING_STARTS = ["I ", "R "]
 NEVER_CLOSING_WORDS = ["Analyst correction", "Imputed", "Unknown", "Reported", "Alternative source"]
 
@@ -249,16 +249,18 @@ def section_extract(
     titles = SECTION_NAMES if titles is None else titles
     keys = ["source"] if keys is None else keys
     value = F.col("value")
-    letters = strip(value)
-    for piece in CLOSING_PUNCTUATION:
-        letters = F.replace(letters, F.lit(piece), F.lit(""))
-    has = lambda words, test: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: test(value, w))
+    # Single characters go together; "3rd" is looked for once the ones before it are gone.
+    letters = F.translate(strip(value), CLOSING_MARKS_FIRST, "")
+    letters = F.translate(F.replace(letters, F.lit(CLOSING_WORD), F.lit("")), CLOSING_MARKS_LAST, "")
+    either = lambda tests: reduce(lambda x, y: x | y, tests)
     closes = (
         is_alpha(letters)
-        & ~has(NEVER_CLOSING_STARTS, lambda v, w: v.startswith(w))
-        & ~has(NEVER_CLOSING_WORDS, lambda v, w: v.contains(w))
+        & ~either([value.startswith(w) for w in NEVER_CLOSING_STARTS])
+        & ~either([value.contains(w) for w in NEVER_CLOSING_WORDS])
+    )
+    marked = with_blocks(lines, order).withColumns(
+        {"__closes": closes, "__title": either([value.contains(t) for t in titles])}
     )
-    marked = with_blocks(lines, order).withColumns({"__closes": closes, "__title": has(list(titles), lambda v, w: v.contains(w))})
     event = F.when(F.col("__title"), "open").when(F.col("__closes"), "closed")
     states = over_blocks(
         marked,

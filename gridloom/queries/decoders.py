@@ -16,6 +16,11 @@ from gridloom.queries.inputs import PART_CELLS, part_rows, show, sql_show, table
 from gridloom.queries.registry import query
 from gridloom.sources import archive, html, workbook
 
+# Files made by a shuffle are few and small here; stored ones lie spread already.
+def _spread(files):
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism)
+
+
 ROWS_PER_FILE, ROWS_PER_SHEET = 2000, 500
 
 # ---- workbooks ----------------------------------------------------------
@@ -70,7 +75,7 @@ def workbooks(spark, sf_dir):
         (key % ROWS_PER_SHEET).alias("at"),
         "vals",
     )
-    return rows.groupBy("file").applyInPandas(_encode_workbook, "path string, content binary")
+    return _spread(rows.groupBy("file").applyInPandas(_encode_workbook, "path string, content binary"))
 
 
 @query(
@@ -129,7 +134,7 @@ def archive_expand(spark, sf_dir):
         .applyInPandas(_encode_archive, "path string, content binary")
     )
     text = F.decode("content", "UTF-8")
-    return archive.expand_archives(files).select("archive", "path", F.length(text).alias("n_chars"), text.alias("text"))
+    return archive.expand_archives(_spread(files)).select("archive", "path", F.length(text).alias("n_chars"), text.alias("text"))
 
 
 # ---- HTML tables --------------------------------------------------------
@@ -152,7 +157,7 @@ def pages_with_tables(spark, sf_dir):
         F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), c.alias("c")))), lambda x: x["c"]), ""
     )
     page = F.floor(k / 100)
-    return (
+    pages = (
         table(spark, sf_dir, "part")
         .groupBy(page.alias("page_no"))
         .agg(ordered(plain).alias("plain"), ordered(spanned).alias("spanned"))
@@ -171,6 +176,7 @@ def pages_with_tables(spark, sf_dir):
             ).alias("html"),
         )
     )
+    return _spread(pages)
 
 
 @query(

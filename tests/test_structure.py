@@ -211,3 +211,13 @@ def test_empty_input(rows, spark):
     assert st.classify_rows_gov(empty).count() == 0
     assert st.indent_path(empty).count() == 0
     assert splits.split_tables_down(empty).count() == 0
+
+
+def test_strip_is_the_unicode_one(spark):
+    from gridloom.functions import text
+
+    assert sorted(text.WHITE_SPACE) == [chr(i) for i in range(0x10000) if chr(i).isspace()]
+    values = ["  a b ", " x　", "\t\n", "", "a", " \x1cé\x85"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [tuple(r) for r in df.select(text.strip(F.col("v")), text.strip_left(F.col("v"))).collect()]
+    assert got == [(v.strip(), v.lstrip()) for v in values]
