@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +19,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = run
+
+        @wraps(run)
+        def with_package(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = with_package
         if sql is not None:
             SQL[name] = sql
         return run

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,26 @@ def local_session(app: str = "gridloom", cores: int | str = "*", **extra: str) -
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application.
+
+    Python workers import it for the file decoders. Not needed where it is
+    installed on the cluster or was given with ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="gridloom-package-")
+    # Spark copies the archive from the driver to every executor.
+    archive = shutil.make_archive(f"{folder}/gridloom", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named in ``spark.checkpoint.dir``.
 
