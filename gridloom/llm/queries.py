@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import packing, sharding, simhash, tokens
+from gridloom.llm import packing, quality, sharding, simhash, tokens
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op3_rule_ensemble")
+def rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op4_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))

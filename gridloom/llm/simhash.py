@@ -112,24 +112,25 @@ def links(prints: DataFrame, distance: int = 4, column: str = "fingerprint") ->
 
 
 def near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns but the text, plus ``fingerprint`` and ``component_id``: the smallest ``key`` reachable over links.
+    """All columns but the text, plus ``fingerprint``, ``component`` (its smallest fingerprint) and ``component_id``.
 
-    Texts without a word have fingerprint 0 and are linked like any other. Rows with equal ids each keep a row; a
+    The latter is the smallest ``key`` reachable over links. Texts without a word have fingerprint 0 and are linked like any other. Rows with equal ids each keep a row; a
     component of rows without an id has a null ``component_id``. An empty table gives none.
     """
     prints = settle(fingerprints(docs, shingle, text))
     found = settle(links(prints, distance))
     least = prints.groupBy("fingerprint").agg(F.min(key).alias("_least"))
-    roots = components(found).withColumnRenamed("node", "fingerprint")
-    joined = least.join(roots, "fingerprint", "left").withColumn("_root", F.coalesce("root", "fingerprint")).drop("root")
-    smallest = joined.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    ids = settle(joined.join(smallest, "_root").select("fingerprint", "component_id"))
-    return prints.join(ids, "fingerprint").select(*prints.columns, "component_id")
+    roots = components(found).withColumnsRenamed({"node": "fingerprint", "root": "component"})
+    joined = least.join(roots, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    smallest = joined.groupBy("component").agg(F.min("_least").alias("component_id"))
+    ids = settle(joined.join(smallest, "component").select("fingerprint", "component", "component_id"))
+    return prints.join(ids, "fingerprint").select(*prints.columns, "component", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """Columns of ``docs``, one row of each component: the smallest id, and of rows that share it the first text."""
+    """Columns of ``docs``, one row of each component: the smallest id (rows without an id come last)."""
     named = settle(docs.withColumn("_gl_row", F.monotonically_increasing_id()))
     found = near_copies(named.select("_gl_row", "doc_id", "text"), shingle, distance)
-    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fingerprint", "_gl_row"))["_gl_row"].alias("_gl_row"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fingerprint", "_gl_row")
+    best = found.groupBy("component").agg(F.min(order)["_gl_row"].alias("_gl_row"))
     return named.join(best.select("_gl_row"), "_gl_row", "left_semi").drop("_gl_row")
