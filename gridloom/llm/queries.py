@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import packing, quality, sharding, simhash, tokens
+from gridloom.llm import chat, decontam, packing, quality, sharding, simhash, tokens
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,42 @@ def shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sharding.tree(regions=3, racks=4, shards=2)
     placed = sharding.shard_documents(documents(spark, sf_dir), root, sharding.grown(root, 24))
     return placed.withColumn("law", F.lit("key"))
+
+
+@query("op10_latent_decontamination")
+def latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+CHAT_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given),
+e AS (SELECT *, replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g') AS r,
+  replace(replace(replace(text, '\', '\b'), '<', '\l'), '>', '\g') AS x FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns,
+  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  sum(length(r) + length(x) + 15) AS formatted FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted::BIGINT AS formatted_chars FROM g
+"""
+
+
+@query("op6_reply_trees", CHAT_SQL)
+def reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    both = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)], told.schema)
+    done = chat.format_conversations(told.unionAll(extra))
+    whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return done.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
