@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, packing, quality, sharding, simhash, tokens
+from gridloom.llm import chat, decontam, packing, pii, quality, sharding, simhash, tokens
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,22 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_disclosure_spans")
+def disclosure_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.PATTERNS))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in pii.PATTERNS],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op3_rule_ensemble")
 def rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
