@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, packing, pii, quality, sharding, simhash, tokens
+from gridloom.llm import chat, decontam, outliers, packing, pii, quality, sharding, simhash, tokens
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+@query("op5_robust_outliers")
+def robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(documents(spark, sf_dir))
+
+
 @query("op7_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
