@@ -6,28 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import packing, queries, simhash
+from gridloom.llm import decontam, packing, pii, quality, queries, simhash
 from gridloom.llm.common import documents
 from gridloom.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the rule ensemble does not reject."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     return simhash.keep_one(docs)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontam.keep_clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and words that disclose it taken out of their texts."""
+    return pii.sanitise(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' tokens in as few sequences as the search finds."""
     return packing.pack_documents(docs, queries.vocabulary("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("simhash_near_copies", near_copies),
-    ("best_fit_packing", pack),
+    ("rule_ensemble", good_texts),
+    ("simhash_near_copies", one_of_each),
+    ("latent_decontamination", without_benchmark),
+    ("disclosure_spans", sanitised),
+    ("best_fit_packing", packed),
 ]
 
-# Fingerprints, trained scores and packing are beyond SQL; the tests hold the stages against brute force.
+# Trained scores, fingerprints and packing are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

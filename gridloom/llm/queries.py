@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, outliers, packing, pii, quality, sharding, simhash, tokens
+from gridloom.llm import chat, decontam, lm, outliers, packing, pii, quality, sharding, simhash, tokens
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_hidden_markov_scores")
+def hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 @query("op2_disclosure_spans")
 def disclosure_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
