@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm import decontam, packing, pii, quality, queries, simhash
 from gridloom.llm.common import documents
@@ -29,8 +30,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data and words that disclose it taken out of their texts."""
-    return pii.sanitise(docs)
+    """All documents, with personal data and words that disclose it taken out of their texts, and their new length."""
+    return pii.sanitise(docs).withColumn("n_chars", F.coalesce(F.length("text"), F.col("n_chars")).cast("long")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
