@@ -161,7 +161,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) ->
             for t in texts:
                 ids = encoder(t) + end
                 found.append([{"piece": k, "start": i // 4, "length": len(p) // 4, "ids_crc32": crc32(p)} for k, i in enumerate(range(0, len(ids), step)) for p in (ids[i : i + step],)])
-            yield pd.Series(found)
+            yield pd.Series(found, dtype=object)
 
     kept = [c for c in docs.columns if c != "text"]
     return docs.select(*kept, F.explode(cut(text_of())).alias("_piece")).select(*kept, "_piece.*")

@@ -167,8 +167,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
 TERM_SPANS = "array<struct<kind: string, start: int, end: int, value: string>>"
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``spans``: ``array<struct<kind, start, end, value>>`` of identifiers and disclosing words.
+def find(docs: DataFrame, name: str = "spans") -> DataFrame:
+    """``docs`` plus the column ``name`` (in place of one of that name): ``array<struct<kind, start, end, value>>`` of identifiers and disclosing words.
 
     Identifiers come first by kind and start, then the words (kind ``term`` if generalised, ``removed`` if removed) by
     start. Null and empty texts have none. Rows with equal or null ids are searched each for itself; other columns stay.
@@ -179,7 +179,7 @@ def find(docs: DataFrame) -> DataFrame:
     terms = settle(disclosing_terms(docs.select("text"), found))
     base = F.transform("_gl_spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     if terms.isEmpty():
-        return with_spans.withColumn("spans", base).drop("_gl_spans")
+        return with_spans.withColumn(name, base).drop("_gl_spans")
     # A text's words are looked up once per word; the text's hash leads back to it. Should two texts share a hash, each
     # is offered the other's words too, which are protected wherever they occur.
     key = F.xxhash64(text_of())
@@ -197,7 +197,7 @@ def find(docs: DataFrame) -> DataFrame:
     joined = with_spans.withColumn("_gl_key", key).join(listed, "_gl_key", "left")
     extra = F.when(F.col("_gl_terms").isNull(), F.array().cast(TERM_SPANS)).otherwise(term_spans(F.col("_gl_terms")))
     by_kind = bind(extra, lambda e: F.concat(F.filter(e, lambda s: s["kind"] == "term"), F.filter(e, lambda s: s["kind"] == "removed")))
-    return joined.withColumn("spans", F.concat(base, by_kind)).drop("_gl_spans", "_gl_key", "_gl_terms")
+    return joined.withColumn(name, F.concat(base, by_kind)).drop("_gl_spans", "_gl_key", "_gl_terms")
 
 
 def span_text(spans: Column) -> Column:
@@ -231,5 +231,5 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` with redacted texts; null texts stay null."""
-    safe = find(docs).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    safe = find(docs, "_gl_found").withColumn("text", redacted(F.col("text"), F.col("_gl_found")))
     return safe.select(*docs.columns)
