@@ -146,6 +146,25 @@ def url_quote(c: Column) -> Column:
     return out
 
 
+# Named character references of markup; the ampersand comes last, so that none is read twice.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def unescape(c: Column) -> Column:
+    """Character references as the characters they stand for: basic names, decimal and hexadecimal numbers."""
+
+    def character(number: Column) -> Column:
+        code = F.when(F.lower(F.left(number, F.lit(1))) == "x", F.conv(F.substr(number, F.lit(2)), 16, 10)).otherwise(number)
+        return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+
+    numbers = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([xX][0-9A-Fa-f]{1,5}|[0-9]{1,6});"), F.lit(1)))
+    replaced = F.aggregate(numbers, c, lambda out, n: F.replace(out, F.concat(F.lit("&#"), n, F.lit(";")), character(n)))
+    out = F.when(F.contains(c, F.lit("&#")), replaced).otherwise(c)
+    for name, plain in REFERENCES:
+        out = F.replace(out, F.lit(name), F.lit(plain))
+    return out
+
+
 def site_root(url: Column) -> Column:
     """Scheme and host of a URL."""
     return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)

@@ -144,8 +144,9 @@ def page_grid(cells: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
     rows = pieces[0]
     for piece in pieces[1:]:
         rows = rows.unionByName(piece)
-    # A table is one page record at most; its rows are numbered by part and place.
-    place = (F.col("o").cast("long") * 1_000_000 + F.col("row_idx")) * 1_000 + F.col("slice_idx")
+    # A table is a piece of one page record, so its rows are numbered inside one small window.
+    inside = Window.partitionBy(*table).orderBy("o", "row_idx", "slice_idx")
+    place = (F.row_number().over(inside) - 1).cast("long")
     return rows.select(
         F.concat_ws("|", *keys).alias("source"),
         F.col("table_idx").cast("string").alias("sheet"),

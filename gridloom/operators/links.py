@@ -7,15 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.text import matches_any, site_root, strip, url_quote
+from gridloom.functions.text import matches_any, site_root, strip, unescape, url_quote
 from gridloom.session import settle
 
-HREF = r"""<a\s[^>]*?href="([^"]*)\""""
+# A start tag of an anchor; a ">" inside quotes does not end it. Possessive, so no tag is tried twice.
+ANCHOR = r"""(?i)<a(?=\s)(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# Its address: in double quotes, single quotes or none, after any other attributes.
+_OTHER = r"""(?:\s++(?!href[\s=])[^\s=>]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+"""
+HREF = rf"""(?i)^<a{_OTHER}\s++href\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))"""
+
+
+def address(tag: Column) -> Column:
+    """The address of an anchor's start tag, character references resolved; NULL for an anchor without one."""
+    quoted = F.greatest(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
+    return F.when(tag.rlike(HREF), unescape(quoted))
+
+
+def anchors(html: Column) -> Column:
+    """The addresses of a page's anchors, in order."""
+    found = F.transform(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), address)
+    return F.filter(found, lambda h: h.isNotNull())
 
 
 def page_links(pages: DataFrame, patterns: Sequence[str] = (), keep: Sequence[str] = ("url",)) -> DataFrame:
     """One row per link of a page, percent-quoted."""
-    links = pages.select(*keep, F.posexplode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("at", "href"))
+    links = pages.select(*keep, F.posexplode(anchors(F.col("html"))).alias("at", "href"))
     return links.filter(matches_any(F.col("href"), patterns)).select(*keep, "at", url_quote(F.col("href")).alias("link"))
 
 
@@ -49,9 +65,9 @@ def listing_entries(pages: DataFrame) -> DataFrame:
     body = F.regexp_extract("html", r"(?is)<pre[^>]*>(.*?)</pre>", 1)
     entries = pages.select(
         "url",
-        F.posexplode(F.regexp_extract_all(body, F.lit(r"""(?is)((?:[^<]|<dir>|<br\s*/?>|<hr\s*/?>|<img[^>]*>)*<a\s[^>]*href="[^"]*"[^>]*>[^<]*)</a>"""), F.lit(1))).alias("at", "entry"),
+        F.posexplode(F.regexp_extract_all(body, F.lit(r"""(?is)((?:[^<]++|<dir>|<br\s*/?>|<hr\s*/?>|<img[^>]*>)*+<a\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>[^<]*+)</a>"""), F.lit(1))).alias("at", "entry"),
     )
-    before = F.regexp_extract("entry", r"""(?is)^(.*)<a\s""", 1)
+    before = F.regexp_extract("entry", r"""(?is)^(.*?)<a\s""", 1)
     text = strip(F.replace(F.regexp_replace(before, r"(?is)<br\s*/?>|<hr\s*/?>|<img[^>]*>", ""), F.lit(","), F.lit("")))
     text = F.replace(F.replace(text, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
     size = F.element_at(F.split(text, r"\s+"), -1)
@@ -60,7 +76,7 @@ def listing_entries(pages: DataFrame) -> DataFrame:
         date.alias("Last modified"),
         F.replace(size, F.lit("<dir>"), F.lit("-")).alias("Size"),
         strip(F.regexp_extract("entry", r"(?is)>([^<>]*)$", 1)).alias("Name"),
-        F.concat(site_root(F.col("url")), F.regexp_extract("entry", r"""(?is)<a\s[^>]*href="([^"]*)\"""", 1)).alias("Url"),
+        F.concat(site_root(F.col("url")), address(F.regexp_extract("entry", ANCHOR, 0))).alias("Url"),
         F.col("url").alias("Parent_Directory"),
     )
 
@@ -80,9 +96,9 @@ def directory_closure(
     visited; cycles therefore end. Every round is checkpointed, which keeps
     the plan short and survives the loss of an executor.
     """
-    edges = entries.select(
-        F.col(parent).alias("parent"), F.col(child).alias("child"), F.col(is_folder).alias("is_folder")
-    ).distinct()
+    edges = settle(
+        entries.select(F.col(parent).alias("parent"), F.col(child).alias("child"), F.col(is_folder).alias("is_folder")).distinct()
+    )
     frontier = settle(seeds.select(F.col(seeds.columns[0]).alias("folder")).distinct())
     visited = frontier
     rounds = []

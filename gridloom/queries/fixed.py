@@ -178,21 +178,57 @@ def layout_names(spark, sf_dir):
       WHERE l.value <> '' GROUP BY 1, 2, 3""",
 )
 def manifest_batch(spark, sf_dir):
-    """Lines of all data files beside their manifest entry, in one join."""
+    """Lines of all data files of a manifest, read in one scan, each beside its entry."""
+    target = scratch(spark, "batch")
     docs = table(spark, sf_dir, "documents")
-    path = F.concat(F.lit("bronze/"), "source", F.lit(".txt"))
-    lines = files.drop_blank_lines(
-        docs.select(path.alias("source"), F.col("lang").alias("line_lang"), F.explode(F.split("text", "\n")).alias("value"))
-    )
+    docs.select("source", "lang", F.col("text").alias("value")).write.partitionBy("source", "lang").text(target)
+    found = files.file_inventory(spark, target, [".txt"])
+    part = lambda name: F.regexp_extract("path", rf"/{name}=([^/]*)/", 1)
     manifest = files.manifest_triples(
-        docs.select(
-            path.alias("file"),
-            F.concat(F.lit("layouts/"), "lang", F.lit(".pdf")).alias("layout"),
-            F.concat(F.lit("codes/"), "lang", F.lit(".csv")).alias("codes"),
-        ).distinct()
+        found.select(
+            F.col("path").alias("file"),
+            F.concat(F.lit("layouts/"), part("lang"), F.lit(".pdf")).alias("layout"),
+            F.concat(F.lit("codes/"), part("lang"), F.lit(".csv")).alias("codes"),
+        )
     )
-    joined = files.manifest_join(lines, manifest, "data")
-    own = F.col("layout_path") == F.concat(F.lit("layouts/"), "line_lang", F.lit("/"))
-    return joined.filter(own).groupBy("data_path", "layout_path", "code_path").agg(
+    lines = files.manifest_batch(spark, manifest)
+    data = F.concat(F.lit("bronze/"), F.regexp_extract("data_path", "/source=([^/]*)/", 1), F.lit(".txt"))
+    return lines.groupBy(data.alias("data_path"), "layout_path", "code_path").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
     )
+
+
+_ENTRIES = """m AS (SELECT DISTINCT '/bronze/' || p_brand || '.txt' AS data_path, '/layouts/' || p_brand || '/' AS layout_path,
+  '/codes/' || (p_size % 10) || '.csv' AS code_path FROM part)"""
+
+
+@query(
+    "manifest_join",
+    f"""WITH {_ENTRIES}
+      SELECT 'layout' AS role, 's3:' || layout_path || 'p' || p_partkey || '.csv' AS source, data_path, code_path
+        FROM part JOIN m ON layout_path = '/layouts/' || p_brand || '/'
+      UNION ALL SELECT 'code', code_path, data_path, code_path FROM (SELECT DISTINCT '/codes/' || s_suppkey % 12 || '.csv' AS c FROM supplier) JOIN m ON c = code_path
+      UNION ALL SELECT 'data', data_path, data_path, code_path FROM (SELECT DISTINCT '/bronze/' || p_brand || '.txt' AS d FROM part) JOIN m ON d = data_path""",
+)
+def manifest_join(spark, sf_dir):
+    """The three roles of a file in a manifest; a layout folder covers the files directly inside."""
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in c])
+    brand = F.col("p_brand")
+    manifest = files.manifest_triples(
+        part.select(
+            text("/bronze/", brand, ".txt").alias("file"),
+            text("/layouts/", brand, ".pdf").alias("layout"),
+            text("/codes/", (F.col("p_size") % 10).cast("string"), ".csv").alias("codes"),
+        ).distinct()
+    )
+    scanned = {
+        "layout": part.select(text("s3:/layouts/", brand, "/p", F.col("p_partkey").cast("string"), ".csv").alias("source")),
+        "code": supplier.select(text("/codes/", (F.col("s_suppkey") % 12).cast("string"), ".csv").alias("source")).distinct(),
+        "data": part.select(text("/bronze/", brand, ".txt").alias("source")).distinct(),
+    }
+    found = [
+        files.manifest_join(rows, manifest, role).select(F.lit(role).alias("role"), "source", "data_path", "code_path")
+        for role, rows in scanned.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])

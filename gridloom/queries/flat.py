@@ -12,11 +12,19 @@ from gridloom.sources import files, payload
 # ---- files and their names ----------------------------------------------
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    """SELECT 'source=' || source || '/lang=' || lang AS folder, CAST(sum(octet_length(encode(replace(text, chr(10), ' '))) + 1) AS BIGINT) AS bytes
+      FROM documents GROUP BY 1""",
+)
 def file_inventory(spark, sf_dir):
-    """The files of the data folder itself, without reading them."""
-    found = files.file_inventory(spark, sf_dir, [".parquet"])
-    return found.select(text.base_name(F.col("path")).alias("name"), "length")
+    """Texts written as lines in a folder per source and language; the listing alone tells their sizes."""
+    target = scratch(spark, "inventory")
+    lines = table(spark, sf_dir, "documents").select("source", "lang", F.translate("text", "\n", " ").alias("value"))
+    lines.write.partitionBy("source", "lang").text(target)
+    found = files.file_inventory(spark, target, [".txt"])
+    folder = F.regexp_extract("path", r"(source=[^/]*/lang=[^/]*)/[^/]*$", 1)
+    return found.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
 @query("inventory_suffixes", "SELECT url FROM pages WHERE url LIKE '%.html' OR url LIKE '%/'")
@@ -127,7 +135,7 @@ def _csv(spark, sf_dir):
 def csv_scan(spark, sf_dir):
     """Texts with line breaks and quotes survive; names are cleaned."""
     # The files were written with doubled quotes.
-    found = spark.read.option("escape", '"').option("multiLine", "true").option("header", "true").csv(_csv(spark, sf_dir))
+    found = files.csv_scan(spark, _csv(spark, sf_dir), escape='"')
     named = found.select(*[F.col(f"`{c}`").alias(_csv_name(c)) for c in found.columns])
     return named.select("doc_id", F.length("full_text").alias("n_chars"), "lang__iso_")
 
@@ -179,6 +187,28 @@ def json_envelope(spark, sf_dir):
     return payload.json_envelope(table(spark, sf_dir, "events").select("event_id", body.alias("payload")))
 
 
+@query(
+    "payload_errors",
+    """SELECT CAST(event_id AS VARCHAR) AS source, 'payload' AS stage, CASE event_id % 4 WHEN 0 THEN 'not JSON'
+        WHEN 1 THEN 'no data envelope' WHEN 2 THEN 'records are no list of objects' END AS reason FROM events WHERE event_id % 4 < 3
+      UNION ALL SELECT CAST(event_id AS VARCHAR), 'good', event_type FROM events WHERE event_id % 4 = 3""",
+)
+def payload_errors(spark, sf_dir):
+    """Three kinds of broken payloads beside good ones; every payload comes out as records or as an error."""
+    kind = F.col("event_id") % 4
+    record = F.concat(F.lit('{"TypeName":"'), "event_type", F.lit('"}'))
+    body = (
+        F.when(kind == 0, F.concat(F.lit('{"BEAAPI":{"Data":['), record))
+        .when(kind == 1, F.concat(F.lit('{"BEAAPI":{"Error":'), record, F.lit("}}")))
+        .when(kind == 2, F.lit('{"BEAAPI":{"Data":"none"}}'))
+        .otherwise(F.concat(F.lit('{"BEAAPI":{"Data":['), record, F.lit("]}}")))
+    )
+    checked = payload.checked_payloads(table(spark, sf_dir, "events").select(F.col("event_id").alias("source"), body.alias("payload")))
+    records = payload.json_envelope(q.good(checked), fields=["TypeName"])
+    read = records.select(F.col("source").cast("string").alias("source"), F.lit("good").alias("stage"), F.col("TypeName").alias("reason"))
+    return q.quarantine(checked, "payload").unionByName(read)
+
+
 @query("json_param_values", 'SELECT event_id, event_type || event_id AS "Indicator_Name" FROM events')
 def json_param_values(spark, sf_dir):
     body = F.concat(

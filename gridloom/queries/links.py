@@ -7,13 +7,26 @@ from gridloom.queries.inputs import table
 from gridloom.queries.registry import query
 
 _QUOTE = "replace(replace(url_encode({0}), '%2F', '/'), '%3A', ':')"
+# Beside the anchors the pages have: other case, single quotes, none, references, a ">" in a title, no address.
 _LINKS = f"""l AS (SELECT url, CAST(unnest(range(len(hs))) AS INT) AS spot, unnest(hs) AS href
-  FROM (SELECT url, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS hs FROM pages))"""
+  FROM (SELECT url, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) || ['/b/' || page_id || '.csv?x=1&y=é', '/c/' || page_id, '/a' || page_id || 'e', 'f&' || page_id || '.zip'] AS hs FROM pages))"""
+
+
+def _pages(spark, sf_dir):
+    key = F.col("page_id").cast("string")
+    more = [
+        ('<A HREF = "/b/', '.csv?x=1&amp;y=&#xe9;">B</A>'),
+        ("<a class=k data-href='no' href='/c/", "'>C</a><a name=\"here\">D</a>"),
+        ('<a title="a > b" href=/a', "e>E</a>"),
+        ('<a\nhref="f&#38;', '.zip"\n>F</a>'),
+    ]
+    html = F.concat("html", *[x for before, after in more for x in (F.lit(before), key, F.lit(after))])
+    return table(spark, sf_dir, "pages").withColumn("html", html)
 
 
 @query("page_links", f"WITH {_LINKS} SELECT url, spot, {_QUOTE.format('href')} AS link FROM l")
 def page_links(spark, sf_dir):
-    return links.page_links(table(spark, sf_dir, "pages")).withColumnRenamed("at", "spot")
+    return links.page_links(_pages(spark, sf_dir)).withColumnRenamed("at", "spot")
 
 
 @query(
@@ -21,7 +34,7 @@ def page_links(spark, sf_dir):
     f"WITH {_LINKS} SELECT url, spot, {_QUOTE.format('href')} AS link FROM l WHERE regexp_matches(href, '^/[a-m]') OR regexp_matches(href, 'e$')",
 )
 def page_links_filtered(spark, sf_dir):
-    found = links.page_links(table(spark, sf_dir, "pages"), ["^/[a-m]", "e$"])
+    found = links.page_links(_pages(spark, sf_dir), ["^/[a-m]", "e$"])
     return found.withColumnRenamed("at", "spot")
 
 
@@ -36,9 +49,7 @@ _ABSOLUTE = f"CASE WHEN starts_with({_FULL}, 'https://') THEN {_FULL} ELSE {_ROO
 )
 def absolute_url(spark, sf_dir):
     """Every other link made a bare file name."""
-    found = table(spark, sf_dir, "pages").select(
-        "url", F.posexplode(F.regexp_extract_all("html", F.lit(links.HREF), F.lit(1))).alias("spot", "href")
-    )
+    found = _pages(spark, sf_dir).select("url", F.posexplode(links.anchors(F.col("html"))).alias("spot", "href"))
     bare = F.when(F.col("spot") % 2 == 0, F.regexp_replace("href", "^/+", "")).otherwise(F.col("href"))
     return found.select("url", "spot", links.absolute_url(bare, F.col("url")).alias("link"))
 
@@ -78,8 +89,11 @@ def _listing_pages(spark, sf_dir):
     folder = key % 10 == 0
     size = F.when(folder, "&lt;dir&gt;").otherwise(F.col("c_nationkey").cast("string"))
     href = F.concat(F.lit("/pub/"), key.cast("string"), F.when(folder, "/").otherwise(".csv"))
+    ways = F.array(F.lit(' <a href="'), F.lit(" <A class='f' HREF='"), F.lit(" <a href="))
+    ends = F.array(F.lit('">'), F.lit("'>"), F.lit(">"))
+    key = key.cast("int")
     entry = F.concat(
-        F.lit("<br> 9/1/2021, 10:30 AM   "), size, F.lit(' <a href="'), href, F.lit('">'), F.col("c_name"), F.lit("</a>")
+        F.lit("<br> 9/1/2021, 10:30 AM   "), size, F.element_at(ways, key % 3 + 1), href, F.element_at(ends, key % 3 + 1), F.col("c_name"), F.lit("</a>")
     )
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), entry.alias("e")))), lambda x: x["e"]), "")
     page = F.concat(F.lit("https://ftp.example.org/pub/"), F.floor(key / 500).cast("string"), F.lit("/"))

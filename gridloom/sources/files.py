@@ -122,14 +122,20 @@ def as_lines(lines: DataFrame, sheet: str = "text") -> DataFrame:
 
 
 def csv_scan(
-    spark: SparkSession, paths: str | Sequence[str], infer: bool = False, multi_line: bool = True, header: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    infer: bool = False,
+    multi_line: bool = True,
+    header: bool = True,
+    escape: str | None = None,
 ) -> DataFrame:
     """CSV with all columns as text, or with inferred types.
 
     ``multi_line`` keeps line breaks inside quotes; without it large files are
-    read in splits.
+    read in splits. ``escape`` is what stands before a quote inside quotes.
     """
     reader = spark.read.option("header", str(header).lower()).option("multiLine", str(multi_line).lower())
+    reader = reader.option("escape", escape) if escape else reader
     return reader.option("inferSchema", str(infer).lower()).csv(list(paths) if not isinstance(paths, str) else paths)
 
 

@@ -6,6 +6,7 @@ library; spans, names and row roles are relational (``operators.html_tables``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -22,12 +23,23 @@ CELL_SCHEMA = (
 )
 
 
-def _span(value: str | None) -> int:
-    return int(value) if value and value.strip().isdigit() else 1
+# The widest and highest cell markup allows; more counts as this much.
+MAX_COLSPAN, MAX_ROWSPAN = 1_000, 65_534
+#: Cells handed on at a time.
+BATCH_CELLS = 20_000
+
+
+def _span(value: str | None, most: int) -> int:
+    """A span as browsers read it: the digits at its beginning, at least 1."""
+    digits = re.match(r"\s*([0-9]{1,9})", value or "")
+    return min(max(int(digits.group(1)), 1), most) if digits else 1
 
 
 class _Tables(HTMLParser):
-    """Collects ``CELL_COLUMNS`` tuples; captions and table feet are cells of their own part."""
+    """Collects ``CELL_COLUMNS`` tuples; captions and table feet are cells of their own part.
+
+    A table inside a cell is a table of its own, numbered as it begins; its end leads back to the cell around it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -36,14 +48,21 @@ class _Tables(HTMLParser):
         self.open = False
         self.part = "tbody"
         self.row = -1
-        self.first_of_row = 0
+        self.place = 0
+        self.row_cells: list[list] = []
         self.row_class: str | None = None
         self.current: list | None = None
+        self.around: list[tuple] = []
+        self.tables = 0
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
         if tag == "table":
-            self.table, self.open, self.part, self.row, self.current = self.table + 1, True, "tbody", -1, None
+            if self.open:
+                self.around.append((self.table, self.part, self.row, self.place, self.row_cells, self.row_class, self.current))
+            self.table, self.tables = self.tables, self.tables + 1
+            self.open, self.part, self.row, self.current = True, "tbody", -1, None
+            self.place, self.row_cells, self.row_class = 0, [], None
         elif not self.open:
             return
         elif tag in ("thead", "tbody", "tfoot"):
@@ -55,20 +74,22 @@ class _Tables(HTMLParser):
         elif self.part == "tfoot":
             return
         elif tag == "tr":
-            self.row, self.first_of_row, self.current = self.row + 1, len(self.cells), None
+            self.row, self.place, self.row_cells, self.current = self.row + 1, 0, [], None
             self.row_class = None
         elif tag in ("td", "th"):
-            self._start(tag, len(self.cells) - self.first_of_row, self.part, attrs)
+            self._start(tag, self.place, self.part, attrs)
+            self.place += 1
+            self.row_cells.append(self.current)
             if tag == "th" and self.row_class is None:
                 # The first heading cell speaks for the whole row.
                 self.row_class = next(iter((attrs.get("class") or "").split()), "")
-                for cell in self.cells[self.first_of_row:]:
+                for cell in self.row_cells:
                     cell[8] = self.row_class
 
     def _start(self, tag, place, part, attrs):
         row = self.row if part in ("thead", "tbody") else 0
         self.current = [
-            self.table, part, row, place, tag, "", _span(attrs.get("rowspan")), _span(attrs.get("colspan")),
+            self.table, part, row, place, tag, "", _span(attrs.get("rowspan"), MAX_ROWSPAN), _span(attrs.get("colspan"), MAX_COLSPAN),
             self.row_class if part in ("thead", "tbody") else None,
         ]
         self.cells.append(self.current)
@@ -79,7 +100,9 @@ class _Tables(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag == "table":
-            self.open, self.current = False, None
+            self.open, self.current = bool(self.around), None
+            if self.around:
+                self.table, self.part, self.row, self.place, self.row_cells, self.row_class, self.current = self.around.pop()
         elif tag in ("td", "th", "caption", "tfoot") and self.current is not None:
             if self.part != "tfoot" or tag == "tfoot":
                 self.current = None
@@ -101,11 +124,15 @@ def html_table_cells(pages: DataFrame, keys: Sequence[str] = ("url",), html: str
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", " + CELL_SCHEMA
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[list] = []
         for batch in batches:
             for *key, text in batch[[*keys, html]].itertuples(index=False, name=None):
-                cells = page_cells(text or "")
-                if cells:
-                    yield pd.DataFrame([[*key, *c] for c in cells], columns=[*keys, *CELL_COLUMNS])
+                found += [[*key, *c] for c in page_cells(text or "")]
+                if len(found) >= BATCH_CELLS:
+                    yield pd.DataFrame(found, columns=[*keys, *CELL_COLUMNS])
+                    found = []
+        if found:
+            yield pd.DataFrame(found, columns=[*keys, *CELL_COLUMNS])
 
     # Pages without a table are left out before any of them goes to Python.
     with_table = pages.filter(F.col(html).rlike("(?i)<table"))

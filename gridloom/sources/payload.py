@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import url_to_path
+from gridloom.operators.quarantine import check
 
 # Where the records of a payload stand.
 DATA_PATHS = ["$.BEAAPI.Data", "$.BEAAPI.Results.Data"]
@@ -41,6 +42,15 @@ def json_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return payloads.select(*rest, F.posexplode(F.coalesce(*parsed)).alias("record_idx", "record"))
 
 
+def checked_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Payloads with the reason why none of their records can be read, for ``quarantine`` and ``good``."""
+    text = F.col(payload)
+    found = F.coalesce(*[F.get_json_object(text, p) for p in DATA_PATHS])
+    parsed = F.coalesce(*[F.from_json(F.get_json_object(text, p), RECORDS) for p in DATA_PATHS])
+    whole = F.get_json_object(text, "$").isNotNull()
+    return check(payloads, {"not JSON": whole, "no data envelope": found.isNotNull(), "records are no list of objects": parsed.isNotNull()})
+
+
 def record_fields(records: DataFrame, record: str = "record") -> list[str]:
     """Union of the record keys: the only thing that reaches the driver."""
     keys = records.select(F.explode(F.map_keys(record)).alias("k")).distinct()
