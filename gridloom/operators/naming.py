@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions import text
 from gridloom.operators.grid import SHEET
 
-DEDUPE_PASSES = 3
-
 CLEANERS = {
     "excel": text.clean_name_excel,
     "html": text.clean_name_html,
@@ -27,29 +25,49 @@ def clean_names(names: DataFrame, family: str) -> DataFrame:
 
 
 def dedupe_names(names: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Second and later uses of a name get ``_2``, ``_3`` …
+    """The second use of a name gets ``_2``, the third ``_3`` …, or the next suffix that is free.
 
-    A suffixed name can itself collide (``a, a, a_2``), so the rule is applied
-    again to its own output. Names are compared without case, as the parquet
-    reader does. A window group holds equal names of one table, so it is never
-    larger than the table is wide.
+    From left to right a name stays if no column before it has it; else it gets
+    the number of its use, or the first number after that which gives a name no
+    column before it has (``a, a, a_2`` → ``a, a_2, a_2_2``). Names are compared
+    without case, as the parquet reader does. The names of one table meet in
+    one row; tables without a repeated name are left alone.
     """
     keys = SHEET if keys is None else keys
-    same = Window.partitionBy(*keys, "__fold")
-    out = names
-    for _ in range(DEDUPE_PASSES):
-        out = (
-            out.withColumn("__fold", F.lower("name"))
-            .withColumn("__n", F.row_number().over(same.orderBy("col_idx")))
-            .withColumn("name", F.when(F.col("__n") > 1, F.concat_ws("_", "name", "__n")).otherwise(F.col("name")))
+    ordered = F.sort_array(F.collect_list(F.struct("col_idx", "name")))
+    tables = names.groupBy(*keys).agg(ordered.alias("__names"))
+    folded = F.transform("__names", lambda n: F.lower(n["name"]))
+    repeated = F.size(F.array_distinct(F.filter(folded, lambda n: n.isNotNull()))) < F.size(F.filter(folded, lambda n: n.isNotNull()))
+
+    def step(done: Column, n: Column) -> Column:
+        taken, seen, fold = done["taken"], done["seen"], F.lower(n["name"])
+        use = F.size(F.filter(seen, lambda s: s == fold)) + 1
+        numbers = F.sequence(F.greatest(use, F.lit(2)), use + F.size(taken) + 2)
+        free = F.aggregate(
+            numbers,
+            F.lit(None).cast("int"),
+            lambda found, k: F.when(found.isNotNull(), found).when(~F.array_contains(taken, F.concat_ws("_", fold, k)), k),
+        )
+        name = F.when(~F.array_contains(taken, fold), n["name"]).otherwise(F.concat_ws("_", n["name"], free))
+        kept = F.when(n["name"].isNull(), n["name"]).otherwise(name)
+        row = F.struct(n["col_idx"].alias("col_idx"), kept.alias("name"))
+        grown = F.struct(
+            F.concat(taken, F.array(F.coalesce(F.lower(kept), F.lit("")))).alias("taken"),
+            F.concat(seen, F.array(F.coalesce(fold, F.lit("")))).alias("seen"),
+            F.concat(done["out"], F.array(row)).alias("out"),
         )
-    # Chains longer than the passes (a, a, a_2, a_2_2, a_2_2_2 …) end by position.
-    out = (
-        out.withColumn("__fold", F.lower("name"))
-        .withColumn("__n", F.row_number().over(same.orderBy("col_idx")))
-        .withColumn("name", F.when(F.col("__n") > 1, F.concat_ws("__", "name", "col_idx")).otherwise(F.col("name")))
+        return grown
+
+    kind = names.select(F.struct("col_idx", "name")).schema[0].dataType.simpleString()
+    empty = F.struct(
+        F.array().cast("array<string>").alias("taken"),
+        F.array().cast("array<string>").alias("seen"),
+        F.array().cast(f"array<{kind}>").alias("out"),
     )
-    return out.drop("__fold", "__n")
+    resolved = F.aggregate("__names", empty, step, lambda done: done["out"])
+    unique = tables.select(*keys, F.explode(F.when(repeated, resolved).otherwise(F.col("__names"))).alias("__unique"))
+    unique = unique.select(*keys, F.col("__unique.col_idx").alias("col_idx"), F.col("__unique.name").alias("__name"))
+    return names.join(unique, [*keys, "col_idx"]).withColumn("name", F.col("__name")).select(*names.columns)
 
 
 def truncate_names(names: DataFrame, length: int = text.MAX_NAME_LENGTH) -> DataFrame:

@@ -19,7 +19,6 @@ from gridloom.functions.ordered import (
     no_blocks,
     over_blocks,
     running_total,
-    whole_sum,
     with_blocks,
 )
 from gridloom.functions.text import is_alpha, starts_with_letter, strip
@@ -107,24 +106,35 @@ def _block_changes(pdf: pd.DataFrame, last: tuple | None) -> tuple[np.ndarray, t
 _BLOCK_KEYS = [*SHEET, "__block"]
 
 
+def _composed(maps: np.ndarray) -> np.ndarray:
+    """One map from state to state for maps applied in turn: neighbours are joined until one is left."""
+    while len(maps) > 1:
+        odd = maps[-1:] if len(maps) % 2 else maps[:0]
+        pairs = maps[: len(maps) - len(odd)]
+        maps = np.concatenate([np.take_along_axis(pairs[1::2], pairs[0::2], axis=1), odd])
+    return maps[0]
+
+
 def _block_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """End state of every block for each start state, over rows sorted by block."""
-    moves, last, state = _moves(), None, []
+    after = np.array([[state for state, _ in row] for row in _moves()])
+    last, state = None, np.arange(len(_STATES))
     for pdf in batches:
-        changes, key = _block_changes(pdf, last)
-        done, keys = [], pdf[_BLOCK_KEYS].itertuples(index=False, name=None)
-        for code, new, at in zip(pdf["__code"].tolist(), changes.tolist(), keys):
-            if new:
+        if not len(pdf):
+            continue
+        changes, _ = _block_changes(pdf, last)
+        codes, done = pdf["__code"].to_numpy(), []
+        begins = [0, *[i for i in np.flatnonzero(changes).tolist() if i]]
+        for begin, end in zip(begins, [*begins[1:], len(pdf)]):
+            if changes[begin]:
                 if last is not None:
-                    done.append((*last, state))
-                state, last = list(range(len(_STATES))), at
-            row = moves[code]
-            state = [row[s][0] for s in state]
-        last = key
+                    done.append((*last, state.tolist()))
+                state, last = np.arange(len(_STATES)), tuple(pdf[_BLOCK_KEYS].iloc[begin])
+            state = _composed(after[codes[begin:end]])[state]
         if done:
             yield pd.DataFrame(done, columns=[*_BLOCK_KEYS, "ends"])
     if last is not None:
-        yield pd.DataFrame([(*last, state)], columns=[*_BLOCK_KEYS, "ends"])
+        yield pd.DataFrame([(*last, state.tolist())], columns=[*_BLOCK_KEYS, "ends"])
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -307,14 +317,28 @@ def section_extract(
 # ---- shards -------------------------------------------------------------
 
 
+def global_position(df: DataFrame, order: str) -> DataFrame:
+    """Adds ``__i``, the 0-based place of a row in the whole table, and ``__n``, its number of rows.
+
+    Rows are written in ranges of the order, one per task, numbered inside their range and shifted by the rows of the
+    ranges before, of which only the counts come to the driver. No task sees more than its range.
+    """
+    spark = df.sparkSession
+    ranged = settle(df.repartitionByRange(F.col(order)).withColumn("__range", F.spark_partition_id()))
+    counts = {r["__range"]: r["n"] for r in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shifts, total = [], 0
+    for at in sorted(counts):
+        shifts.append((at, total))
+        total += counts[at]
+    offsets = spark.createDataFrame(shifts, "__range int, __shift long")
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(order)) - 1
+    placed = ranged.withColumn("__inside", inside).join(offsets, "__range")
+    return placed.withColumns({"__i": F.col("__shift") + F.col("__inside"), "__n": F.lit(total).cast("long")}).select(*df.columns, "__i", "__n")
+
+
 def equal_frequency_shard(df: DataFrame, order: str, k: int, name: str = "shard") -> DataFrame:
     """Quantile bucket (0 … k-1) of the row position."""
-    placed = over_blocks(
-        df,
-        [],
-        order,
-        {"__i": running_total(F.lit(1).cast("long"), inclusive=False), "__n": whole_sum(F.lit(1).cast("long"))},
-    )
+    placed = global_position(df, order)
     # Whole numbers: ceil(k·i / (n-1)) without a rounding error for large n.
     bucket = F.greatest(F.expr(f"({k} * __i + greatest(__n - 1, 1) - 1) div greatest(__n - 1, 1)") - 1, F.lit(0))
     return placed.withColumn(name, bucket.cast("int")).drop("__i", "__n")
@@ -322,12 +346,7 @@ def equal_frequency_shard(df: DataFrame, order: str, k: int, name: str = "shard"
 
 def even_split(df: DataFrame, order: str, k: int, name: str = "chunk") -> DataFrame:
     """k contiguous chunks (1 … k), the first ``n mod k`` one row longer."""
-    placed = over_blocks(
-        df,
-        [],
-        order,
-        {"__i": running_total(F.lit(1).cast("long"), inclusive=False), "__n": whole_sum(F.lit(1).cast("long"))},
-    )
+    placed = global_position(df, order)
     chunk = F.expr(
         f"""case when __i < (__n % {k}) * (__n div {k} + 1)
                  then __i div (__n div {k} + 1) + 1

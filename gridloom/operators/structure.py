@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridloom.functions.ordered import (
+    following,
     last_seen,
     no_blocks,
     over_blocks,
@@ -499,14 +500,16 @@ def carry_label_uspto(rows: DataFrame) -> DataFrame:
     """
     label = F.col("role") == "label"
     facts = _settled_facts(rows, __first=F.when(label, cell(F.col("vals"), 0)))
-    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n"))})
+    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n")), "__next_label": following(label)})
     follows = F.coalesce("__prev", F.lit(0)) == 1
     restart = (F.col("__n") == 0) | (label & ~follows)
     islands = over_blocks(before, SHEET, "row_idx", {"__island": running_total(restart.cast("int"))})
     piece = F.when(follows, F.concat(F.lit(" "), F.col("__first"))).otherwise(F.col("__first"))
-    marked = _with_running_text(islands, "__island", label, piece).withColumn(
+    # Only the last label before another row is ever read.
+    read = label & ~F.coalesce("__next_label", F.lit(False))
+    marked = _with_running_text(islands, "__island", label, piece, read).withColumn(
         "__event", F.when(F.col("__n") == 0, F.lit("")).otherwise(F.col("__text"))
-    )
+    ).drop("__next_label")
     carried = over_blocks(marked, SHEET, "row_idx", {"__label": last_seen(F.col("__event"))})
     labels = carried.filter((F.col("role") == "body") & (F.col("__label") != "")).select(*ROW, "__label")
     vals = F.col("vals")
@@ -515,14 +518,19 @@ def carry_label_uspto(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("role") == "body").join(labels, ROW, "left").select(*ROW, out.alias("vals"))
 
 
-def _with_running_text(rows: DataFrame, chain: str, label: Column, piece: Column) -> DataFrame:
-    """``__text`` of every label row: the pieces of its chain so far.
+def _with_running_text(rows: DataFrame, chain: str, label: Column, piece: Column, read: Column) -> DataFrame:
+    """``__text`` of the label rows that are ``read``: the pieces of their chain so far.
 
-    Only label rows are sorted here, by chain; the others pass by.
+    The pieces of a chain are gathered once, in order; each row that is read
+    joins those up to its own. Other rows pass by.
     """
-    so_far = Window.partitionBy(*SHEET, chain).orderBy("row_idx")
-    text = F.array_join(F.collect_list(piece).over(so_far), "")
-    texts = rows.filter(label).select(*ROW, "__block", text.alias("__text"))
+    pieces = rows.filter(label).groupBy(*SHEET, chain).agg(
+        F.sort_array(F.collect_list(F.struct("row_idx", piece.alias("piece")))).alias("__pieces")
+    )
+    so_far = F.filter("__pieces", lambda p: p["row_idx"] <= F.col("row_idx"))
+    text = F.array_join(F.transform(so_far, lambda p: p["piece"]), "")
+    readers = rows.filter(read).select(*ROW, "__block", chain)
+    texts = readers.join(pieces, [*SHEET, chain]).select(*ROW, "__block", text.alias("__text"))
     return rows.join(texts, [*ROW, "__block"], "left")
 
 
@@ -553,9 +561,13 @@ def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     starts = (label & ~F.col("__joins")) | (F.col("__n") == 0)
     chains = over_blocks(marked, SHEET, "row_idx", {"__chain": running_total(starts.cast("int"))})
     piece = F.when(F.col("__joins"), F.concat(F.lit(" "), strip(first))).otherwise(first)
-    texts = _with_running_text(chains, "__chain", label, piece)
+    # A joined label stays only if its text begins with a blank and ends without a colon: its chain's first piece and
+    # its own last one tell, so no other text is put together.
+    begun = over_blocks(chains, SHEET, "row_idx", {"__begin": last_seen(F.when(label & ~F.col("__joins"), first))})
+    stays = F.coalesce(F.col("__begin").startswith(" ") & ~piece.endswith(":"), F.lit(False))
+    texts = _with_running_text(begun, "__chain", label, piece, label & F.col("__joins") & stays)
     kept = texts.filter(F.col("role").isin("body", "label")).withColumn(
-        "__first", F.when(F.col("__joins"), F.col("__text")).otherwise(first)
+        "__first", F.when(F.col("__joins"), F.coalesce("__text", F.lit(":"))).otherwise(first)
     )
     mover = F.coalesce(lone & (first == USPTO_JOINED_LABEL), F.lit(False))
     moved = over_blocks(kept.withColumn("__mover", mover), SHEET, "row_idx", {"__above": previous(F.col("__mover"))})

@@ -100,19 +100,25 @@ def _brands(spark, sf_dir):
     )
 
 
-_PASS = """, p{i} AS (SELECT source, sheet, col_idx, CASE WHEN n > 1 THEN name || '_' || n ELSE name END AS name FROM
-  (SELECT *, row_number() OVER (PARTITION BY source, sheet, lower(name) ORDER BY col_idx) AS n FROM {prev}))"""
-_DEDUPE = _PASS.format(i=1, prev="brands") + _PASS.format(i=2, prev="p1") + _PASS.format(i=3, prev="p2")
-
-
-@query("dedupe_names", f"WITH {_BRANDS}{_DEDUPE} SELECT * FROM p3")
+# One name after the other, with all names before it at hand.
+_PICK = """CASE WHEN NOT list_contains(w.taken, lower(r.name)) THEN r.name ELSE r.name || '_' ||
+  list_filter(range(greatest(r.use, 2), r.use + len(w.taken) + 3), lambda k: NOT list_contains(w.taken, lower(r.name || '_' || k)))[1] END"""
+_DEDUPE = f""", ranked AS (SELECT *, row_number() OVER (PARTITION BY source, sheet ORDER BY col_idx) AS place,
+    row_number() OVER (PARTITION BY source, sheet, lower(name) ORDER BY col_idx) AS use FROM brands),
+  walk AS (SELECT DISTINCT source, sheet, CAST(0 AS BIGINT) AS place, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS INT) AS col_idx, CAST(NULL AS VARCHAR) AS name FROM brands
+    UNION ALL SELECT r.source, r.sheet, r.place, list_append(w.taken, lower({_PICK})), r.col_idx, {_PICK}
+      FROM walk w JOIN ranked r ON r.source = w.source AND r.sheet = w.sheet AND r.place = w.place + 1),
+  p3 AS (SELECT source, sheet, col_idx, name FROM walk WHERE place > 0)"""
+
+
+@query("dedupe_names", f"WITH RECURSIVE {_BRANDS}{_DEDUPE} SELECT * FROM p3")
 def dedupe_names(spark, sf_dir):
     return naming.dedupe_names(_brands(spark, sf_dir))
 
 
 @query(
     "truncate_names",
-    f"""WITH {_RAW}, brands AS (SELECT source, sheet, col_idx, left(coalesce(raw, 'col_' || col_idx), 40) AS name FROM raw){_DEDUPE}
+    f"""WITH RECURSIVE {_RAW}, brands AS (SELECT source, sheet, col_idx, left(coalesce(raw, 'col_' || col_idx), 40) AS name FROM raw){_DEDUPE}
       SELECT * FROM p3""",
 )
 def truncate_names(spark, sf_dir):

@@ -248,3 +248,42 @@ def test_fixed_width_views(spark):
     assert first.columns == ["source", "line_no", "State_code", "Type_code", "State", "Kind_of"]
     got = {r["source"]: tuple(r)[2:] for r in second.collect()}
     assert got == {"d/Fin_PID.txt": ("01", "A", "north", "county"), "d/x.txt": (None, None, "02", "B")}
+
+
+def test_nested_tables_and_odd_spans(spark):
+    from gridloom.sources.html import html_table_cells
+
+    html = """<TABLE><tr><td>a<table><tr><td colspan="²">in</td></tr></table>b</td><td colspan="5 x">c</td></tr>
+      <tr><td rowspan=99999999999>d</td><td colspan=-3>e</td><td colspan="100000">f</td></tr></TABLE><table><tr><td>last</td></tr></table>"""
+    pages = spark.createDataFrame([("u", html), ("v", None), ("w", "<table>")], "url string, html string")
+    found = sorted((c.table_idx, c.row_idx, c.cell_idx, c.text, c.rowspan, c.colspan) for c in html_table_cells(pages).collect())
+    assert found == [
+        (0, 0, 0, "ab", 1, 1), (0, 0, 1, "c", 1, 5), (0, 1, 0, "d", 65534, 1), (0, 1, 1, "e", 1, 1), (0, 1, 2, "f", 1, 1000),
+        (1, 0, 0, "in", 1, 1), (2, 0, 0, "last", 1, 1),
+    ]
+
+
+def test_grid_of_wide_and_high_tables(spark):
+    """Thousands of slices in a row and row numbers above a million stay apart."""
+    from gridloom.operators.html_tables import page_grid
+
+    cell = lambda part, row, i, text: ("u", 0, part, row, i, "td", text, 1, 1, "")
+    cells = [cell("thead", 0, 0, "h"), cell("caption", 0, 0, "c"), cell("tfoot", 0, 0, "f")]
+    cells += [cell("tbody", row, i, str(i)) for row, width in ((1, 1), (2, 1200), (3, 1100), (2_000_000, 2)) for i in range(width)]
+    schema = "url string, table_idx int, part string, row_idx int, cell_idx int, tag string, text string, rowspan int, colspan int, row_class string"
+    rows = page_grid(spark.createDataFrame(cells, schema)).collect()
+    at = sorted(r.row_idx for r in rows)
+    assert at == list(range(len(rows))) and len(rows) == 1 + 1 + 1 + 1199 + 1099 + 1 + 1
+    by = {r.row_idx: r.vals for r in rows}
+    assert by[0] == ["c"] and by[1] == ["h"] and by[len(rows) - 1] == ["f"] and by[3] == ["0"] and len(by[1201]) == 1199
+
+
+def test_broken_payloads(spark):
+    from gridloom.operators.quarantine import good, quarantine
+    from gridloom.sources.payload import checked_payloads
+
+    texts = ["", None, "{", '{"BEAAPI":{}}', '{"BEAAPI":{"Data":3}}', '{"BEAAPI":{"Data":[{"a":"1"}]}}', '{"BEAAPI":{"Results":{"Data":[]}}}']
+    checked = checked_payloads(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "source string, payload string"))
+    errors = {r.source: r.reason for r in quarantine(checked, "payload").collect()}
+    assert errors == {"0": "not JSON", "1": "not JSON", "2": "not JSON", "3": "no data envelope", "4": "records are no list of objects"}
+    assert {r.source for r in good(checked).collect()} == {"5", "6"}

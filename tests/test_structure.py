@@ -221,3 +221,43 @@ def test_strip_is_the_unicode_one(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [tuple(r) for r in df.select(text.strip(F.col("v")), text.strip_left(F.col("v"))).collect()]
     assert got == [(v.strip(), v.lstrip()) for v in values]
+
+
+def test_dedupe_names_on_adversarial_headings(spark):
+    """One rule until all are unique, against a walk from left to right."""
+    import random
+
+    r = random.Random(7)
+    tables = [["a", "a", "a__1", "a_2", "a_2_2", "a_2_2_2", "a_2_2_2_2", "A"], ["a_2", "a", "a", "a_3"], ["x"] * 40, [None, "n", None, "N"]]
+    tables += [[r.choice(["a", "A", "a_2", "a_3", "a_2_2", "b"]) for _ in range(12)] for _ in range(30)]
+    rows = [("f", str(t), i, n) for t, names in enumerate(tables) for i, n in enumerate(names)]
+    found = {}
+    for x in naming.dedupe_names(spark.createDataFrame(rows, "source string, sheet string, col_idx int, name string")).collect():
+        found.setdefault(int(x.sheet), {})[x.col_idx] = x.name
+    for t, names in enumerate(tables):
+        taken, expected = set(), []
+        for i, n in enumerate(names):
+            use = 1 + sum(m is not None and n is not None and m.lower() == n.lower() for m in names[:i])
+            k, name = max(use, 2), n
+            while name is not None and name.lower() in taken:
+                name, k = f"{n}_{k}", k + 1
+            taken.add(name and name.lower())
+            expected.append(name)
+        assert [found[t][i] for i in range(len(names))] == expected
+        known = [n.lower() for n in expected if n]
+        assert len(set(known)) == len(known)
+
+
+def test_a_long_run_of_labels_is_linear(spark):
+    n = 100_000
+    held = spark.conf.get("spark.gridloom.blockRows")
+    spark.conf.set("spark.gridloom.blockRows", "65536")
+    try:
+        rows = spark.range(n + 1).selectExpr(
+            "'f' source", "'s' sheet", "id row_idx",
+            f"if(id < {n}, array('label', null), array('x', 'y')) vals", f"if(id < {n}, 'label', 'body') role",
+        )
+        out = st.carry_label_uspto(rows).collect()
+    finally:
+        spark.conf.set("spark.gridloom.blockRows", held)
+    assert len(out) == 1 and out[0].vals[0] == " ".join(["label"] * n + ["x"])
