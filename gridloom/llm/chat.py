@@ -64,9 +64,11 @@ def best_paths(messages: DataFrame) -> DataFrame:
     jump = settle(linked.select("x.tree", "x.msg", F.when(F.col("up.found"), F.col("x.parent")).alias("up"), F.lit(1).cast("long").alias("steps"), F.col("x.score").alias("total")))
     rounds, total, size = [jump], jump, jump.count()
     while (1 << (len(rounds) - 1)) < max(size, 1) and not total.where("up is not null").isEmpty():
-        x, up = total.alias("x"), total.select("tree", F.col("msg").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("sum")).alias("up")
-        joined = x.join(up, same[0] & (F.col("x.up") == F.col("up.at")), "left")
-        total = settle(joined.select("x.tree", "x.msg", F.col("up.next").alias("up"), (F.col("x.steps") + F.coalesce("up.more", F.lit(0))).alias("steps"), (F.col("x.total") + F.coalesce("up.sum", F.lit(0.0))).alias("total")))
+        # Messages whose path is known are done; only the others go on.
+        x, up = total.where("up is not null").alias("x"), total.select("tree", F.col("msg").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("sum")).alias("up")
+        joined = x.join(up, same[0] & (F.col("x.up") == F.col("up.at")))
+        further = joined.select("x.tree", "x.msg", F.col("up.next").alias("up"), (F.col("x.steps") + F.col("up.more")).alias("steps"), (F.col("x.total") + F.col("up.sum")).alias("total"))
+        total = settle(total.where("up is null").unionAll(further))
         rounds.append(total)
     # ``rounds[k]`` links a message to its ancestor 2^k up; where that is null its steps and total reach to the root.
     rooted = total.where("up is null")
