@@ -101,6 +101,49 @@ def sheet_path(spark, sf_dir):
     return workbook.sheet_path(rows).select("sheet", "table_path").distinct()
 
 
+# Styles: plain, a date, a date of its own format, a time, a number that only looks like one.
+_STYLES = f"""<styleSheet xmlns="{_NS}"><numFmts><numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd"/><numFmt numFmtId="171" formatCode="0 &quot;days&quot;"/></numFmts>
+  <cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>"""
+
+
+def _encode_orders(pdf: pd.DataFrame) -> pd.DataFrame:
+    lines = []
+    for at, row in enumerate(pdf.sort_values("o_orderkey").itertuples(), 1):
+        serial = (row.o_orderdate - pd.Timestamp("1899-12-30")) / pd.Timedelta(days=1)
+        cells = [
+            f"<v>{row.o_orderkey}</v>", f"<v>{row.o_totalprice:.17g}</v>", f' s="{1 + at % 2}"><v>{serial:.15g}</v>', f' s="3"><v>{row.o_custkey}</v>',
+            ' t="e"><v>#N/A</v>' if row.o_orderkey % 3 == 0 else f' t="str"><v>{row.o_orderstatus}</v>',
+            f' t="inlineStr"><is><t>{"NA" if row.o_orderkey % 5 == 0 else row.o_orderpriority}</t></is>',
+        ]
+        text = "".join(f'<c r="{chr(65 + i)}{at}"{"" if c.startswith(" ") else ">"}{c}</c>' for i, c in enumerate(cells))
+        lines.append(f'<row r="{at}">{text}</row>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/worksheets/sheet0.xml", f'<worksheet xmlns="{_NS}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS}" xmlns:r="{_REL}"><sheets><sheet name="o" sheetId="1" r:id="rId0"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId0" Target="worksheets/sheet0.xml"/></Relationships>')
+        book.writestr("xl/styles.xml", _STYLES)
+    return pd.DataFrame({"path": [pdf["file"].iloc[0]], "content": [out.getvalue()]})
+
+
+@query(
+    "workbook_values",
+    """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, CAST(o_custkey AS VARCHAR) AS o_custkey,
+      CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 > 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def workbook_values(spark, sf_dir):
+    """Orders with all digits of their price, dates as day numbers, error and missing cells; a price reads as it was."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").withColumn("file", F.concat(F.lit("o/"), F.floor(key / ROWS_PER_FILE).cast("string"), F.lit(".xlsx")))
+    files = orders.groupBy("file").applyInPandas(_encode_orders, "path string, content binary")
+    rows = workbook.decode_workbooks(_spread(files)).filter("error is null")
+    names = ["o_orderkey", "o_totalprice", "o_orderdate", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    read = rows.select(*[F.col("vals")[i].alias(n) for i, n in enumerate(names)])
+    # The shortest text of a price has no more digits than the price itself.
+    short = F.when(F.length("o_totalprice") <= 12, F.col("o_totalprice")).cast("double")
+    return read.withColumns({"o_orderkey": F.col("o_orderkey").cast("long"), "o_totalprice": short})
+
+
 # ---- archives -----------------------------------------------------------
 
 

@@ -11,6 +11,8 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -52,21 +54,66 @@ def _column(reference: str) -> int:
     return number - 1
 
 
-def _text(cell, shared: list[str]) -> str | None:
+# Texts that stand for no value, number formats that show a date or a time, and day zero of both calendars.
+MISSING = {
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+}
+DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+DAY_ZERO, DAY_ZERO_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
+# What a custom format shows literally, and its colours, conditions and elapsed times.
+_LITERAL = re.compile(r'"[^"]*"|\\.|_.|\*.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', re.IGNORECASE)
+
+
+@dataclass(frozen=True)
+class _Book:
+    """What cells refer to: texts, which styles show dates, and the first day."""
+
+    shared: list[str]
+    dates: list[bool]
+    zero: datetime
+
+
+def _date_styles(book: zipfile.ZipFile) -> list[bool]:
+    if "xl/styles.xml" not in book.namelist():
+        return []
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    custom = {int(n.get("numFmtId", 0)): n.get("formatCode", "") for n in root.iter(_MAIN + "numFmt")}
+    formats = root.find(_MAIN + "cellXfs")
+    ids = [int(x.get("numFmtId", 0)) for x in formats] if formats is not None else []
+    shows = lambda code: bool(re.search("[dmyhs]", _LITERAL.sub("", code), re.IGNORECASE)) and code.lower() != "general"
+    return [shows(custom[i]) if i in custom else i in DATE_FORMATS for i in ids]
+
+
+def _number(value: str, is_date: bool, zero: datetime) -> str:
+    """A number as its shortest text; a date with its time of day, a time alone below one day."""
+    if is_date:
+        moment = zero + timedelta(seconds=round(float(value) * 86_400))
+        return str(moment.time() if 0 <= float(value) < 1 else moment)
+    return str(float(value)) if re.search("[.eE]", value) else str(int(value))
+
+
+def _text(cell, book: _Book) -> str | None:
     kind = cell.get("t")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(_MAIN + "t"))
+        value = "".join(t.text or "" for t in cell.iter(_MAIN + "t"))
+        return None if value in MISSING else value
     value = cell.findtext(_MAIN + "v")
-    if value is None:
+    if value is None or kind == "e":
         return None
     if kind == "s":
-        return shared[int(value)]
-    if kind == "b":
+        value = book.shared[int(value)]
+    elif kind == "b":
         return "True" if value == "1" else "False"
-    return value
+    elif kind in (None, "n"):
+        style = int(cell.get("s", 0))
+        return _number(value, style < len(book.dates) and book.dates[style], book.zero)
+    elif kind == "d":
+        return str(datetime.fromisoformat(value.replace("Z", "")))
+    return None if value in MISSING else value
 
 
-def _rows(book: zipfile.ZipFile, path: str, shared: list[str]) -> Iterator[tuple[int, dict[int, str]]]:
+def _rows(book: zipfile.ZipFile, path: str, facts: _Book) -> Iterator[tuple[int, dict[int, str]]]:
     with book.open(path) as part:
         at = -1
         for _, node in ElementTree.iterparse(part):
@@ -76,7 +123,7 @@ def _rows(book: zipfile.ZipFile, path: str, shared: list[str]) -> Iterator[tuple
             found, column = {}, -1
             for c in node.iter(_MAIN + "c"):
                 column = _column(c.get("r")) if c.get("r") else column + 1
-                value = _text(c, shared)
+                value = _text(c, facts)
                 if value is not None:
                     found[column] = value
             node.clear()
@@ -86,14 +133,17 @@ def _rows(book: zipfile.ZipFile, path: str, shared: list[str]) -> Iterator[tuple
 def decode_workbook(source: str, content: bytes) -> Iterator[tuple]:
     """Grid rows of all sheets, padded to the width of the sheet, gaps between rows filled."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared, sheets = _shared_strings(book), _sheets(book)
+        sheets = _sheets(book)
+        properties = ElementTree.fromstring(book.read("xl/workbook.xml")).find(_MAIN + "workbookPr")
+        late = properties is not None and properties.get("date1904") in ("1", "true")
+        facts = _Book(_shared_strings(book), _date_styles(book), DAY_ZERO_1904 if late else DAY_ZERO)
         for name, path in sheets:
             # The width is known after a first pass over the same bytes.
-            width = max((max(found) + 1 for _, found in _rows(book, path, shared) if found), default=0)
+            width = max((max(found) + 1 for _, found in _rows(book, path, facts) if found), default=0)
             if width == 0:
                 continue
             expected = 0
-            for at, found in _rows(book, path, shared):
+            for at, found in _rows(book, path, facts):
                 for gap in range(expected, at):
                     yield source, name, gap, [None] * width, len(sheets), None
                 yield source, name, at, [found.get(i) for i in range(width)], len(sheets), None
