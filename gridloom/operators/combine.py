@@ -79,13 +79,18 @@ def union_same_key(tables: DataFrame, keys: Sequence[str] = ("key",)) -> DataFra
     return numbered.select(*tables.columns, output.alias("output"), place.cast("int").alias("out_place"))
 
 
+def output_group(tables: DataFrame, path: str = "source", marker: str = "NSDUHDetTabsSect") -> DataFrame:
+    """``output_group`` by file name."""
+    group = F.when(F.col(path).contains(marker), "NSDUHDetTabsSect").otherwise("NSDUHDetTabsApp")
+    return tables.withColumn("output_group", group)
+
+
 def route_outputs(tables: DataFrame, path: str = "source", marker: str = "NSDUHDetTabsSect") -> DataFrame:
     """Output group by file name, and a numbered name for tables without a caption.
 
     Input: one row per output table, ``(source, folder, key, table_id)``.
     """
-    group = F.when(F.col(path).contains(marker), "NSDUHDetTabsSect").otherwise("NSDUHDetTabsApp")
-    grouped = tables.withColumn("output_group", group)
+    grouped = output_group(tables, path, marker)
     empty = F.trim("key") == ""
     counted = over_blocks(
         grouped, ["folder", "output_group"], "table_id", {"__index": running_total(empty.cast("int"))}

@@ -77,8 +77,10 @@ class SheetTables:
     def write(self, path: str) -> None:
         """One folder per schema, partitioned by table; one job per schema, not per table."""
         schemas = self.schemas().withColumn("schema_id", F.md5(F.to_json("columns")))
+        # A folder per schema, so that each job reads its own rows only.
         annotated = settle(
-            self.rows.join(schemas.select(*SHEET, "schema_id"), SHEET).join(self.notes, SHEET, "left")
+            self.rows.join(schemas.select(*SHEET, "schema_id"), SHEET).join(self.notes, SHEET, "left").repartition("schema_id", *SHEET),
+            ("schema_id",),
         )
         kinds = schemas.groupBy("schema_id").agg(F.first("columns").alias("columns"))
         for kind in kinds.toLocalIterator():
@@ -86,6 +88,7 @@ class SheetTables:
             (
                 annotated.filter(F.col("schema_id") == kind["schema_id"])
                 .select(*SHEET, *picked, F.col("header").alias("Header"), F.col("footer").alias("Footer"))
+                .repartition(*SHEET)
                 .write.mode("overwrite")
                 .partitionBy(*SHEET)
                 .parquet(f"{path}/schema={kind['schema_id']}")

@@ -73,15 +73,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table to the shared checkpoint folder and go on from there.
 
     Cuts the lineage between the rounds of an iteration and before a chain of
     scans that would otherwise compute its input several times. The table is
     columnar, so later steps read only the columns they use, and it outlives
-    the executors that wrote it.
+    the executors that wrote it. ``partition_by`` makes a folder per value, so
+    that later filters on those columns read no other rows.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/gridloom/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

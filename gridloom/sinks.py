@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from gridloom.functions.text import quote_regex
 from gridloom.operators.combine import union_by_name_merge
@@ -68,12 +67,8 @@ def view_paths(path: Column) -> tuple[Column, Column]:
 
 def two_view_write(first: DataFrame, second_of, first_path: str, second_path: str) -> None:
     """Write a table and a table made from it; the source is read once."""
-    kept = first.persist(StorageLevel.DISK_ONLY)
-    try:
-        overwrite_table(kept, first_path)
-        overwrite_table(second_of(kept), second_path)
-    finally:
-        kept.unpersist()
+    overwrite_table(first, first_path)
+    overwrite_table(second_of(first.sparkSession.read.schema(first.schema).parquet(first_path)), second_path)
 
 
 def route_write(df: DataFrame, path: str) -> None:

@@ -28,7 +28,7 @@ def test_every_sql_has_a_query():
 # Decoders, and rules with a state of their own; all other queries stay in the JVM.
 PYTHON = {
     "workbook_cells", "workbook_values", "sheet_path", "archive_expand", "html_table_cells", "html_simple_table", "class_indent",
-    "span_expand", "html_page_grid", "captions", "split_tables_down", "page_tables", "sheet_tables_soi",
+    "span_expand", "html_page_grid", "captions", "split_tables_down", "page_tables", "page_unions", "sheet_tables_soi",
 }
 
 
