@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.operators import delimited, fixed_width
 from gridloom.operators.grid import ROW, SHEET
 from gridloom.operators.quarantine import check, good, quarantine_units
+from gridloom.session import settle
 from gridloom.sources import files, payload
 
 
@@ -38,27 +39,57 @@ def layout_slices(files_: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the ending of error maps.
+ERROR_MAP_SUFFIX = ".MapErrors"
+
+
 def text_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Delimited files of uneven shape: ``(names, rows, errors)``.
 
-    Excluded names, files that fit in no way and rows of another width than
-    their heading end in ``errors``.
+    Files of error maps hold one line that is regrouped; files that fit in no
+    way get a second attempt. Excluded names, files that fail it too and rows
+    of another width than their heading end in ``errors``.
     """
     lines = files.text_lines(spark, root, "space")
     excluded = files.name_excluded(F.col("source"), files.EXCLUDED_TEXT_NAMES)
     checked = check(files.as_lines(lines), {"excluded by name": ~excluded})
-    sniffed = delimited.sniff_table(delimited.delimited_layout(good(checked)))
-    names = delimited.text_names(sniffed)
-    data = sniffed.join(names.select(*SHEET, "names", "header_is_data"), SHEET).filter(
+    is_map = F.col("source").endswith(ERROR_MAP_SUFFIX)
+    sniffed = settle(delimited.sniff_table(delimited.delimited_layout(good(checked).filter(~is_map))))
+    first_names = delimited.text_names(sniffed)
+    names = first_names.filter("mode != 'bad'")
+    data = sniffed.filter("mode != 'bad'").join(names.select(*SHEET, "names", "header_is_data"), SHEET).filter(
         (F.col("position") > F.col("header_end")) | (F.col("header_is_data") & (F.col("position") == 0))
     )
-    fits = {
-        "no width fits": F.col("mode") != "bad",
-        "row is not as wide as the heading": F.size("vals") == F.size("names"),
-    }
-    judged = check(data, fits)
-    errors = quarantine_units(checked, "names").unionByName(quarantine_units(judged, "layout"))
-    return names, good(judged).select(*ROW, "vals"), errors
+    judged = check(data, {"row is not as wide as the heading": F.size("vals") == F.size("names")})
+    second_names, second = _second_attempt(good(checked), first_names.filter("mode = 'bad'").select(*SHEET))
+    map_names, maps = _error_maps(good(checked).filter(is_map))
+    errors = quarantine_units(checked, "names").unionByName(quarantine_units(judged, "layout")).unionByName(quarantine_units(second, "second attempt"))
+    rows = good(judged).select(*ROW, "vals").unionByName(good(second).select(*ROW, "vals")).unionByName(maps)
+    return names.unionByName(second_names).unionByName(map_names), rows, errors
+
+
+def _second_attempt(lines: DataFrame, bad: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names and checked rows of the files that no width fits at first; one row that does not fit fails its file."""
+    retried = settle(delimited.retry_parse(delimited.tab_fields(lines.join(bad, SHEET))))
+    facts = retried.groupBy(*SHEET).agg(
+        F.first("route").alias("mode"), F.first("names").alias("names"), F.bool_and(F.coalesce("fits", F.lit(False))).alias("__all_fit")
+    )
+    facts = settle(facts)
+    names = facts.filter("__all_fit").select(*SHEET, "mode", F.lit(False).alias("header_is_data"), "names")
+    rows = retried.join(facts.select(*SHEET, "__all_fit"), SHEET)
+    return names, check(rows, {"no width fits": F.col("__all_fit")})
+
+
+def _error_maps(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names and rows of the regrouped first lines of error maps."""
+    cells = settle(delimited.chunk_reshape(delimited.tab_fields(lines)))
+    rows = cells.groupBy(*SHEET, F.col("row_idx").cast("long").alias("row_idx")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("col_idx", "value"))), lambda c: c["value"]).alias("vals")
+    )
+    heads = cells.filter("row_idx = 0").groupBy(*SHEET).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("col_idx", "name"))), lambda c: c["name"]).alias("names")
+    )
+    return heads.select(*SHEET, F.lit("map").alias("mode"), F.lit(False).alias("header_is_data"), "names"), rows
 
 
 def combined_payloads(payloads: DataFrame, groups: list[str], source: str = "source") -> dict[str, DataFrame]:

@@ -204,14 +204,18 @@ def test_text_tables(spark, tmp_path):
     (tmp_path / "numbers.data").write_text("id\t2010\n1\t2\n")
     (tmp_path / "wide.data").write_text("a\n1\t2\t3\n4\t5\n")
     (tmp_path / "notes.txt").write_text("skip me\n")
+    (tmp_path / "again.data").write_text("a\n1\t2\n")
+    (tmp_path / "x.MapErrors").write_text("n1\t\tn2\tn3\tn4\tn5\t1\t2\t3\t4\t5\tleft\n")
     names, rows, errors = flat_files.text_tables(spark, str(tmp_path))
     stem = lambda s: s.rsplit("/", 1)[1]
     named = {stem(r["source"]): r["names"] for r in names.collect()}
     assert named["good.data"] == ["id", "value"] and named["numbers.data"] == ["col_1", "col_2"]
     got = sorted((stem(r["source"]), r["vals"]) for r in rows.collect())
     assert got == [
-        ("good.data", ["1", "2"]), ("good.data", ["3", "4"]), ("numbers.data", ["1", "2"]), ("numbers.data", ["id", "2010"]),
+        ("again.data", ["1", "2"]), ("again.data", ["a", " "]), ("good.data", ["1", "2"]), ("good.data", ["3", "4"]), ("numbers.data", ["1", "2"]), ("numbers.data", ["id", "2010"]),
+        ("x.MapErrors", ["1", "2", "3", "4", "5"]), ("x.MapErrors", ["n1", "n2", "n3", "n4", "n5"]),
     ]
+    assert named["x.MapErrors"] == ["n1", "n2", "n3", "n4", "n5"] and named["again.data"] == ["col_1", "col_2"]
     assert {(stem(r["source"]), r["reason"]) for r in errors.collect()} == {
         ("notes.txt", "excluded by name"),
         ("wide.data", "no width fits"),
