@@ -266,9 +266,26 @@ def class_indent(spark, sf_dir):
     return labels.groupBy("url", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("span_expand")
+# Cells of a spanned row, and what the row before pushes into it: an empty cell below each copy of its name.
+_SPANNED = """p AS (SELECT *, 'https://t.example.org/p/' || (p_partkey // 100) AS url, CAST(row_number() OVER (PARTITION BY p_partkey // 100 ORDER BY p_partkey) AS INT) AS rn,
+    (CASE WHEN p_partkey % 7 = 0 THEN [p_name, p_name] ELSE [p_name] END) || [CAST(p_size AS VARCHAR)] ||
+    (CASE WHEN p_partkey % 11 = 0 THEN [p_brand, CAST(p_size AS VARCHAR), p_type, '&'] ELSE CAST([] AS VARCHAR[]) END) AS later FROM part)"""
+_PUSHED = "(CASE WHEN above % 5 = 0 AND above % 7 = 0 THEN ['', ''] WHEN above % 5 = 0 THEN [''] ELSE CAST([] AS VARCHAR[]) END)"
+
+
+@query(
+    "span_expand",
+    f"""WITH {_SPANNED}, u AS (SELECT DISTINCT url FROM p),
+      t AS (SELECT *, lag(p_partkey) OVER (PARTITION BY url ORDER BY p_partkey) AS above FROM p),
+      r AS (
+      SELECT url, 0 AS table_idx, 'tbody' AS part, 0 AS row_idx, ['Name', 'Brand'] AS vals FROM u
+      UNION ALL SELECT url, 0, 'tbody', rn, [p_name, p_brand] FROM p
+      UNION ALL SELECT url, 1, 'thead', 0, ['Kind', 'Part', 'Part'] FROM u
+      UNION ALL SELECT url, 1, 'thead', 1, ['', 'Name', 'Size'] FROM u
+      UNION ALL SELECT url, 1, 'tbody', rn + 1, [p_type] || {_PUSHED} || later FROM t)
+      SELECT url, table_idx, part, row_idx, array_to_string(vals, '|') AS vals FROM r""",
+)
 def span_expand(spark, sf_dir):
-    """Checked against a cell-by-cell model in the tests."""
     cells = html.html_table_cells(pages_with_tables(spark, sf_dir))
     return ht.span_expand(cells).withColumn("vals", show("vals"))
 
@@ -286,9 +303,20 @@ def wide_row_slice(spark, sf_dir):
     return ht.wide_row_slice(rows, header, ["source"]).withColumn("vals", show("vals"))
 
 
-@query("html_page_grid")
+@query(
+    "html_page_grid",
+    f"""WITH {_SPANNED}, u AS (SELECT DISTINCT url FROM p),
+      w AS (SELECT *, [repeat(' ', p_partkey % 3) || p_type] || later AS cells FROM p),
+      s AS (SELECT url, rn, p_partkey, cells, unnest(CASE WHEN rn > 1 AND len(cells) > 3 THEN range(3, len(cells), 3) ELSE [len(cells)] END) AS stop FROM w),
+      t AS (SELECT *, lag(p_partkey) OVER x AS above, row_number() OVER x AS spot FROM s WINDOW x AS (PARTITION BY url ORDER BY rn, stop)),
+      r AS (
+      SELECT url, CAST(0 AS BIGINT) AS row_idx, ['Table 1.' || string_split(url, '/')[-1] || 'A – Use'] AS vals, false AS is_header FROM u
+      UNION ALL SELECT url, 1, ['Kind ', 'Part Name', 'Part Size'], true FROM u
+      UNION ALL SELECT url, spot + 1, [cells[1]] || {_PUSHED} || cells[2:stop], false FROM t
+      UNION ALL SELECT url, max(spot) + 2, ['Source: parts'], false FROM t GROUP BY url)
+      SELECT url AS source, '1' AS sheet, row_idx, array_to_string(vals, '|') AS vals, is_header FROM r""",
+)
 def html_page_grid(spark, sf_dir):
-    """Checked against a table-by-table model in the tests."""
     cells = html.html_table_cells(pages_with_tables(spark, sf_dir)).filter("table_idx = 1")
     return ht.page_grid(cells).withColumn("vals", show("vals"))
 
