@@ -561,11 +561,13 @@ def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     starts = (label & ~F.col("__joins")) | (F.col("__n") == 0)
     chains = over_blocks(marked, SHEET, "row_idx", {"__chain": running_total(starts.cast("int"))})
     piece = F.when(F.col("__joins"), F.concat(F.lit(" "), strip(first))).otherwise(first)
-    # A joined label stays only if its text begins with a blank and ends without a colon: its chain's first piece and
-    # its own last one tell, so no other text is put together.
+    # A joined label stays only if its text begins with a blank and ends without a colon, or moves if it is the one
+    # that does: its chain's first piece and its own last one tell, so no other text is put together.
     begun = over_blocks(chains, SHEET, "row_idx", {"__begin": last_seen(F.when(label & ~F.col("__joins"), first))})
     stays = F.coalesce(F.col("__begin").startswith(" ") & ~piece.endswith(":"), F.lit(False))
-    texts = _with_running_text(begun, "__chain", label, piece, label & F.col("__joins") & stays)
+    moves = F.lit(USPTO_JOINED_LABEL).startswith(F.col("__begin")) & F.lit(USPTO_JOINED_LABEL).endswith(strip(first))
+    asked = label & F.col("__joins") & (stays | F.coalesce(moves, F.lit(False)))
+    texts = _with_running_text(begun, "__chain", label, piece, asked)
     kept = texts.filter(F.col("role").isin("body", "label")).withColumn(
         "__first", F.when(F.col("__joins"), F.coalesce("__text", F.lit(":"))).otherwise(first)
     )

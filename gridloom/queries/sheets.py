@@ -132,9 +132,25 @@ def split_tables_across_shared(spark, sf_dir):
     return splits.split_tables_across(part_cells(spark, sf_dir), gap="always", minimum=2)
 
 
-@query("split_tables_down")
+@query(
+    "split_tables_down",
+    f"""WITH RECURSIVE {DOC_GRID},
+      f AS (SELECT source, sheet, row_idx, row_number() OVER w AS spot, n = 0 AS blank, n > 1 AS is_full,
+          n = 0 AND coalesce(lead(n) OVER w, 0) > 1 AND coalesce(lead(nulls) OVER w, 0) > 2 AS gap, coalesce(starts_with(trim(firstv), 'Table'), false) AS title,
+          n > 0 AND ((width // 2 > n AND n <> 1) OR (n = 1 AND c0 IS NULL)) AND
+            CASE WHEN n = 1 THEN coalesce(lead(n) OVER w, 0) > 1 ELSE len(list_filter(vals, lambda v: v IS NOT NULL AND regexp_matches(trim(v), '^\p{{L}}'))) > 1 END AS sparse
+        FROM rowfacts WINDOW w AS (PARTITION BY source, sheet ORDER BY row_idx)),
+      walk AS (SELECT DISTINCT source, sheet, CAST(0 AS BIGINT) AS spot, CAST(NULL AS BIGINT) AS row_idx, false AS header, 0 AS pending, false AS starts FROM f
+        UNION ALL SELECT source, sheet, spot, row_idx, CASE WHEN blank THEN h0 OR (gap AND p0 > 10) ELSE h2 OR (p2 = 0 AND is_full) END,
+            CASE WHEN NOT blank THEN least(p2 + 1, 11) WHEN gap AND p0 > 10 AND h0 THEN 0 ELSE p0 END, NOT blank AND p2 = 0
+          FROM (SELECT *, h1 AND NOT (sparse AND p1 > 10) AS h2, CASE WHEN sparse AND h1 AND p1 > 10 THEN 0 ELSE p1 END AS p2
+            FROM (SELECT f.*, walk.header AS h0, walk.pending AS p0, title OR walk.header AS h1, CASE WHEN title THEN 0 ELSE walk.pending END AS p1
+              FROM walk JOIN f ON f.source = walk.source AND f.sheet = walk.sheet AND f.spot = walk.spot + 1))),
+      numbered AS (SELECT walk.*, blank, sum(starts::INT) OVER (PARTITION BY walk.source, walk.sheet ORDER BY walk.spot) - 1 AS table_id
+        FROM walk JOIN f ON f.source = walk.source AND f.sheet = walk.sheet AND f.spot = walk.spot)
+      SELECT source, sheet, CAST(table_id AS BIGINT) AS table_id, min(row_idx) AS first_row, max(row_idx) AS last_row, count(*) AS n_rows FROM numbered WHERE NOT blank GROUP BY 1, 2, 3""",
+)
 def split_tables_down(spark, sf_dir):
-    """Rule with a state of its own: checked against a row-by-row model in the tests."""
     out = splits.split_tables_down(doc_grid(spark, sf_dir))
     return out.groupBy("source", "sheet", "table_id").agg(
         F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"), F.count(F.lit(1)).alias("n_rows")

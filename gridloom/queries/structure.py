@@ -263,9 +263,23 @@ def carry_label_uspto(spark, sf_dir):
     return out.withColumn("vals", show("vals"))
 
 
-@query("keep_label_uspto_special")
+@query(
+    "keep_label_uspto_special",
+    f"""{_W}{_USPTO_ROLES}, p AS (SELECT *, CASE WHEN n = 1 THEN c0 END AS f, role = 'label' AS is_label, coalesce(lag(n) OVER x, 0) AS pn,
+        last_value(CASE WHEN role = 'label' THEN 1 WHEN n = 0 THEN 0 END IGNORE NULLS) OVER (PARTITION BY source, sheet ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_above
+        FROM roles WINDOW x AS (PARTITION BY source, sheet ORDER BY row_idx)),
+      q AS (SELECT *, coalesce(is_label AND pn = 1 AND open_above = 1 AND NOT starts_with(f, ' '), false) AS joins FROM p),
+      r AS (SELECT *, sum(((is_label AND NOT joins) OR n = 0)::INT) OVER (PARTITION BY source, sheet ORDER BY row_idx) AS chain FROM q),
+      t AS (SELECT source, sheet, row_idx, string_agg(CASE WHEN joins THEN ' ' || trim(f) ELSE f END, '') OVER (PARTITION BY source, sheet, chain ORDER BY row_idx ROWS UNBOUNDED PRECEDING) AS txt FROM r WHERE is_label),
+      k AS (SELECT r.*, txt, CASE WHEN joins THEN txt ELSE f END AS g FROM r LEFT JOIN t ON t.source = r.source AND t.sheet = r.sheet AND t.row_idx = r.row_idx WHERE role IN ('body', 'label')),
+      m AS (SELECT *, coalesce(n = 1 AND g = 'Patent Matters', false) AS mover FROM k),
+      v AS (SELECT *, coalesce(lag(mover) OVER (PARTITION BY source, sheet ORDER BY row_idx), false) AS moved FROM m),
+      z AS (SELECT *, CASE WHEN moved THEN concat_ws(' ', 'Patent Matters', g) ELSE g END AS final FROM v),
+      o AS (SELECT *, CASE WHEN moved THEN concat_ws(' ', 'Patent Matters', coalesce(CASE WHEN joins THEN txt END, c0)) ELSE coalesce(CASE WHEN joins THEN txt END, c0) END AS shown
+            FROM z WHERE NOT mover AND NOT coalesce(n = 1 AND (ends_with(final, ':') OR NOT starts_with(final, ' ')), false))
+      SELECT source, sheet, row_idx, {sql_show("list_concat([shown], vals[2:])")} AS vals FROM o WHERE shown IS NOT NULL""",
+)
 def keep_label_uspto_special(spark, sf_dir):
-    """Checked against a row-by-row model in the tests."""
     out = st.keep_label_uspto_special(st.classify_rows_uspto(doc_grid(spark, sf_dir)))
     return out.withColumn("vals", show("vals"))
 
