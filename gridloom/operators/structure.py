@@ -143,7 +143,7 @@ def header_depth_soi(rows: DataFrame) -> DataFrame:
         "scanned", F.when(F.col("reach") == F.col("n_rows"), F.col("reach") - 1).otherwise(F.col("reach"))
     )
     anchor = (
-        counted.join(facts.select(*SHEET, "scanned", "n_rows"), SHEET)
+        counted.join(settle(facts.select(*SHEET, "scanned", "n_rows")), SHEET)
         .filter(F.col("starts_empty") & (F.col("position") <= F.col("scanned")) & (F.col("position") < F.col("n_rows")))
         .groupBy(*SHEET)
         .agg(F.max("position").alias("anchor"))
@@ -674,7 +674,8 @@ def annotate(rows: DataFrame, notes: DataFrame) -> DataFrame:
     """Header and footer text beside every row, and the last two path parts."""
     path = F.split("source", "/")
     name = F.array_join(F.slice(path, F.greatest(F.size(path) - 1, F.lit(1)), F.lit(2)), "/")
-    return rows.join(notes, SHEET, "left").withColumn("file_name", name)
+    # One row per sheet; written, so that Spark knows its size and broadcasts it or splits large sheets.
+    return rows.join(settle(notes), SHEET, "left").withColumn("file_name", name)
 
 
 def footer_propagate(tables: DataFrame) -> DataFrame:
@@ -716,7 +717,7 @@ def soi_header_rows(rows: DataFrame, depths: DataFrame) -> DataFrame:
     numbers. Sheets without a usable depth drop out.
     """
     usable = depths.filter("depth is not null").select(*SHEET, F.col("depth").alias("__d"), "n_rows")
-    placed = rows.join(usable, SHEET).filter(F.col("position") < F.col("n_rows"))
+    placed = rows.join(settle(usable), SHEET).filter(F.col("position") < F.col("n_rows"))
     vals = F.col("vals")
     seen = over_blocks(
         placed,
@@ -778,6 +779,6 @@ def shift_blank_headers(rows: DataFrame) -> DataFrame:
         .agg(F.bool_and(cell(vals, 0).isNull() | spread).alias("__blank"))
         .filter("__blank")
     )
-    marked = rows.join(blank, SHEET, "left")
+    marked = rows.join(settle(blank), SHEET, "left")
     moved = F.concat(F.slice(vals, 2, 1), F.slice(vals, F.lit(2), F.greatest(F.size(vals) - 1, F.lit(0))))
     return marked.withColumn("vals", F.when(head & F.col("__blank"), moved).otherwise(vals)).drop("__blank")

@@ -55,7 +55,7 @@ def text_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     checked = check(files.as_lines(lines), {"excluded by name": ~excluded})
     is_map = F.col("source").endswith(ERROR_MAP_SUFFIX)
     sniffed = settle(delimited.sniff_table(delimited.delimited_layout(good(checked).filter(~is_map))))
-    first_names = delimited.text_names(sniffed)
+    first_names = settle(delimited.text_names(sniffed))
     names = first_names.filter("mode != 'bad'")
     data = sniffed.filter("mode != 'bad'").join(names.select(*SHEET, "names", "header_is_data"), SHEET).filter(
         (F.col("position") > F.col("header_end")) | (F.col("header_is_data") & (F.col("position") == 0))
