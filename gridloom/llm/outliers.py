@@ -20,6 +20,8 @@ from gridloom.session import settle
 #: Share of a group the estimate rests on, concentration steps, and the texts a group needs. Smaller sources of a
 #: language are estimated together.
 NEAREST, STEPS, LEAST = 0.75, 4, 50
+#: Places in which a group meets its estimates.
+SALTS = 16
 #: Least standard deviation of each coordinate: where most texts agree, small differences are no outliers.
 FLOORS = {"size": 0.5, "word_length": 0.5, "symbols": 0.7, "dup_lines": 1.0, "repeats": 1.0}
 #: Median, and 0.999999 quantile, of chi-square with five degrees of freedom.
@@ -114,14 +116,20 @@ def _distance() -> Column:
     return reduce(lambda x, y: x + y, [z * z for z in solved])
 
 
+def beside(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """The facts of a group beside its rows; a group meets its facts in ``SALTS`` places, so that none holds all of it."""
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, ["_group", "_salt"], how)
+
+
 def estimates(rows: DataFrame) -> DataFrame:
     """Per ``_group``: location, scatter, and ``_median``, the median squared distance."""
     table = settle(_first_estimate(rows))
     for _ in range(STEPS):
-        near = rows.join(table, "_group").select("_group", *COORDINATES, _distance().alias("_d"))
+        near = beside(rows, table).select("_group", "_salt", *COORDINATES, _distance().alias("_d"))
         limits = settle(near.groupBy("_group").agg(F.percentile_approx("_d", NEAREST, 1000).alias("_limit")))
-        table = settle(_estimate(near.join(limits, "_group").where("_d <= _limit")))
-    middle = rows.join(table, "_group").groupBy("_group").agg(F.percentile_approx(_distance(), 0.5, 1000).alias("_median"), F.count(F.lit(1)).alias("_texts"))
+        table = settle(_estimate(beside(near, limits).where("_d <= _limit")))
+    middle = beside(rows, table).groupBy("_group").agg(F.percentile_approx(_distance(), 0.5, 1000).alias("_median"), F.count(F.lit(1)).alias("_texts"))
     return settle(table.drop("_n").join(middle, "_group"))
 
 
@@ -138,10 +146,10 @@ def judge(docs: DataFrame) -> DataFrame:
     sizes = settle(rows.where("not base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_size")))
     small = F.coalesce("_size", F.lit(0)) < LEAST
     named = rows.join(sizes, ["lang", "source"], "left").withColumn("_group", F.struct("lang", F.when(~small, F.col("source")).alias("source")))
-    named = named.withColumn("_group", F.to_json("_group"))
-    table = estimates(named.where("not base_failed").select("_group", *COORDINATES))
+    named = named.withColumns({"_group": F.to_json("_group"), "_salt": (F.monotonically_increasing_id() % SALTS).cast("int")})
+    table = estimates(named.where("not base_failed").select("_group", "_salt", *COORDINATES))
     scale = F.greatest(F.col("_median") / MEDIAN, F.lit(1.0))
     distance = F.when(~F.col("base_failed") & (F.col("_texts") >= LEAST), _distance() / scale)
-    judged = named.join(table, "_group", "left").withColumn("distance", distance)
+    judged = beside(named, table, "left").withColumn("distance", distance)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     return judged.withColumn("kept", kept).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
