@@ -28,8 +28,8 @@ from pyspark.sql.types import StructType
 from gridloom.llm.common import remainder, text_of
 from gridloom.session import settle, ship_package
 
-#: Words whose counts are broadcast; symbols the states emit (the first is the end, the last any other word).
-TABLE, SYMBOLS = 262_144, 16_384
+#: Words whose counts are broadcast, at most; symbols the states emit (the first is the end, the last any other word).
+TABLE, SYMBOLS = 131_072, 16_384
 STATES, FOLDS, EPOCHS = 8, 4, 2
 #: Strength, in tokens, of the prior that draws each state's emissions towards the corpus' frequencies.
 PRIOR = 50.0
@@ -102,12 +102,29 @@ class Words:
         return out / out.sum()
 
 
-def known_words(counted: DataFrame, table: int = TABLE, symbols: int = SYMBOLS) -> Words:
-    """The ``table`` most frequent words; no more than that comes to the driver."""
+def size_class(c: Column) -> Column:
+    """Counts within about 4 % of each other."""
+    return F.floor(F.log2(c) * 16).cast("int")
+
+
+def known_words(counted: DataFrame, table: int = TABLE, symbols: int = SYMBOLS) -> tuple[Words, int]:
+    """The most frequent words, ``table`` at most, and the first class of counts they come from.
+
+    Whole classes of counts are taken, from the top, as long as their words fit. The driver gets a number per class (a
+    thousand at most) and the words that fit, however many tasks there are.
+    """
+    classes = counted.where(F.length("word") > 0).groupBy(size_class(F.col("c")).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    first, room = 1 << 20, table
+    for k, n in sorted(((r["k"], r["n"]) for r in classes), reverse=True):
+        if n > room:
+            break
+        first, room = k, room - n
     sums = counted.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.length("word") == 0, F.col("c"))).alias("ends")).first()
-    top = counted.where(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(table).toPandas()
-    ranks = {bytes(w): i for i, w in enumerate(top["word"])}
-    return Words(int(sums["n"] or 0), int(sums["v"]), ranks, top["c"].to_numpy(np.int64), int(sums["ends"] or 0), symbols)
+    top = counted.where((F.length("word") > 0) & (size_class(F.col("c")) >= first)).select("word", "c").toArrow()
+    found = sorted(zip(top["word"].to_pylist(), top["c"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    ranks = {w: i for i, (w, _) in enumerate(found)}
+    counts = np.array([c for _, c in found], np.int64)
+    return Words(int(sums["n"] or 0), int(sums["v"]), ranks, counts, int(sums["ends"] or 0), symbols), first
 
 
 
@@ -323,14 +340,13 @@ def score_documents(docs: DataFrame, table: int = TABLE, symbols: int = SYMBOLS,
     ship_package(docs.sparkSession)
     given = docs.select("doc_id", "text").withColumn("held_out", held_out())
     counted = settle(count_words(given.where("not held_out")))
-    words = known_words(counted, table, symbols)
+    words, first = known_words(counted, table, symbols)
     fold = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int"))
     rows = given.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", fold.alias("fold"), text_of().alias("_text"))
     encoded = settle(encode(rows, words))
     model = train(encoded, words, states)
-    # Words beyond the table: none is more frequent than the table's last.
-    least = int(words.counts[-1]) if len(words.counts) else 0
-    beyond = counted.where((F.col("c") <= least) & (F.length("word") > 0)).groupBy(F.xxhash64("word").alias("h")).agg(F.max("c").alias("c"))
+    # Words beyond the table, by the classes of counts that did not fit.
+    beyond = counted.where((size_class(F.col("c")) < first) & (F.length("word") > 0)).groupBy(F.xxhash64("word").alias("h")).agg(F.max("c").alias("c"))
     rare = encoded.select("row", F.explode("rare").alias("x")).select("row", "x.h", "x.n").join(beyond, "h", "left")
     c = F.coalesce("c", F.lit(0)) + 0.5
     sums = rare.groupBy("row").agg(
