@@ -1,11 +1,12 @@
 """Personal data, and words that give it away.
 
 Direct identifiers are found by pattern and check. Words are judged by what they disclose: an entity c (an identifier's
-value) carries IC(c) = -log p(c); a word t near it carries PMI(c; t) = log p(c, t) / (p(c) p(t)), with document
-frequencies over the whole corpus. A word whose PMI reaches ``DISCLOSURE`` of IC(c) for any entity discloses it and is
-protected wherever it occurs: generalised to its kind of word, or removed if it reaches ``REMOVAL``. A word counts only
-if it stands near the entity in ``SUPPORT`` different surroundings, so copies of one text disclose nothing by
-themselves.
+value) carries IC(c) = -log p(c); a word t near it carries PMI(c; t) = log p(c | t) / p(c), with document frequencies
+over the whole corpus. A word whose PMI reaches ``DISCLOSURE`` of IC(c) for any entity discloses it and is protected
+wherever it occurs: generalised to its kind of word, or removed if it reaches ``REMOVAL``. What few places tell is
+smoothed: p(c | t) counts 1 - 2^-k of itself if the word stands near the entity in k different surroundings, so each
+halves the doubt and copies of one text count as one. In a large corpus a word that stands by one address only, there
+once, discloses it; in a small one it needs more places.
 
 All of it is expressions and joins. Positions come from splitting a text at its matches: a match begins after the
 parts and matches before it. The patterns are written so that no match tries a place twice: a run is taken whole
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import bind, text_of
 from gridloom.session import settle
 
-#: Words on each side of an identifier that count as near; different surroundings a word needs.
-NEAR, SUPPORT = 8, 3
+#: Words on each side of an identifier that count as near.
+NEAR = 8
 #: Shares of an entity's information at which a word is generalised, and at which it is removed.
 DISCLOSURE, REMOVAL = 0.9, 0.98
 
@@ -148,17 +149,19 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     pairs = near.select("doc", "entity", "around", F.explode("near").alias("term")).where("length(term) > 1")
     seen = pairs.groupBy("entity", "term", "around", "doc").agg(F.lit(1).alias("n"))
     by_around = seen.groupBy("entity", "term", "around").agg(F.count(F.lit(1)).alias("docs"))
-    both = by_around.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("arounds"), F.sum("docs").alias("together")).where(F.col("arounds") >= SUPPORT)
+    both = by_around.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("arounds"), F.sum("docs").alias("together"))
     candidates = settle(both)
     if candidates.isEmpty():
         return candidates.select("term", F.lit(1.0).alias("share"))
     carriers = near.select("doc", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    words = docs.select(F.explode(F.array_distinct(terms_of(text_of()))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    # A common word is near many entities: written, the counts meet them in a join that can split it.
+    words = settle(docs.select(F.explode(F.array_distinct(terms_of(text_of()))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term")))
     total = F.lit(float(docs.count()))
     scored = candidates.join(carriers, "entity").join(words, "term")
     # Several surroundings in one document count the document more than once; a word is in no more than hold it.
     joint = F.least("together", "with_entity", "with_term")
-    pmi = F.log(joint * total / (F.col("with_entity") * F.col("with_term")))
+    sure = 1 - F.pow(F.lit(2.0), -F.col("arounds"))
+    pmi = F.log(sure * joint * total / (F.col("with_entity") * F.col("with_term")))
     information = F.log(total / F.col("with_entity"))
     share = F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
     return scored.withColumn("share", share).where(F.col("share") >= DISCLOSURE).groupBy("term").agg(F.max("share").alias("share"))
