@@ -33,8 +33,9 @@ def frequent(docs: DataFrame, text: str = "text", size: int = TABLE_SIZE, rows:
                 seen.update(p for p in encode.pre_tokens(t) if len(p) <= encode.CACHED_CHARS)
             if len(seen) > 8 * size:
                 seen = Counter(dict(seen.most_common(4 * size)))
-        top = seen.most_common(size)
-        yield pd.DataFrame({"piece": [p for p, _ in top], "n": [n for _, n in top]})
+        if seen:  # a frame without rows has no text column
+            top = seen.most_common(size)
+            yield pd.DataFrame({"piece": [p for p, _ in top], "n": [n for _, n in top]})
 
     total = docs.count()
     if not total:
