@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, lm, outliers, packing, pii, quality, sharding, simhash, tokens
+from gridloom.llm import boilerplate, chat, decontam, lm, merkle, outliers, packing, pii, quality, sharding, simhash, tokens, whitening
 from gridloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,65 @@ def reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    coalesce(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+      lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)), 0) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, lang, xor(crc, 4294967295) % 7 = 0 AND doc_id IS NOT NULL AND n_chars IS NOT NULL AS touched,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars, coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS more,
+    coalesce(strlen(text) || ':' || text, '-') AS body FROM given),
+hashed AS (
+  SELECT doc_id, coalesce(':' || lang, '-') AS tree, sha256(head || chars || body) AS leaf,
+    sha256(head || CASE WHEN touched THEN more ELSE chars END || body) AS fresh FROM leaves),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+lower_nodes AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS level, pos, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2, n),
+heights AS (SELECT tree, max(level) AS height FROM lower_nodes GROUP BY tree),
+-- one tree: the nodes of a language below, those above its root on top of them
+siblings AS (
+  SELECT tree, level, pos, h FROM lower_nodes WHERE n > 1
+  UNION ALL
+  SELECT s.tree, height + level, u.pos, u.h FROM upper_nodes u JOIN subroots s ON (s.pos >> level) = (u.pos - u.pos % 2) OR (s.pos >> level) = (u.pos - u.pos % 2) + 1
+    JOIN heights USING (tree) WHERE u.n > 1),
+climb AS (
+  SELECT p.tree, p.doc_id, p.pos AS leaf_pos, 0 AS level, p.pos, p.fresh AS h, '' AS proof FROM placed p
+  UNION ALL
+  SELECT c.tree, c.doc_id, c.leaf_pos, c.level + 1, (CASE WHEN c.level + 1 = t.height THEN s.pos ELSE c.pos // 2 END),
+    sha256(CASE WHEN c.pos % 2 = 0 THEN c.h || coalesce(o.h, '') ELSE o.h || c.h END), c.proof || coalesce(o.h, '')
+  FROM climb c JOIN heights t USING (tree) JOIN subroots s USING (tree)
+    LEFT JOIN siblings o ON o.tree = c.tree AND o.level = c.level AND o.pos = xor(c.pos, 1)
+  WHERE c.level < t.height + (SELECT max(level) FROM upper_nodes)),
+done AS (
+  SELECT c.tree, c.leaf_pos AS pos, c.h, c.proof FROM climb c JOIN heights t USING (tree)
+  WHERE c.level = t.height + (SELECT max(level) FROM upper_nodes))
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, sha256(d.proof) AS proof_sha256, d.h AS folded_root, d.h = r.h AS verified
+FROM placed p JOIN done d USING (tree, pos) JOIN subroots s USING (tree) CROSS JOIN (SELECT h FROM upper_nodes WHERE n = 1) r
+"""
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(documents(spark, sf_dir))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_host_boilerplate")
+def host_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
