@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import cache, reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.blockwise import Block, Machine, State, carry_through
 from gridloom.functions.ordered import (
-    block_rows,
-    following,
     last_seen,
     next_seen,
     no_blocks,
@@ -31,30 +28,21 @@ ROWS_OF_A_TABLE = 10
 # ---- downwards ----------------------------------------------------------
 
 
-def _events(rows: DataFrame) -> DataFrame:
-    """What every row does to the split: five flags in one number."""
-    vals = F.col("vals")
+def _flags(vals: Column) -> Column:
+    """What a row says by itself, as one number; see ``Down``."""
     n = n_cells(vals)
-    seen = over_blocks(
-        rows,
-        SHEET,
-        "row_idx",
-        {"__next_n": following(n), "__next_nulls": following(n_nulls(vals))},
-    )
-    after = F.coalesce("__next_n", F.lit(0))
     letters = F.size(F.filter(non_null(vals), lambda v: starts_with_letter(strip(v))))
     lone_off_column = (n == 1) & cell(vals, 0).isNull()
-    sparse = ((F.floor(F.size(vals) / 2) > n) & (n != 1)) | lone_off_column
-    heading = F.when(n == 1, after > 1).otherwise(letters > 1)
     flags = [
         n == 0,
-        (n == 0) & (after > 1) & (F.coalesce("__next_nulls", F.lit(0)) > 2),
         F.coalesce(strip(first_value(vals)).startswith("Table"), F.lit(False)),
-        (n > 0) & sparse & heading,
+        (n > 0) & (((F.floor(F.size(vals) / 2) > n) & (n != 1)) | lone_off_column),
         n > 1,
+        letters > 1,
+        n == 1,
+        n_nulls(vals) > 2,
     ]
-    code = reduce(lambda x, y: x + y, [F.when(f, 1 << i).otherwise(0) for i, f in enumerate(flags)])
-    return seen.select(*SHEET, "row_idx", code.cast("int").alias("__code"), (n == 0).alias("__blank"))
+    return reduce(lambda x, y: x + y, [F.when(f, 1 << i).otherwise(0) for i, f in enumerate(flags)]).cast("int")
 
 
 def _step(state: tuple[bool, int], blank: bool, gap: bool, title: bool, sparse: bool, full: bool):
@@ -82,117 +70,59 @@ _STATES = [(h, p) for h in (False, True) for p in range(ROWS_OF_A_TABLE + 2)]
 
 
 @cache
-def _moves() -> list[list[tuple[int, bool]]]:
-    """For every code of a row: next state and table start, per state."""
+def _machine() -> Machine:
+    """The rule as moves by code of a row: the five flags of ``_step`` in one number."""
     index = {s: i for i, s in enumerate(_STATES)}
-    moves = []
-    for code in range(1 << 5):
-        steps = [_step(state, *(bool(code >> i & 1) for i in range(5))) for state in _STATES]
-        moves.append([(index[(header, pending)], starts) for header, pending, starts in steps])
-    return moves
-
-
-def _block_changes(pdf: pd.DataFrame, last: tuple | None) -> tuple[np.ndarray, tuple]:
-    """Where a new ``(source, sheet, block)`` begins, given the last one of the batch before."""
-    changes = np.zeros(len(pdf), dtype=bool)
-    for name in _BLOCK_KEYS:
-        column = pdf[name].to_numpy()
-        changes[1:] |= column[1:] != column[:-1]
-    first = tuple(pdf[_BLOCK_KEYS].iloc[0])
-    changes[0] = first != last
-    return changes, tuple(pdf[_BLOCK_KEYS].iloc[-1])
-
-
-_BLOCK_KEYS = [*SHEET, "__block"]
-
-
-def _composed(maps: np.ndarray) -> np.ndarray:
-    """One map from state to state for maps applied in turn: neighbours are joined until one is left."""
-    while len(maps) > 1:
-        odd = maps[-1:] if len(maps) % 2 else maps[:0]
-        pairs = maps[: len(maps) - len(odd)]
-        maps = np.concatenate([np.take_along_axis(pairs[1::2], pairs[0::2], axis=1), odd])
-    return maps[0]
-
-
-def _block_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """End state of every block for each start state, over rows sorted by block."""
-    after = np.array([[state for state, _ in row] for row in _moves()])
-    last, state = None, np.arange(len(_STATES))
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        changes, _ = _block_changes(pdf, last)
-        codes, done = pdf["__code"].to_numpy(), []
-        begins = [0, *[i for i in np.flatnonzero(changes).tolist() if i]]
-        for begin, end in zip(begins, [*begins[1:], len(pdf)]):
-            if changes[begin]:
-                if last is not None:
-                    done.append((*last, state.tolist()))
-                state, last = np.arange(len(_STATES)), tuple(pdf[_BLOCK_KEYS].iloc[begin])
-            state = _composed(after[codes[begin:end]])[state]
-        if done:
-            yield pd.DataFrame(done, columns=[*_BLOCK_KEYS, "ends"])
-    if last is not None:
-        yield pd.DataFrame([(*last, state.tolist())], columns=[*_BLOCK_KEYS, "ends"])
-
-
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Start states of the blocks of one sheet, from one row per block."""
-    pdf = pdf.sort_values("__block")
-    state, starts = 0, []
-    for ends in pdf["ends"]:
-        starts.append(state)
-        state = int(ends[state])
-    return pdf[_BLOCK_KEYS].assign(start=starts)
-
-
-def _mark_starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    moves, last, state = _moves(), None, 0
-    for pdf in batches:
-        changes, last = _block_changes(pdf, last)
-        marks = []
-        for code, new, start in zip(pdf["__code"].tolist(), changes.tolist(), pdf["start"].tolist()):
-            state, first = moves[code][start if new else state]
-            marks.append(first)
-        out = pdf[[*SHEET, "row_idx"]].assign(starts=marks)
-        yield out[~pdf["__blank"].to_numpy(dtype=bool)]
+    steps = [[_step(state, *(bool(code >> i & 1) for i in range(5))) for state in _STATES] for code in range(1 << 5)]
+    return Machine([[index[(h, p)] for h, p, _ in row] for row in steps], [[starts for _, _, starts in row] for row in steps])
+
+
+class Down:
+    """Tables below each other: the state is header seen or not, and 0 to 11 rows in the pending table."""
+
+    out = "table_id long"
+
+    @staticmethod
+    def _codes(flags: np.ndarray, following: int) -> np.ndarray:
+        """Codes of rows, of which some look at the row below; ``following`` are the flags of the one below the last."""
+        below = np.append(flags[1:], following)
+        blank, title, sparse, full, letters, lone = ((flags >> i & 1).astype(bool) for i in range(6))
+        full_below, gaps_below = (below >> 3 & 1).astype(bool), (below >> 6 & 1).astype(bool)
+        heading = np.where(lone, full_below, letters)
+        parts = (blank, blank & full_below & gaps_below, title, sparse & heading, full)
+        return sum(part.astype(np.int64) << i for i, part in enumerate(parts))
+
+    def summarise(self, block: Block) -> State:
+        """All rows but the last, whose code depends on the next block."""
+        flags = block["flags"].astype(np.int64)
+        ends, tables = _machine().ends(self._codes(flags, 0)[:-1])
+        return {"first": int(flags[0]), "last": int(flags[-1]), "ends": ends.tolist(), "tables": tables.tolist()}
+
+    def chain(self, summaries: list[State]) -> list[State]:
+        machine, state, tables, starts = _machine(), 0, 0, []
+        for s, below in zip(summaries, [*summaries[1:], {"first": 0}], strict=True):
+            starts.append({"state": state, "tables": tables, "below": below["first"]})
+            tables += s["tables"][state]
+            state = s["ends"][state]
+            (last,) = self._codes(np.array([s["last"]]), below["first"])
+            tables += int(machine.marked[last, state])
+            state = int(machine.following[last, state])
+        return starts
+
+    def run(self, block: Block, start: State) -> tuple[np.ndarray, dict]:
+        flags = block["flags"].astype(np.int64)
+        tables = start["tables"] + np.cumsum(_machine().marks(self._codes(flags, start["below"]), start["state"])) - 1
+        at = np.flatnonzero(flags & 1 == 0)
+        return at, {"table_id": tables[at]}
 
 
 def split_tables_down(rows: DataFrame) -> DataFrame:
     """Number the tables of a sheet; blank rows go.
 
-    Whether a row opens a table depends on how many rows the pending table
-    has, which the rule itself resets. That state is small (header seen or
-    not, 0 to 11 rows), so a block of rows is a function from state to state.
-    Three steps, each streaming over blocks; none holds a whole sheet:
-
-    1. per block of the sheets with several: end state for every start state;
-    2. per such sheet, over one row per block: chain these to start states;
-    3. per block: run through the rows from the known start state.
+    Whether a row opens a table depends on how many rows the pending table has, which the rule itself resets. That state
+    is small, so a block of rows is a function from state to state; see ``Down`` and ``functions.blockwise``.
     """
-    size = block_rows(rows.sparkSession)
-    events = _events(rows).withColumn("__block", F.floor(F.col("row_idx") / F.lit(size)).cast("long"))
-    long_sheets = (
-        events.groupBy(*SHEET)
-        .agg(F.min("__block").alias("lo"), F.max("__block").alias("hi"))
-        .filter("lo < hi")
-        .select(*SHEET)
-    )
-    by_block = lambda df: df.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "row_idx")
-    ends = by_block(events.join(long_sheets, SHEET, "left_semi")).mapInPandas(
-        _block_ends, "source string, sheet string, __block long, ends array<int>"
-    )
-    block_starts = ends.groupBy(*SHEET).applyInPandas(
-        _chain, "source string, sheet string, __block long, start int"
-    )
-    started = events.join(block_starts, _BLOCK_KEYS, "left").withColumn("start", F.coalesce("start", F.lit(0)))
-    marked = by_block(started).mapInPandas(
-        _mark_starts, "source string, sheet string, row_idx long, starts boolean"
-    )
-    numbered = over_blocks(
-        marked, SHEET, "row_idx", {"table_id": running_total(F.col("starts").cast("int"))}
-    ).select(*SHEET, "row_idx", (F.col("table_id") - 1).alias("table_id"))
+    numbered = carry_through(rows, SHEET, "row_idx", {"flags": _flags(F.col("vals"))}, Down())
     return rows.join(numbered, [*SHEET, "row_idx"])
 
 
