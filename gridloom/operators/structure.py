@@ -8,15 +8,12 @@ over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.blockwise import carry_through
 from gridloom.functions.ordered import (
-    following,
-    last_seen,
     no_blocks,
     over_blocks,
     previous,
@@ -29,6 +26,7 @@ from gridloom.functions.ordered import (
     with_blocks,
 )
 from gridloom.functions.text import indent_level, is_alpha, is_digits, starts_with_letter, strip
+from gridloom.operators.carried import BODY, LABEL, Indentation, KeptLabels, LoneRuns, RunningLabel
 from gridloom.operators.grid import (
     COLUMN,
     ROW,
@@ -219,34 +217,16 @@ def split_header(rows: DataFrame, depth: Column, strip_pieces: bool = False) ->
 # ---- indentation --------------------------------------------------------
 
 
-def discover_levels(rows: DataFrame) -> list[int]:
-    """Distinct indentation depths; only these small integers reach the driver."""
-    level = indent_level(cell(F.col("vals"), 0))
-    found = rows.select(level.alias("k")).filter("k is not null").distinct()
-    return sorted(r["k"] for r in found.toLocalIterator())
-
+def indent_path(rows: DataFrame) -> DataFrame:
+    """First cell prefixed by the labels it is indented under, however many depths there are.
 
-def indent_path(rows: DataFrame, levels: Sequence[int] | None = None) -> DataFrame:
-    """First cell prefixed by the labels it is indented under.
-
-    A label is an ancestor when no later row is as shallow: for each level j
-    the last row with a level of at most j counts, if that row is at j exactly.
+    A label is an ancestor when no later row is as shallow.
     """
-    levels = discover_levels(rows) if levels is None else sorted(levels)
-    if not levels:  # no row has a label
-        return rows
     first = cell(F.col("vals"), 0)
-    marked = rows.withColumns({"__k": indent_level(first), "__label": strip(first)})
-    # Per level: its label, or an empty text where a shallower row closes it.
-    outputs = {
-        f"__a{j}": last_seen(F.when(F.col("__k") == j, F.col("__label")).when(F.col("__k") < j, F.lit("")))
-        for j in levels
-    }
-    seen = over_blocks(marked, SHEET, "row_idx", outputs)
-    # concat_ws leaves out the levels that are not open.
-    path = F.concat_ws(" ", *[F.nullif(F.col(f"__a{j}"), F.lit("")) for j in levels])
-    vals = F.when(F.col("__label").isNotNull(), replace_first(F.col("vals"), path)).otherwise(F.col("vals"))
-    return seen.withColumn("vals", vals).drop("__k", "__label", *outputs)
+    facts = {"level": F.coalesce(indent_level(first), F.lit(0)), "label": strip(first)}
+    paths = carry_through(rows, SHEET, "row_idx", facts, Indentation())
+    vals = F.when(F.col("__path").isNotNull(), replace_first(F.col("vals"), F.col("__path"))).otherwise(F.col("vals"))
+    return rows.join(paths, ROW, "left").withColumn("vals", vals).select(*rows.columns)
 
 
 def replace_first(vals: Column, value: Column) -> Column:
@@ -491,6 +471,10 @@ def collapse_lone_rows(classified: DataFrame) -> DataFrame:
 # ---- labels carried to later rows ---------------------------------------
 
 
+def _role_code() -> Column:
+    return F.when(F.col("role") == "body", BODY).when(F.col("role") == "label", LABEL).otherwise(0)
+
+
 def carry_label_uspto(rows: DataFrame) -> DataFrame:
     """Prefix body rows with the label above them.
 
@@ -498,42 +482,14 @@ def carry_label_uspto(rows: DataFrame) -> DataFrame:
     lone cells join with a space, a later one replaces them, a blank row ends
     the label. Output: the body rows.
     """
-    label = F.col("role") == "label"
-    facts = _settled_facts(rows, __first=F.when(label, cell(F.col("vals"), 0)))
-    before = over_blocks(facts, SHEET, "row_idx", {"__prev": previous(F.col("__n")), "__next_label": following(label)})
-    follows = F.coalesce("__prev", F.lit(0)) == 1
-    restart = (F.col("__n") == 0) | (label & ~follows)
-    islands = over_blocks(before, SHEET, "row_idx", {"__island": running_total(restart.cast("int"))})
-    piece = F.when(follows, F.concat(F.lit(" "), F.col("__first"))).otherwise(F.col("__first"))
-    # Only the last label before another row is ever read.
-    read = label & ~F.coalesce("__next_label", F.lit(False))
-    marked = _with_running_text(islands, "__island", label, piece, read).withColumn(
-        "__event", F.when(F.col("__n") == 0, F.lit("")).otherwise(F.col("__text"))
-    ).drop("__next_label")
-    carried = over_blocks(marked, SHEET, "row_idx", {"__label": last_seen(F.col("__event"))})
-    labels = carried.filter((F.col("role") == "body") & (F.col("__label") != "")).select(*ROW, "__label")
     vals = F.col("vals")
+    facts = {"n": n_cells(vals), "role": _role_code(), "first": F.when(F.col("role") == "label", cell(vals, 0))}
+    labels = carry_through(rows, SHEET, "row_idx", facts, RunningLabel())
     prefixed = F.concat(F.col("__label"), F.lit(" "), F.coalesce(cell(vals, 0), F.lit("")))
     out = F.when(F.col("__label").isNotNull(), replace_first(vals, prefixed)).otherwise(vals)
     return rows.filter(F.col("role") == "body").join(labels, ROW, "left").select(*ROW, out.alias("vals"))
 
 
-def _with_running_text(rows: DataFrame, chain: str, label: Column, piece: Column, read: Column) -> DataFrame:
-    """``__text`` of the label rows that are ``read``: the pieces of their chain so far.
-
-    The pieces of a chain are gathered once, in order; each row that is read
-    joins those up to its own. Other rows pass by.
-    """
-    pieces = rows.filter(label).groupBy(*SHEET, chain).agg(
-        F.sort_array(F.collect_list(F.struct("row_idx", piece.alias("piece")))).alias("__pieces")
-    )
-    so_far = F.filter("__pieces", lambda p: p["row_idx"] <= F.col("row_idx"))
-    text = F.array_join(F.transform(so_far, lambda p: p["piece"]), "")
-    readers = rows.filter(read).select(*ROW, "__block", chain)
-    texts = readers.join(pieces, [*SHEET, chain]).select(*ROW, "__block", text.alias("__text"))
-    return rows.join(texts, [*ROW, "__block"], "left")
-
-
 def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     """The sheets whose lone cells stay as rows.
 
@@ -542,44 +498,9 @@ def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     Matters`` moves in front of the next row; then labels that end in a colon
     or are not indented go.
     """
-    first, lone = F.col("__first"), F.col("__n") == 1
-    label = F.col("role") == "label"
-    facts = _settled_facts(rows, __first=F.when(n_cells(F.col("vals")) == 1, cell(F.col("vals"), 0)))
-    # A blank row leaves no label to continue.
-    open_label = F.when(label, F.lit(1)).when(F.col("__n") == 0, F.lit(0))
-    before = over_blocks(
-        facts,
-        SHEET,
-        "row_idx",
-        {"__prev": previous(F.col("__n")), "__above_label": last_seen(open_label, inclusive=False)},
-    )
-    joins = F.coalesce(
-        label & (F.col("__prev") == 1) & (F.col("__above_label") == 1) & ~first.startswith(" "), F.lit(False)
-    )
-    marked = before.withColumn("__joins", joins)
-    # A label that does not continue starts a chain, a blank row ends one.
-    starts = (label & ~F.col("__joins")) | (F.col("__n") == 0)
-    chains = over_blocks(marked, SHEET, "row_idx", {"__chain": running_total(starts.cast("int"))})
-    piece = F.when(F.col("__joins"), F.concat(F.lit(" "), strip(first))).otherwise(first)
-    # A joined label stays only if its text begins with a blank and ends without a colon, or moves if it is the one
-    # that does: its chain's first piece and its own last one tell, so no other text is put together.
-    begun = over_blocks(chains, SHEET, "row_idx", {"__begin": last_seen(F.when(label & ~F.col("__joins"), first))})
-    stays = F.coalesce(F.col("__begin").startswith(" ") & ~piece.endswith(":"), F.lit(False))
-    moves = F.lit(USPTO_JOINED_LABEL).startswith(F.col("__begin")) & F.lit(USPTO_JOINED_LABEL).endswith(strip(first))
-    asked = label & F.col("__joins") & (stays | F.coalesce(moves, F.lit(False)))
-    texts = _with_running_text(begun, "__chain", label, piece, asked)
-    kept = texts.filter(F.col("role").isin("body", "label")).withColumn(
-        "__first", F.when(F.col("__joins"), F.coalesce("__text", F.lit(":"))).otherwise(first)
-    )
-    mover = F.coalesce(lone & (first == USPTO_JOINED_LABEL), F.lit(False))
-    moved = over_blocks(kept.withColumn("__mover", mover), SHEET, "row_idx", {"__above": previous(F.col("__mover"))})
-    above = F.coalesce("__above", F.lit(False))
-    final = F.when(above, F.concat_ws(" ", F.lit(USPTO_JOINED_LABEL), first)).otherwise(first)
-    dropped = lone & (final.endswith(":") | ~final.startswith(" "))
-    decided = moved.filter(~F.col("__mover") & ~F.coalesce(dropped, F.lit(False))).select(
-        *ROW, above.alias("__above"), F.when(F.col("__joins"), F.col("__text")).alias("__text")
-    )
     vals = F.col("vals")
+    facts = {"n": n_cells(vals), "role": _role_code(), "first": F.when(n_cells(vals) == 1, cell(vals, 0))}
+    decided = carry_through(rows, SHEET, "row_idx", facts, KeptLabels(USPTO_JOINED_LABEL))
     text = F.coalesce("__text", cell(vals, 0))
     shown = F.when(F.col("__above"), F.concat_ws(" ", F.lit(USPTO_JOINED_LABEL), text)).otherwise(text)
     out = rows.join(decided, ROW).withColumn("__shown", shown).filter("__shown is not null")
@@ -594,46 +515,9 @@ def carry_label_soi(rows: DataFrame) -> DataFrame:
     ``prefix``, to be put before the indentation path of the row.
     """
     vals = F.col("vals")
-    marked = _settled_facts(rows, __lone=n_cells(vals) == 1, __value=F.when(n_cells(vals) == 1, first_value(vals)))
-    lone = F.col("__lone")
-    placed = over_blocks(
-        marked,
-        SHEET,
-        "row_idx",
-        {
-            "__before": previous(lone),
-            "__at": running_total(F.lit(1)),
-            "__of": whole_sum(F.lit(1)),
-        },
-    )
-    exempt = F.col("__at") > F.col("__of") - 2
-    starts = ~(lone & F.coalesce("__before", F.lit(False)) & (F.col("__at") <= F.col("__of") - 1))
-    runs = over_blocks(
-        placed.withColumns({"__exempt": exempt, "__starts": starts}),
-        SHEET,
-        "row_idx",
-        {"__run": running_total(F.col("__starts").cast("int"))},
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("row_idx", "__value")))
-    texts = (
-        runs.filter(lone)
-        .groupBy(*SHEET, "__run")
-        .agg(
-            F.max("row_idx").alias("row_idx"),
-            F.max("__block").alias("__block"),
-            F.count(F.lit(1)).alias("__length"),
-            F.array_join(F.transform(pieces, lambda c: c["__value"]), " ").alias("__text"),
-        )
-        .drop("__run")
-    )
-    joined = runs.join(texts, [*ROW, "__block"], "left")
-    ends = F.col("__text").isNotNull()
-    label = F.when(ends & ~F.col("__exempt"), F.col("__text"))
-    carried = over_blocks(joined.withColumn("__label", label), SHEET, "row_idx", {"prefix": last_seen(F.col("__label"))})
-    # Inside a run only the exempt end survives, with the joined text.
-    decided = carried.filter(~lone | F.col("__exempt") & ends).select(
-        *ROW, "prefix", F.when(F.col("__length") > 1, F.col("__text")).alias("__text")
-    )
+    lone = n_cells(vals) == 1
+    facts = {"lone": lone, "first": F.when(lone, first_value(vals))}
+    decided = carry_through(rows, SHEET, "row_idx", facts, LoneRuns())
     only = F.transform(vals, lambda v, i: F.when(i == 0, F.col("__text")))
     text = F.when(F.col("__text").isNotNull(), only).otherwise(vals)
     return rows.join(decided, ROW).select(*ROW, text.alias("vals"), "prefix")

@@ -29,6 +29,7 @@ def test_every_sql_has_a_query():
 PYTHON = {
     "workbook_cells", "workbook_values", "sheet_path", "archive_expand", "html_table_cells", "html_simple_table", "class_indent",
     "span_expand", "html_page_grid", "captions", "split_tables_down", "page_tables", "page_unions", "sheet_tables_soi",
+    "carry_label_uspto", "keep_label_uspto_special", "carry_label_soi", "indent_path",
 }
 
 
