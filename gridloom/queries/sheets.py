@@ -134,7 +134,7 @@ def split_tables_across_shared(spark, sf_dir):
 
 @query(
     "split_tables_down",
-    f"""WITH RECURSIVE {DOC_GRID},
+    rf"""WITH RECURSIVE {DOC_GRID},
       f AS (SELECT source, sheet, row_idx, row_number() OVER w AS spot, n = 0 AS blank, n > 1 AS is_full,
           n = 0 AND coalesce(lead(n) OVER w, 0) > 1 AND coalesce(lead(nulls) OVER w, 0) > 2 AS gap, coalesce(starts_with(trim(firstv), 'Table'), false) AS title,
           n > 0 AND ((width // 2 > n AND n <> 1) OR (n = 1 AND c0 IS NULL)) AND

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from gridloom.functions.text import (
@@ -16,6 +17,7 @@ from gridloom.functions.text import (
     path_segment,
     strip,
 )
+from gridloom.sources.records import csv_records
 
 # Suffixes and name parts of the file families.
 WORKBOOK_SUFFIXES = [".xls", ".xlsx"]
@@ -131,12 +133,26 @@ def csv_scan(
 ) -> DataFrame:
     """CSV with all columns as text, or with inferred types.
 
-    ``multi_line`` keeps line breaks inside quotes; without it large files are
-    read in splits. ``escape`` is what stands before a quote inside quotes.
+    ``multi_line`` keeps line breaks inside quotes. Files are read in splits either way (see ``sources.records``), but
+    inferred types of files with such breaks are read a file a task. ``escape`` is what stands before a quote inside
+    quotes.
     """
-    reader = spark.read.option("header", str(header).lower()).option("multiLine", str(multi_line).lower())
-    reader = reader.option("escape", escape) if escape else reader
-    return reader.option("inferSchema", str(infer).lower()).csv(list(paths) if not isinstance(paths, str) else paths)
+    options = {"header": str(header).lower(), "multiLine": str(multi_line).lower(), **({"escape": escape} if escape else {})}
+    reader = spark.read.options(**options)
+    places = list(paths) if not isinstance(paths, str) else paths
+    if infer or not multi_line:
+        return reader.option("inferSchema", str(infer).lower()).csv(places)
+    # Names from the first record, types all text: no other record is read for them.
+    schema = reader.csv(places).schema
+    if not schema.fields:
+        return spark.createDataFrame([], schema)
+    records = csv_records(spark, places, header, escape=escape or "\\")
+    parsed = records.select(F.from_csv("value", _ddl(schema), options).alias("r"))
+    return parsed.select("r.*")
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
 
 
 def table_scan(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
