@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import matches_any, site_root, strip, unescape, url_quote
-from gridloom.session import settle
+from gridloom.session import ensure_checkpoint_dir
 
 # A start tag of an anchor; a ">" inside quotes does not end it. Possessive, so no tag is tried twice.
 ANCHOR = r"""(?i)<a(?=\s)(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -91,27 +92,49 @@ def directory_closure(
 ) -> DataFrame:
     """All entries reachable from the seed folders.
 
-    ``entries(parent, child, is_folder)`` are listings already fetched. Each
-    round joins only the folders found in the round before, and drops those
-    visited; cycles therefore end. Every round is checkpointed, which keeps
-    the plan short and survives the loss of an executor.
+    ``entries(parent, child, is_folder)`` are listings already fetched. Edges and the folders visited so far are kept in
+    buckets of the folder, so a round shuffles only the folders it finds: it reads the edges of the last round's folders
+    where they lie, deals their children out once, and drops those visited, which lie there already; cycles therefore end.
+    A round is one write; its number of new folders is counted while it is written. All tables are in the shared folder,
+    which keeps the plan short and survives the loss of an executor.
     """
-    edges = settle(
+    spark = entries.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = _Buckets(spark, n, "parent")
+    visited = _Buckets(spark, n, "folder")
+    edges.add(
         entries.select(F.col(parent).alias("parent"), F.col(child).alias("child"), F.col(is_folder).alias("is_folder")).distinct()
     )
-    frontier = settle(seeds.select(F.col(seeds.columns[0]).alias("folder")).distinct())
-    visited = frontier
-    rounds = []
-    while not frontier.isEmpty():
-        found = settle(edges.join(frontier.withColumnRenamed("folder", "parent"), "parent"))
-        rounds.append(found)
-        targets = found.filter("is_folder").select(F.col("child").alias("folder")).distinct()
-        frontier = settle(targets.join(visited, "folder", "left_anti"))
-        visited = visited.unionByName(frontier)
-    if not rounds:
-        return edges.limit(0)
-    # A folder is expanded in one round only, so the rounds do not overlap.
-    out = rounds[0]
-    for found in rounds[1:]:
-        out = out.unionByName(found)
-    return out.select("parent", "child", "is_folder")
+    new = visited.add(seeds.select(F.col(seeds.columns[0]).alias("folder")).where("folder is not null").repartition(n, "folder").distinct(), 0)
+    at = 0
+    while new:
+        # Both lie in buckets of the folder: merged where they are.
+        last = visited.read().filter(F.col("round") == at).select(F.col("folder").alias("parent"))
+        found = edges.read().filter("is_folder and child is not null").join(last.hint("merge"), "parent")
+        targets = found.select(F.col("child").alias("folder")).repartition(n, "folder").distinct()
+        at += 1
+        # An anti join would be pushed below the other join, which would deal out the edges.
+        known = visited.read().select("folder", F.lit(True).alias("known")).hint("merge")
+        new = visited.add(targets.join(known, "folder", "left").filter("known is null").select("folder"), at)
+    return edges.read().join(visited.read().select(F.col("folder").alias("parent")).hint("merge"), "parent").select("parent", "child", "is_folder")
+
+
+class _Buckets:
+    """A table in the shared folder, in buckets of one column; every ``add`` is a part of its own."""
+
+    def __init__(self, spark: SparkSession, n: int, column: str) -> None:
+        self.spark, self.n, self.column = spark, n, column
+        self.name = f"gridloom_{column}_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark)}/gridloom/{self.name}"
+
+    def add(self, rows: DataFrame, at: int | None = None) -> int:
+        """Write rows; returns how many they were."""
+        seen = Observation()
+        parted = rows if at is None else rows.withColumn("round", F.lit(at))
+        writer = parted.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").option("path", self.path).format("parquet")
+        writer = writer.bucketBy(self.n, self.column).sortBy(self.column)
+        writer.saveAsTable(self.name)
+        return seen.get["n"]
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)

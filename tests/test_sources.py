@@ -1,6 +1,7 @@
 """Files, payloads, workbooks, archives, pages."""
 
 import io
+import os
 import random
 import zipfile
 
@@ -230,6 +231,22 @@ def test_closure_ends_on_cycles(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(edges[:4])
 
 
+def test_closure_of_a_long_chain_takes_two_jobs_a_round(spark):
+    """A chain of folders with a way back; rounds deal out only what they find."""
+    depth = 500 if os.environ.get("LONG_TESTS") else 40
+    edges = [(f"d{i}/", f"d{i + 1}/", True) for i in range(depth)] + [(f"d{i}/", f"f{i}", False) for i in range(depth + 1)]
+    edges += [(f"d{depth}/", "d3/", True), (None, "d0/", True), ("d5/", None, True), ("elsewhere/", "d0/", True)]
+    table = spark.createDataFrame(edges, "parent string, child string, is_folder boolean")
+    jobs = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    got = links.directory_closure(table, spark.createDataFrame([("d0/",), (None,)], "folder string"))
+    # beside the rounds: the edges, the seeds, and a last round that finds nothing
+    assert jobs() - before <= 2 * depth + 8
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(e) for e in edges if e[0] and e[0] != "elsewhere/")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
 def test_quoting(spark):
     df = spark.createDataFrame([("/a b~*é,+:x",)], "u string")
     assert df.select(text.url_quote(F.col("u"))).first()[0] == "/a%20b~%2A%C3%A9%2C%2B:x"
