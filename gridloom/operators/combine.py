@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.ordered import over_blocks, running_total, whole_first
@@ -34,8 +34,33 @@ def distinct_folders(paths: DataFrame, path: str, order: str) -> DataFrame:
 
 
 def union_by_name_merge(tables: Sequence[DataFrame]) -> DataFrame:
-    """Stack tables; columns are matched by name without case, missing ones are NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    """Stack tables; columns are matched by name without case, missing ones are NULL.
+
+    The merged columns are worked out first. Every table is brought to them and tables are stacked two by two, so the
+    plan of n tables is log n deep, not n.
+    """
+    merged: dict[str, str] = {}
+    for t in tables:
+        for c in t.columns:
+            merged.setdefault(c.lower(), c)
+
+    def whole(t: DataFrame) -> DataFrame:
+        own = {c.lower(): c for c in t.columns}
+        quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+        return t.select(*[(quoted(own[k]) if k in own else F.lit(None)).alias(name) for k, name in merged.items()])
+
+    level = [whole(t) for t in tables]
+    while len(level) > 1:
+        level = [level[i].unionAll(level[i + 1]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    return level[0]
+
+
+def union_stored(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Stack stored tables as ``union_by_name_merge`` does: their schemas are merged from the footers, then one scan reads all.
+
+    Columns of one name must have types that merge.
+    """
+    return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
 def concat_by_name(tables: Sequence[DataFrame]) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.session import settle_counted
+
 REASON = "__reason"
+_OUTCOME = "__outcome"
 
 
 def check(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -28,10 +32,35 @@ def quarantine(checked: DataFrame, stage: str, source: str = "source") -> DataFr
     )
 
 
-def quarantine_units(checked: DataFrame, stage: str, source: str = "source") -> DataFrame:
+def unit_errors(errors: DataFrame) -> DataFrame:
     """One error row per file or sheet: a bad row spoils its whole unit."""
-    return (
-        quarantine(checked, stage, source)
-        .groupBy("source", "stage")
-        .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
+    return errors.groupBy("source", "stage").agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def quarantine_units(checked: DataFrame, stage: str, source: str = "source") -> DataFrame:
+    return unit_errors(quarantine(checked, stage, source))
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """Good rows, error rows ``(source, stage, reason)``, and how many there are of each."""
+
+    good: DataFrame
+    errors: DataFrame
+    n_good: int
+    n_bad: int
+
+
+def tee(checked: DataFrame, stage: str, source: str = "source") -> Outcome:
+    """Good and bad rows apart, after one pass over the input.
+
+    One job writes both, in a folder per outcome, and counts them meanwhile; each side then reads its own folder only.
+    """
+    bad = F.col(REASON).isNotNull()
+    written, seen = settle_counted(checked.withColumn(_OUTCOME, bad.cast("int")), (_OUTCOME,), n_bad=F.count(F.when(F.col(REASON).isNotNull(), 1)))
+    return Outcome(
+        written.filter(F.col(_OUTCOME) == 0).drop(REASON, _OUTCOME),
+        quarantine(written.filter(F.col(_OUTCOME) == 1), stage, source),
+        seen["n"] - seen["n_bad"],
+        seen["n_bad"],
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import delimited, fixed_width
 from gridloom.operators.grid import ROW, SHEET
-from gridloom.operators.quarantine import check, good, quarantine_units
+from gridloom.operators.quarantine import check, tee, unit_errors
 from gridloom.session import settle
 from gridloom.sources import files, payload
 
@@ -52,19 +52,20 @@ def text_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, D
     """
     lines = files.text_lines(spark, root, "space")
     excluded = files.name_excluded(F.col("source"), files.EXCLUDED_TEXT_NAMES)
-    checked = check(files.as_lines(lines), {"excluded by name": ~excluded})
+    named = tee(check(files.as_lines(lines), {"excluded by name": ~excluded}), "names")
     is_map = F.col("source").endswith(ERROR_MAP_SUFFIX)
-    sniffed = settle(delimited.sniff_table(delimited.delimited_layout(good(checked).filter(~is_map))))
+    sniffed = settle(delimited.sniff_table(delimited.delimited_layout(named.good.filter(~is_map))))
     first_names = settle(delimited.text_names(sniffed))
     names = first_names.filter("mode != 'bad'")
     data = sniffed.filter("mode != 'bad'").join(names.select(*SHEET, "names", "header_is_data"), SHEET).filter(
         (F.col("position") > F.col("header_end")) | (F.col("header_is_data") & (F.col("position") == 0))
     )
-    judged = check(data, {"row is not as wide as the heading": F.size("vals") == F.size("names")})
-    second_names, second = _second_attempt(good(checked), first_names.filter("mode = 'bad'").select(*SHEET))
-    map_names, maps = _error_maps(good(checked).filter(is_map))
-    errors = quarantine_units(checked, "names").unionByName(quarantine_units(judged, "layout")).unionByName(quarantine_units(second, "second attempt"))
-    rows = good(judged).select(*ROW, "vals").unionByName(good(second).select(*ROW, "vals")).unionByName(maps)
+    judged = tee(check(data, {"row is not as wide as the heading": F.size("vals") == F.size("names")}), "layout")
+    second_names, retried = _second_attempt(named.good, first_names.filter("mode = 'bad'").select(*SHEET))
+    second = tee(retried, "second attempt")
+    map_names, maps = _error_maps(named.good.filter(is_map))
+    errors = unit_errors(named.errors.unionAll(judged.errors).unionAll(second.errors))
+    rows = judged.good.select(*ROW, "vals").unionByName(second.good.select(*ROW, "vals")).unionByName(maps)
     return names.unionByName(second_names).unionByName(map_names), rows, errors
 
 

@@ -147,7 +147,7 @@ def _csv_name(name: str) -> str:
 @query("csv_scan_infer", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def csv_scan_infer(spark, sf_dir):
     target = scratch(spark, "csv")
-    sinks.csv_export(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), target, single=False)
+    sinks.csv_export(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), target)
     found = files.csv_scan(spark, target, infer=True, multi_line=False)
     return found.withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
 
@@ -372,6 +372,25 @@ def union_by_name_merge(spark, sf_dir):
     return combine.union_by_name_merge([c, s, p])
 
 
+@query(
+    "union_stored",
+    """SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, NULL::VARCHAR AS kind FROM customer
+      UNION ALL SELECT s_suppkey, s_name, s_acctbal, NULL FROM supplier
+      UNION ALL SELECT p_partkey, p_name, NULL, p_type FROM part""",
+)
+def union_stored(spark, sf_dir):
+    """The same from stored tables, in one scan."""
+    paths = []
+    for name, columns in [
+        ("customer", {"key": "c_custkey", "name": "c_name", "balance": "c_acctbal"}),
+        ("supplier", {"BALANCE": "s_acctbal", "KEY": "s_suppkey", "Name": "s_name"}),
+        ("part", {"key": "p_partkey", "name": "p_name", "kind": "p_type"}),
+    ]:
+        paths.append(scratch(spark, name))
+        sinks.overwrite_table(table(spark, sf_dir, name).select(*[F.col(c).alias(n) for n, c in columns.items()]), paths[-1])
+    return combine.union_stored(spark, paths)
+
+
 @query(
     "union_positional",
     """SELECT CAST(c_custkey AS VARCHAR) AS "Code", c_name AS "Desription", 'Customer_code' AS "Name" FROM customer
@@ -474,6 +493,21 @@ def error_log(spark, sf_dir):
     return files.csv_scan(spark, target)
 
 
+@query(
+    "quarantine_tee",
+    _SQL_CHECKED
+    + """ SELECT doc_id, source, reason, sum((reason IS NULL)::INT) OVER ()::BIGINT AS n_good, sum((reason IS NOT NULL)::INT) OVER ()::BIGINT AS n_bad
+      FROM (SELECT CASE WHEN reason IS NULL THEN doc_id END AS doc_id, source, reason FROM c)""",
+)
+def quarantine_tee(spark, sf_dir):
+    """Good documents and the log of bad ones, written in one pass and read again."""
+    table_path, log_path = scratch(spark, "good"), scratch(spark, "log")
+    n_good, n_bad = sinks.write_outcomes(_checked(spark, sf_dir), "documents", table_path, log_path)
+    kept = files.table_scan(spark, table_path).select("doc_id", "source", F.lit(None).cast("string").alias("reason"))
+    log = files.csv_scan(spark, log_path).select(F.lit(None).cast("long").alias("doc_id"), "source", "reason")
+    return kept.unionAll(log).withColumns({"n_good": F.lit(n_good).cast("long"), "n_bad": F.lit(n_bad).cast("long")})
+
+
 # ---- sinks --------------------------------------------------------------
 
 
@@ -504,7 +538,7 @@ def append_merge_schema(spark, sf_dir):
 @query("csv_export", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, (SELECT 1::BIGINT) AS n_files FROM nation")
 def csv_export(spark, sf_dir):
     target = scratch(spark, "export")
-    sinks.csv_export(table(spark, sf_dir, "nation"), target)
+    sinks.csv_export(table(spark, sf_dir, "nation"), target, single=True)
     n_files = files.file_inventory(spark, target, [".csv"]).count()
     return files.csv_scan(spark, target).select("n_nationkey", "n_name", F.lit(n_files).cast("long").alias("n_files"))
 

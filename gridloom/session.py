@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every operator is tuned for; a cluster sets the same ones in its defaults.
 SETTINGS = {
@@ -86,3 +87,11 @@ def settle(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/gridloom/settled-{uuid.uuid4().hex}"
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_counted(df: DataFrame, partition_by: tuple[str, ...] = (), **counts) -> tuple[DataFrame, dict[str, int]]:
+    """``settle``, and aggregates worked out over the rows while they are written (``n``: their number)."""
+    seen = Observation()
+    totals = {"n": F.count(F.lit(1)), **counts}
+    written = settle(df.observe(seen, *[c.alias(name) for name, c in totals.items()]), partition_by)
+    return written, {name: value or 0 for name, value in seen.get.items()}

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.text import quote_regex
 from gridloom.operators.combine import union_by_name_merge
+from gridloom.operators.quarantine import tee
+from gridloom.session import settle_counted
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -25,8 +27,8 @@ def combine_tables(tables: list[DataFrame], path: str) -> None:
     overwrite_table(union_by_name_merge(tables), path)
 
 
-def csv_export(df: DataFrame, path: str, single: bool = True) -> None:
-    """CSV with a heading; one file if ``single``, written by a task, never by the driver."""
+def csv_export(df: DataFrame, path: str, single: bool = False) -> None:
+    """CSV with a heading, a file per task; one file if ``single``, which one task then writes."""
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", "true").csv(path)
 
 
@@ -50,13 +52,26 @@ def register_table(spark: SparkSession, path: str, name: str, persist: bool = Fa
 
 
 def error_log(quarantined: DataFrame, path: str) -> bool:
-    """Write the error rows if there is at least one; tells whether it did."""
-    if quarantined.isEmpty():
+    """Write the error rows if there is at least one; tells whether it did.
+
+    The rows are worked out once and counted while they are written; the log is made from what was written.
+    """
+    written, seen = settle_counted(quarantined)
+    if not seen["n"]:
         return False
-    csv_export(quarantined, path, single=False)
+    csv_export(written, path)
     return True
 
 
+def write_outcomes(checked: DataFrame, stage: str, path: str, log_path: str, source: str = "source") -> tuple[int, int]:
+    """Good rows as a table, error rows as a log if there are any; the input is read once. Numbers of good and bad rows."""
+    outcome = tee(checked, stage, source)
+    overwrite_table(outcome.good, path)
+    if outcome.n_bad:
+        csv_export(outcome.errors, log_path)
+    return outcome.n_good, outcome.n_bad
+
+
 def view_paths(path: Column) -> tuple[Column, Column]:
     """Folder and stem of a text file with the endings of its two views."""
     folder = F.regexp_replace(path, r"/?[^/]*$", "")

@@ -254,6 +254,29 @@ def test_quoting(spark):
     assert path.select(text.url_to_path(F.col("u"))).first()[0] == "a.b/api/ITA/-&UserID=S&method=GetData&DataSetName=ITA&I=1"
 
 
+def test_good_and_bad_rows_in_one_pass(spark, tmp_path):
+    """The event of reading a row is counted: every row of the source is worked out once."""
+    from gridloom.operators.quarantine import check, tee
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def touched(n):
+        read.add(1)
+        return n
+
+    rows = spark.range(100).select(F.lit("s").alias("source"), touched("id").alias("n"))
+    outcome = tee(check(rows, {"too large": F.col("n") < 70}), "size")
+    assert (outcome.n_good, outcome.n_bad, read.value) == (70, 30, 100)
+    assert sorted(r.n for r in outcome.good.collect()) == list(range(70))
+    assert {tuple(r) for r in outcome.errors.collect()} == {("s", "size", "too large")} and outcome.errors.count() == 30
+    assert read.value == 100
+    assert sinks.write_outcomes(check(rows, {"all": F.col("n") >= 0}), "x", str(tmp_path / "g"), str(tmp_path / "log")) == (100, 0)
+    assert not (tmp_path / "log").exists() and read.value == 200
+    none = tee(check(rows.limit(0), {"all": F.lit(False)}), "x")
+    assert (none.n_good, none.n_bad, none.good.count(), none.errors.count()) == (0, 0, 0, 0)
+
+
 def test_error_log_of_one(spark, tmp_path):
     one = spark.createDataFrame([("f", "s", "r")], "source string, stage string, reason string")
     assert sinks.error_log(one, str(tmp_path / "log"))

@@ -1,5 +1,8 @@
 """Families of sheets, end to end, on small sheets worked out by hand."""
 
+from pyspark.sql import functions as F
+
+from gridloom.operators import combine
 from gridloom.plans import workbook as w
 
 
@@ -115,3 +118,12 @@ def test_write_groups_tables_by_schema(rows, spark, tmp_path):
     assert len(list(tmp_path.glob("schema=*"))) == 2
     found = [spark.read.parquet(str(p)) for p in tmp_path.glob("schema=*")]
     assert sorted(df.count() for df in found) == [1, 3]
+
+
+def test_five_hundred_tables_make_a_shallow_plan(spark):
+    tables = [spark.range(0, 1, 1, 1).select(F.col("id").alias("Key" if i % 2 else "key"), F.lit(i).alias(f"c{i % 7}")) for i in range(500)]
+    out = combine.union_by_name_merge(tables)
+    lines = out._jdf.queryExecution().analyzed().toString().splitlines()
+    assert max((len(line) - len(line.lstrip(" :|+-"))) // 3 for line in lines) < 20
+    assert out.columns == ["key", *[f"c{i}" for i in range(7)]]
+    assert out.selectExpr("count(*)", "sum(c0)", "sum(c6)").first() == (500, sum(range(0, 500, 7)), sum(range(6, 500, 7)))
