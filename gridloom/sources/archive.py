@@ -122,10 +122,8 @@ def expand_pieces(pieces: DataFrame, wanted: Column | None = None) -> DataFrame:
     own = listed.filter("error is null") if wanted is None else listed.filter(F.col("error").isNull() & wanted)
     # Neighbours whose headers lie in one stretch of the file are read together.
     facts = F.struct("member", "begin", "end", "method", "packed", "crc", "locked")
-    units = settle(
-        own.withColumn("unit", F.floor(F.col("begin") / UNIT)).groupBy("source", "unit").agg(
-            F.min("begin").alias("low"), F.max("end").alias("high"), F.collect_list(facts).alias("members")
-        )
+    units = own.withColumn("unit", F.floor(F.col("begin") / UNIT)).groupBy("source", "unit").agg(
+        F.min("begin").alias("low"), F.max("end").alias("high"), F.collect_list(facts).alias("members")
     )
     spans = units.select("source", "unit", F.col("low").alias("begin"), F.col("high").alias("end"))
 

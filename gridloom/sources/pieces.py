@@ -61,8 +61,10 @@ def file_pieces(spark: SparkSession, paths: str | Sequence[str], glob: str | Non
     """``pieces(source, size, at, bytes)`` of files: ``size`` is the file's, ``at`` the place of the piece's first byte."""
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     reader = reader.option("pathGlobFilter", glob) if glob else reader
+    # The path as other sources give it, not as an address.
+    address = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     raw = reader.text(list(paths) if not isinstance(paths, str) else paths).select(
-        F.col("_metadata.file_path").alias("source"),
+        F.regexp_replace(address, "^file:/+", "file:/").alias("source"),
         F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("start"),
         F.col("value").cast("binary").alias("line"),

@@ -1,17 +1,15 @@
 """Workbook files (``.xlsx``) as grid rows.
 
-The file format is a zip of XML parts. One file is one record of Spark's
-``binaryFile`` source; the tasks decode it with the standard library and emit
-grid rows batch by batch.
+The file format is a zip of XML parts, read as ``sources.archive`` reads members. The small parts of a workbook tell its sheets and
+styles; every sheet is then parsed once, in a task of its own, and emits its rows batch by batch. Cells that refer to the
+workbook's list of texts meet it in a join, so no task holds that list. The width of a sheet is an aggregate over its rows.
 """
 
 from __future__ import annotations
 
 import io
 import re
-import zipfile
 from collections.abc import Iterator
-from dataclasses import dataclass
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -19,7 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.ordered import join_facts, no_blocks, with_blocks
+from gridloom.session import settle
+from gridloom.sources.archive import expand_pieces
 from gridloom.sources.files import with_suffix
+from gridloom.sources.pieces import cell_pieces, file_pieces
 
 SCHEMA = "source string, sheet string, row_idx long, vals array<string>, n_sheets int, error string"
 BATCH_ROWS = 4096
@@ -27,22 +29,30 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    out = []
-    with book.open("xl/sharedStrings.xml") as part:
-        for _, node in ElementTree.iterparse(part):
-            if node.tag == _MAIN + "si":
-                out.append("".join(t.text or "" for t in node.iter(_MAIN + "t")))
-                node.clear()
-    return out
-
-
-def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
-    links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
-    targets = {n.get("Id"): n.get("Target", "") for n in links}
-    names = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(_MAIN + "sheet")
+def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``source, at, text`` of the lists of texts."""
+    for batch in batches:
+        for source, content in zip(batch["source"], batch["content"], strict=True):
+            held = []
+            for at, text in enumerate(_string_items(content)):
+                held.append((source, at, text))
+                if len(held) == BATCH_ROWS:
+                    yield pd.DataFrame(held, columns=["source", "at", "text"])
+                    held = []
+            if held:
+                yield pd.DataFrame(held, columns=["source", "at", "text"])
+
+
+def _string_items(content: bytes) -> Iterator[str]:
+    for _, node in ElementTree.iterparse(io.BytesIO(content)):
+        if node.tag == _MAIN + "si":
+            yield "".join(t.text or "" for t in node.iter(_MAIN + "t"))
+            node.clear()
+
+
+def _sheets(workbook: bytes, relations: bytes) -> list[tuple[str, str]]:
+    targets = {n.get("Id"): n.get("Target", "") for n in ElementTree.fromstring(relations)}
+    names = ElementTree.fromstring(workbook).iter(_MAIN + "sheet")
     path = lambda t: t.lstrip("/") if t.startswith("/") else "xl/" + t
     return [(n.get("name", ""), path(targets[n.get(_RELATION)])) for n in names]
 
@@ -65,19 +75,10 @@ DAY_ZERO, DAY_ZERO_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
 _LITERAL = re.compile(r'"[^"]*"|\\.|_.|\*.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', re.IGNORECASE)
 
 
-@dataclass(frozen=True)
-class _Book:
-    """What cells refer to: texts, which styles show dates, and the first day."""
-
-    shared: list[str]
-    dates: list[bool]
-    zero: datetime
-
-
-def _date_styles(book: zipfile.ZipFile) -> list[bool]:
-    if "xl/styles.xml" not in book.namelist():
+def _date_styles(styles: bytes | None) -> list[bool]:
+    if styles is None:
         return []
-    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    root = ElementTree.fromstring(styles)
     custom = {int(n.get("numFmtId", 0)): n.get("formatCode", "") for n in root.iter(_MAIN + "numFmt")}
     formats = root.find(_MAIN + "cellXfs")
     ids = [int(x.get("numFmtId", 0)) for x in formats] if formats is not None else []
@@ -93,88 +94,150 @@ def _number(value: str, is_date: bool, zero: datetime) -> str:
     return str(float(value)) if re.search("[.eE]", value) else str(int(value))
 
 
-def _text(cell, book: _Book) -> str | None:
+def _text(cell, dates: list[bool], zero: datetime) -> tuple[str | None, int | None]:
+    """The text of a cell, or its place in the list of texts."""
     kind = cell.get("t")
     if kind == "inlineStr":
         value = "".join(t.text or "" for t in cell.iter(_MAIN + "t"))
-        return None if value in MISSING else value
+        return None if value in MISSING else value, None
     value = cell.findtext(_MAIN + "v")
     if value is None or kind == "e":
-        return None
+        return None, None
     if kind == "s":
-        value = book.shared[int(value)]
-    elif kind == "b":
-        return "True" if value == "1" else "False"
-    elif kind in (None, "n"):
+        return None, int(value)
+    if kind == "b":
+        return "True" if value == "1" else "False", None
+    if kind in (None, "n"):
         style = int(cell.get("s", 0))
-        return _number(value, style < len(book.dates) and book.dates[style], book.zero)
-    elif kind == "d":
-        return str(datetime.fromisoformat(value.replace("Z", "")))
-    return None if value in MISSING else value
-
-
-def _rows(book: zipfile.ZipFile, path: str, facts: _Book) -> Iterator[tuple[int, dict[int, str]]]:
-    with book.open(path) as part:
-        at = -1
-        for _, node in ElementTree.iterparse(part):
-            if node.tag != _MAIN + "row":
-                continue
-            at = int(node.get("r", at + 2)) - 1
-            found, column = {}, -1
-            for c in node.iter(_MAIN + "c"):
-                column = _column(c.get("r")) if c.get("r") else column + 1
-                value = _text(c, facts)
-                if value is not None:
-                    found[column] = value
-            node.clear()
-            yield at, found
+        return _number(value, style < len(dates) and dates[style], zero), None
+    if kind == "d":
+        return str(datetime.fromisoformat(value.replace("Z", ""))), None
+    return None if value in MISSING else value, None
+
+
+def _rows(content: bytes, dates: list[bool], zero: datetime) -> Iterator[tuple[int, list, list]]:
+    """Rows of a sheet, gaps between them filled: place, cells ``(column, text)``, cells ``(column, place in the list)``."""
+    at, expected = -1, 0
+    for _, node in ElementTree.iterparse(io.BytesIO(content)):
+        if node.tag != _MAIN + "row":
+            continue
+        at = int(node.get("r", at + 2)) - 1
+        for gap in range(expected, at):
+            yield gap, [], []
+        expected = at + 1
+        texts, shared, column = {}, {}, -1
+        for c in node.iter(_MAIN + "c"):
+            column = _column(c.get("r")) if c.get("r") else column + 1
+            text, place = _text(c, dates, zero)
+            if text is not None:
+                texts[column] = text
+            elif place is not None:
+                shared[column] = place
+        node.clear()
+        yield at, list(texts.items()), list(shared.items())
+
+
+# The parts that tell a workbook's sheets and styles, its list of texts, and the sheets.
+_FACTS = ["xl/workbook.xml", "xl/_rels/workbook.xml.rels", "xl/styles.xml"]
+_STRINGS = "xl/sharedStrings.xml"
+
+
+def _facts(parts: pd.DataFrame) -> pd.DataFrame:
+    source, found = parts["source"].iloc[0], dict(zip(parts["member"], parts["content"], strict=True))
+    names = ["source", "sheets", "dates", "late", "error"]
+    try:
+        for part in _FACTS[:2]:
+            if part not in found:
+                raise KeyError(f"There is no item named '{part}' in the archive")
+        properties = ElementTree.fromstring(found[_FACTS[0]]).find(_MAIN + "workbookPr")
+        late = properties is not None and properties.get("date1904") in ("1", "true")
+        sheets = [{"place": i, "sheet": n, "member": p} for i, (n, p) in enumerate(_sheets(found[_FACTS[0]], found[_FACTS[1]]))]
+        told = (source, sheets, _date_styles(found.get(_FACTS[2])), late, None)
+    except Exception as e:  # noqa: BLE001 - a broken file becomes an error row, the others go on
+        told = (source, [], [], False, f"{type(e).__name__}: {e}")
+    return pd.DataFrame([told], columns=names)
 
 
-def decode_workbook(source: str, content: bytes) -> Iterator[tuple]:
-    """Grid rows of all sheets, padded to the width of the sheet, gaps between rows filled."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        sheets = _sheets(book)
-        properties = ElementTree.fromstring(book.read("xl/workbook.xml")).find(_MAIN + "workbookPr")
-        late = properties is not None and properties.get("date1904") in ("1", "true")
-        facts = _Book(_shared_strings(book), _date_styles(book), DAY_ZERO_1904 if late else DAY_ZERO)
-        for name, path in sheets:
-            # The width is known after a first pass over the same bytes.
-            width = max((max(found) + 1 for _, found in _rows(book, path, facts) if found), default=0)
-            if width == 0:
-                continue
-            expected = 0
-            for at, found in _rows(book, path, facts):
-                for gap in range(expected, at):
-                    yield source, name, gap, [None] * width, len(sheets), None
-                yield source, name, at, [found.get(i) for i in range(width)], len(sheets), None
-                expected = at + 1
-
-
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["source", "sheet", "row_idx", "vals", "n_sheets", "error"]
+_CELL = "array<struct<col: int, text: string>>"
+_PARSED = f"source string, sheet string, place int, n_sheets int, row_idx long, cells {_CELL}, shared array<struct<col: int, at: int>>, error string"
+
+
+def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["source", "sheet", "place", "n_sheets", "row_idx", "cells", "shared", "error"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for r in batch.itertuples(index=False):
             pending = []
             try:
-                for row in decode_workbook(path, content):
-                    pending.append(row)
+                if r.content is None:
+                    raise KeyError(f"There is no item named '{r.member}' in the archive")
+                for at, texts, shared in _rows(r.content, list(r.dates), DAY_ZERO_1904 if r.late else DAY_ZERO):
+                    cells = [{"col": c, "text": t} for c, t in texts]
+                    pending.append((r.source, r.sheet, r.place, r.n_sheets, at, cells, [{"col": c, "at": p} for c, p in shared], None))
                     if len(pending) == BATCH_ROWS:
-                        yield pd.DataFrame(pending, columns=names)
+                        yield pd.DataFrame(pending, columns=columns)
                         pending = []
-            except Exception as e:  # a broken file becomes an error row, the others go on
-                pending.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
+            except Exception as e:  # noqa: BLE001 - a broken sheet becomes an error row, the others go on
+                if pending:
+                    yield pd.DataFrame(pending, columns=columns)
+                pending = [(r.source, None, r.place, None, None, None, None, f"{type(e).__name__}: {e}")]
             if pending:
-                yield pd.DataFrame(pending, columns=names)
+                yield pd.DataFrame(pending, columns=columns, dtype=object)
+
+
+def workbook_parts(pieces: DataFrame) -> DataFrame:
+    """Rows of every sheet of workbooks given in pieces (``sources.pieces``), and error rows (``error`` not NULL)."""
+    wanted = F.col("member").isin(*_FACTS, _STRINGS) | F.col("member").like("xl/%.xml")
+    parts = settle(expand_pieces(pieces, wanted).withColumnRenamed("archive", "source"))
+    readable = parts.filter("error is null")
+    small = readable.filter(F.col("member").isin(_FACTS)).groupBy("source").applyInPandas(
+        _facts, "source string, sheets array<struct<place: int, sheet: string, member: string>>, dates array<boolean>, late boolean, error string"
+    )
+    # An archive without any such part is no workbook.
+    every = pieces.select("source").distinct()
+    told = settle(every.join(small, "source", "left"))
+    listed = told.filter("error is null and sheets is not null").select(
+        "source", "dates", "late", F.size("sheets").alias("n_sheets"), F.explode("sheets").alias("s")
+    ).select("source", "s.*", "dates", "late", "n_sheets")
+    content = readable.select("source", "member", "content")
+    # A sheet is dealt out by its name: each to a task.
+    sheets = listed.join(content, ["source", "member"], "left").repartition("source", "sheet", "place")
+    parsed = settle(sheets.select("source", "sheet", "place", "member", "content", "dates", "late", "n_sheets").mapInPandas(_parse, _PARSED))
+    strings = content.filter(F.col("member") == _STRINGS).mapInPandas(_strings, "source string, at int, text string")
+
+    key = ["source", "place", "row_idx"]
+    asked = parsed.filter("size(shared) > 0").select(*key, F.explode("shared").alias("c")).select(*key, "c.col", "c.at")
+    said = asked.join(strings, ["source", "at"]).filter(~F.col("text").isin(*MISSING))
+    found = said.groupBy(*key).agg(F.collect_list(F.struct("col", "text")).alias("texts"))
+    rows = parsed.filter("error is null").drop("error", "shared").join(found, key, "left")
+    cells = F.array_sort(F.concat("cells", F.coalesce("texts", F.array().cast(_CELL))))
+    grid = settle(with_blocks(rows.select(*key, "sheet", "n_sheets", cells.alias("cells")), "row_idx"))
+    widths = grid.groupBy("source", "place").agg(F.max(F.try_element_at("cells", F.lit(-1))["col"] + 1).alias("width")).filter("width > 0")
+    placed = no_blocks(join_facts(grid, widths, ["source", "place"]))
+    # Each cell with the gap before it, then the gap up to the width.
+    gap = lambda n: F.array_repeat(F.lit(None).cast("string"), n)
+    before = lambda c, i: F.when(i > 0, F.get("cells", i - 1)["col"]).otherwise(-1)
+    filled = F.flatten(F.transform("cells", lambda c, i: F.concat(gap(c["col"] - before(c, i) - 1), F.array(c["text"]))))
+    last = F.coalesce(F.try_element_at("cells", F.lit(-1))["col"], F.lit(-1))
+    vals = F.concat(filled, gap(F.col("width") - last - 1))
+    good = placed.select("source", "sheet", "row_idx", vals.alias("vals"), "n_sheets", F.lit(None).cast("string").alias("error"))
+
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("sheet", "string"), ("row_idx", "long"), ("vals", "array<string>"), ("n_sheets", "int"))]
+    missing = told.filter("sheets is null").select("source", *none, F.lit(f"KeyError: There is no item named '{_FACTS[0]}' in the archive").alias("error"))
+    no_zip = parts.filter("error is not null").select("source", "error")
+    unread = told.filter("error is not null").select("source", "error").unionAll(parsed.filter("error is not null").select("source", "error")).unionAll(no_zip)
+    # What is wrong with the archive tells more than what it therefore lacks.
+    lacking = missing.join(no_zip.select("source").distinct(), "source", "left_anti").select(*good.columns)
+    return good.unionAll(unread.select("source", *none, "error")).unionAll(lacking)
 
 
 def decode_workbooks(files: DataFrame) -> DataFrame:
-    """``files(path, content)`` → rows of every sheet, and error rows (``error`` not NULL)."""
-    return files.select("path", "content").mapInPandas(_decode, SCHEMA)
+    """``files(path, content)`` → rows of every sheet, padded to its width, and error rows (``error`` not NULL)."""
+    return workbook_parts(settle(cell_pieces(files)))
 
 
 def workbook_rows(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".xlsx",)) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return decode_workbooks(with_suffix(files, list(suffixes)))
+    """All workbooks below a folder, read in splits."""
+    return workbook_parts(with_suffix(file_pieces(spark, root, "*{" + ",".join(suffixes) + "}"), list(suffixes), "source"))
 
 
 def sheet_path(rows: DataFrame, always: bool = False) -> DataFrame:

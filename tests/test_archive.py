@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.sources import archive
+from gridloom.sources import archive, workbook
 from gridloom.sources.pieces import cell_pieces, file_pieces
 
 
@@ -95,3 +95,50 @@ def test_pieces_of_cells(spark):
     files = spark.createDataFrame([("a", content)], "path string, content binary")
     parts = sorted((r["at"], bytes(r["bytes"])) for r in cell_pieces(files, 100).collect())
     assert b"".join(p for _, p in parts) == content and [a for a, _ in parts] == list(range(0, len(content), 100))
+
+
+NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def book(sheets, shared, broken=()):
+    """A workbook of sheets ``{row: {column: text or place in the list of texts}}``."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as target:
+        for i, rows in enumerate(sheets):
+            lines = []
+            for at, cells in rows.items():
+                said = [
+                    f'<c r="{chr(65 + c)}{at + 1}" t="s"><v>{v}</v></c>' if isinstance(v, int) else f'<c r="{chr(65 + c)}{at + 1}" t="str"><v>{v}</v></c>'
+                    for c, v in cells.items()
+                ]
+                lines.append(f'<row r="{at + 1}">{"".join(said)}</row>')
+            end = "" if i in broken else "</sheetData></worksheet>"
+            target.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{NS}"><sheetData>{"".join(lines)}{end}')
+        names = "".join(f'<sheet name="S{i}" sheetId="{i + 1}" r:id="r{i}"/>' for i in range(len(sheets)))
+        target.writestr("xl/workbook.xml", f'<workbook xmlns="{NS}" xmlns:r="{REL}"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(len(sheets)))
+        target.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{links}</Relationships>")
+        target.writestr("xl/sharedStrings.xml", f'<sst xmlns="{NS}">{"".join(f"<si><t>{t}</t></si>" for t in shared)}</sst>')
+    return out.getvalue()
+
+
+def test_sheets_of_a_workbook_meet_their_texts(spark):
+    r, shared = random.Random(7), [f"text {i}" for i in range(40)] + ["NA", ""]
+    sheets = []
+    for _ in range(12):
+        rows = {at: {c: r.choice([r.randrange(42), "own", "NaN"]) for c in r.sample(range(7), r.randrange(0, 5))} for at in sorted(r.sample(range(30), 9))}
+        sheets.append(rows)
+    said = lambda v: None if v is None or (t := shared[v] if isinstance(v, int) else v) in ("", "NA", "NaN") else t
+    want = []
+    for i, rows in enumerate(sheets):
+        width = max((c + 1 for cells in rows.values() for c, v in cells.items() if said(v) is not None), default=0)
+        if width:
+            want += [("b", f"S{i}", at, [said(rows.get(at, {}).get(c)) for c in range(width)], 12) for at in range(max(rows) + 1)]
+    data = [("b", book(sheets, shared)), ("c", book(sheets[:2], shared, broken=[1])), ("d", packed(1, 3)), ("e", b"no zip")]
+    found = workbook.decode_workbooks(spark.createDataFrame(data, "path string, content binary").repartition(3)).collect()
+    got = [(x["source"], x["sheet"], x["row_idx"], x["vals"], x["n_sheets"]) for x in found if x["error"] is None]
+    assert sorted(g for g in got if g[0] == "b") == sorted(want)
+    assert {g[:2] for g in got if g[0] != "b"} == {("c", "S0"), ("c", "S1")}
+    errors = {x["source"]: x["error"].split(":")[0] for x in found if x["error"]}
+    assert errors == {"c": "ParseError", "d": "KeyError", "e": "BadZipFile"} and sum(bool(x["error"]) for x in found) == 3
