@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.ordered import dense_position, last_seen, over_blocks, with_blocks
+from gridloom.functions.ordered import dense_position, join_facts, last_seen, over_blocks, with_blocks
 from gridloom.operators import grid, naming, splits, structure
 from gridloom.operators.grid import COLUMN, ROW, SHEET, cell, n_nulls
 from gridloom.session import settle
@@ -75,24 +75,36 @@ class SheetTables:
         return self.rows.filter(this).select("row_idx", *picked, *extra)
 
     def write(self, path: str) -> None:
-        """One folder per schema, partitioned by table; one job per schema, not per table."""
-        schemas = self.schemas().withColumn("schema_id", F.md5(F.to_json("columns")))
-        # A folder per schema, so that each job reads its own rows only.
-        annotated = settle(
-            self.rows.join(schemas.select(*SHEET, "schema_id"), SHEET).join(self.notes, SHEET, "left").repartition("schema_id", *SHEET),
-            ("schema_id",),
-        )
-        kinds = schemas.groupBy("schema_id").agg(F.first("columns").alias("columns"))
-        for kind in kinds.toLocalIterator():
-            picked = [cell(F.col("vals"), c["col_idx"]).alias(c["name"]) for c in kind["columns"]]
-            (
-                annotated.filter(F.col("schema_id") == kind["schema_id"])
-                .select(*SHEET, *picked, F.col("header").alias("Header"), F.col("footer").alias("Footer"))
-                .repartition(*SHEET)
-                .write.mode("overwrite")
-                .partitionBy(*SHEET)
-                .parquet(f"{path}/schema={kind['schema_id']}")
-            )
+        """All tables, in one write whatever the number of schemas.
+
+        ``path`` has a folder per schema, source and sheet, with cells in columns ``c0``, ``c1``, … up to the widest table;
+        ``path/_schemas`` has the names of these columns per schema, ``path/_tables`` the schema and notes per table.
+        ``stored_table`` gives a table its names back.
+        """
+        schemas = settle(self.schemas().withColumn("schema", F.md5(F.to_json("columns"))))
+        width = schemas.agg(F.max(F.size("columns"))).first()[0] or 0
+        at = F.transform("columns", lambda c: c["col_idx"])
+        picked = [F.try_element_at("vals", F.try_element_at("__at", F.lit(i + 1)) + 1).alias(f"c{i}") for i in range(width)]
+        blocked = with_blocks(self.rows, "row_idx")
+        annotated = join_facts(blocked, schemas.select(*SHEET, "schema", at.alias("__at")), SHEET)
+        annotated.select("schema", *ROW, *picked).write.mode("overwrite").partitionBy("schema", *SHEET).parquet(path)
+        names = schemas.groupBy("schema").agg(F.first(F.transform("columns", lambda c: c["name"])).alias("names"))
+        names.write.mode("overwrite").parquet(f"{path}/_schemas")
+        schemas.select(*SHEET, "schema").join(self.notes, SHEET, "left").write.mode("overwrite").parquet(f"{path}/_tables")
+
+
+def stored_table(spark: SparkSession, path: str, source: str, sheet: str) -> DataFrame:
+    """One table that ``SheetTables.write`` stored, with its own columns and notes; only its files are read."""
+    this = (F.col("source") == source) & (F.col("sheet") == sheet)
+    found = spark.read.parquet(f"{path}/_tables").filter(this).join(spark.read.parquet(f"{path}/_schemas"), "schema").first()
+    if found is None:
+        raise KeyError((source, sheet))
+    named = [F.col(f"c{i}").alias(name) for i, name in enumerate(found["names"])]
+    notes = [F.lit(found[k]).alias(k.title()) for k in ("header", "footer") if found[k]]
+    # Folder names are texts, whatever they look like.
+    columns = ["row_idx long", *[f"c{i} string" for i in range(len(found["names"]))], "schema string", *[f"{c} string" for c in SHEET]]
+    rows = spark.read.schema(", ".join(columns)).parquet(path)
+    return rows.filter(this & (F.col("schema") == found["schema"])).select("row_idx", *named, *notes)
 
 
 def _first_facts(rows: DataFrame, plain: Callable[[Column], Column]) -> DataFrame:

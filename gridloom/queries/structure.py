@@ -66,6 +66,14 @@ def header_depth_soi(spark, sf_dir):
 
 # Rows without the prefix: here two words side by side make a heading too.
 _GOV_WORDS = f"(c0 IS NULL OR nulls >= 1 OR coalesce(regexp_matches(c0, {_ALPHA}) AND regexp_matches(c1, {_ALPHA}), false))"
+
+
+@query("header_depth_gov_words", _depth(_GOV_WORDS))
+def header_depth_gov_words(spark, sf_dir):
+    """Cells without the leading space of the family, so that rows of words count."""
+    return st.header_depth(doc_grid(spark, sf_dir), st.header_row_gov())
+
+
 _HEAD = (
     _run(_GOV_WORDS)
     + """, heads AS (SELECT *, row_idx = min(row_idx) OVER w AS is_first, row_idx = max(row_idx) OVER w AS is_last

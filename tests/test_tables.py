@@ -118,6 +118,23 @@ def test_write_groups_tables_by_schema(rows, spark, tmp_path):
     assert len(list(tmp_path.glob("schema=*"))) == 2
     found = [spark.read.parquet(str(p)) for p in tmp_path.glob("schema=*")]
     assert sorted(df.count() for df in found) == [1, 3]
+    assert [tuple(r) for r in w.stored_table(spark, str(tmp_path), "f", "s2").select("a", "b").collect()] == [("2", "x")]
+
+
+def test_one_write_for_all_schemas(rows, spark, tmp_path):
+    """Twelve schemas take as many jobs as one; every table reads as it was."""
+    jobs = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    taken = []
+    for name, kinds in (("one", 1), ("many", 12)):
+        sheets = {f"{i:03}": [[f"k{i % kinds}", f"v{i % kinds}", *[f"w{j}" for j in range(i % kinds)]], [f"{i}", "x", *["y"] * (i % kinds)]] for i in range(24)}
+        tables = w.sheet_tables(rows(sheets), w.USPTO)
+        before = jobs()
+        tables.write(str(tmp_path / name))
+        taken.append(jobs() - before)
+        for sheet in ("001", "023"):
+            stored = w.stored_table(spark, str(tmp_path / name), "f", sheet)
+            assert (stored.columns, stored.collect()) == (tables.table("f", sheet).columns, tables.table("f", sheet).collect())
+    assert taken[1] <= taken[0] + 2
 
 
 def test_five_hundred_tables_make_a_shallow_plan(spark):
