@@ -99,10 +99,17 @@ def carry_through(
         if found:
             yield pd.DataFrame(found, columns=[*group, "__state"])
 
-    def chained(sheet: pd.DataFrame) -> pd.DataFrame:
-        sheet = sheet.sort_values(_BLOCK)
-        starts = rule.chain([json.loads(s) for s in sheet["__state"]])
-        return sheet[group].assign(__state=[json.dumps(s) for s in starts])
+    def chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Sheets one after the other in a task: most are small, and a group of its own for each would cost more than the rule.
+        held: list[tuple] = []
+        for key, sheet in _blocks(batches, keys):
+            starts = rule.chain([json.loads(s) for s in sheet["__state"]])
+            held += [(*key, block, json.dumps(s)) for block, s in zip(sheet[_BLOCK].tolist(), starts, strict=True)]
+            if len(held) >= 10_000:
+                yield pd.DataFrame(held, columns=[*group, "__state"])
+                held = []
+        if held:
+            yield pd.DataFrame(held, columns=[*group, "__state"])
 
     def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -122,7 +129,8 @@ def carry_through(
             yield pd.concat(held)
 
     ends = narrow.repartition(*group).sortWithinPartitions(*group, order).mapInPandas(summaries, f"{named(group)}, __state string")
-    starts = ends.groupBy(*keys).applyInPandas(chained, f"{named(group)}, __state string")
+    in_order = ends.repartition(*keys).sortWithinPartitions(*group)
+    starts = in_order.mapInPandas(chained, f"{named(group)}, __state string")
     # Facts are never NULL where they are numbers, so that a row of the start gives its own values for them.
     filler = [F.lit(None).cast(types[n]) if types[n] == "string" else F.lit(0).cast(types[n]) for n in facts]
     none = F.lit(None).cast("string").alias("__state")
