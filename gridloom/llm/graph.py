@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 from gridloom.session import settle
 
 
+#: Places in which a node meets its facts.
+SALTS = 16
+
+
+def beside(rows: DataFrame, facts: DataFrame, key: str, by: str) -> DataFrame:
+    """The facts of a key beside its rows, which ``by`` deals to ``SALTS`` places, so that no task holds a whole key."""
+    salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"]).drop("_salt")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link the larger neighbours of each node to its smallest neighbour or itself."""
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return beside(both, least, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link the smaller neighbours of each node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = beside(down, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
 
 

@@ -2,10 +2,10 @@
 
 Fingerprints of 64 bits are eight positional bytes. Two that differ in ``distance`` <= 4 bits share at least
 8 - distance bytes in place: the guaranteed minimum. A plain list per (position, byte) holds a 256th of all rows, so
-the inverted index is kept over groups of three positions: 20 groups, chosen so that any four shared positions contain
-one of them. Candidates come from one list each, the first group they share; their shared positional bytes are
-tallied, pairs below the minimum go, and the rest are verified bit by bit. Equal fingerprints are one entry, so exact
-copies never form pairs.
+the inverted index is kept over all groups of that many positions: 70 groups of four, lists of 32 bits. A pair that
+shares n bytes meets in as many lists as n has groups, so it has reached the minimum if it meets in any list, and the
+number of lists tells its tally: what the count filter drops never forms a pair. Each pair is taken once, from the
+first group it shares, and verified bit by bit. Equal fingerprints are one entry, so exact copies never form pairs.
 """
 
 from __future__ import annotations
@@ -15,43 +15,36 @@ from functools import reduce
 from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import text_of
-from gridloom.llm.graph import components
+from gridloom.llm.graph import beside, components
 from gridloom.session import settle, ship_package
 
 BYTES = 8
 
 
 def position_groups(shared: int) -> list[tuple[int, ...]]:
-    """Position groups such that any ``shared`` positions contain one of them.
-
-    For four shared positions, triples by Turán's rule: positions in three classes; a triple lies in one class, or
-    has two positions in a class and one in the next. For more, any four of the first positions or all of them.
-    """
+    """All groups of ``shared`` positions: two fingerprints share that many bytes if and only if they agree in a group."""
     if shared < 4:
         raise ValueError("distances above 4 bits share too few bytes")
-    kind = [p % 3 for p in range(BYTES)]
-    triples = []
-    for t in combinations(range(BYTES), 3):
-        k = sorted(kind[p] for p in t)
-        if any(sorted(x) == k for c in range(3) for x in ((c, c, c), (c, c, (c + 1) % 3))):
-            triples.append(t)
-    return triples
+    return list(combinations(range(BYTES), shared))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, text: str = "text") -> DataFrame:
-    """All columns but the text plus ``fingerprint`` (signed 64 bits); null texts are empty, with fingerprint 0."""
+    """All columns but the text plus ``fingerprint`` (signed 64 bits), which replaces a column of that name.
+
+    Null texts are empty, with fingerprint 0.
+    """
     ship_package(docs.sparkSession)
-    kept = [c for c in docs.columns if c != text]
-    frame = docs.select(*kept, text_of(text).alias("_text"))
-    schema = frame.drop("_text").schema.add("fingerprint", "long")
+    kept = [c for c in docs.columns if c not in (text, "fingerprint")]
+    frame = docs.select(*kept, text_of(text).alias("_gl_text"))
+    schema = frame.drop("_gl_text").schema.add("fingerprint", "long")
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
+            texts = batch.column(batch.schema.get_field_index("_gl_text"))
             found = pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, found], names=[*batch.schema.names[:-1], "fingerprint"])
@@ -81,10 +74,6 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def _same(xor: Column, position: int) -> Column:
-    return F.shiftright(xor, 8 * position).bitwiseAND(F.lit(255)) == 0
-
-
 def links(prints: DataFrame, distance: int = 4, column: str = "fingerprint") -> DataFrame:
     """Pairs ``a < b`` of different fingerprints that differ in at most ``distance`` bits, each once."""
     groups = position_groups(BYTES - distance)
@@ -98,13 +87,11 @@ def links(prints: DataFrame, distance: int = 4, column: str = "fingerprint") ->
     index = distinct.select("print", F.explode(entries).alias("e")).select("print", "e.list", "e.bytes")
     a, b = index.alias("a"), index.alias("b")
     xor = F.col("a.print").bitwiseXOR(F.col("b.print"))
-    tally = reduce(lambda x, y: x + y, [_same(xor, p).cast("int") for p in range(BYTES)])
     first = reduce(lambda f, i: F.when(xor.bitwiseAND(F.lit(mask(groups[i]))) == 0, i).otherwise(f), reversed(range(len(groups))), F.lit(len(groups)))
     near = (
         (F.col("a.list") == F.col("b.list"))
         & (F.col("a.bytes") == F.col("b.bytes"))
         & (F.col("a.print") < F.col("b.print"))
-        & (tally >= BYTES - distance)
         & (F.bit_count(xor) <= distance)
         & (first == F.col("a.list"))
     )
@@ -114,17 +101,24 @@ def links(prints: DataFrame, distance: int = 4, column: str = "fingerprint") ->
 def near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns but the text, plus ``fingerprint``, ``component`` (its smallest fingerprint) and ``component_id``.
 
-    The latter is the smallest ``key`` reachable over links. Texts without a word have fingerprint 0 and are linked like any other. Rows with equal ids each keep a row; a
+    The latter is the smallest ``key`` reachable over links. Columns of these names are replaced. Texts without a word have fingerprint 0 and are linked like any other. Rows with equal ids each keep a row; a
     component of rows without an id has a null ``component_id``. An empty table gives none.
     """
-    prints = settle(fingerprints(docs, shingle, text))
+    replaced = [c for c in ("component", "component_id") if c not in (key, text)]
+    prints = settle(fingerprints(docs.drop(*replaced), shingle, text))
     found = settle(links(prints, distance))
     least = prints.groupBy("fingerprint").agg(F.min(key).alias("_least"))
     roots = components(found).withColumnsRenamed({"node": "fingerprint", "root": "component"})
-    joined = least.join(roots, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
-    smallest = joined.groupBy("component").agg(F.min("_least").alias("component_id"))
-    ids = settle(joined.join(smallest, "component").select("fingerprint", "component", "component_id"))
-    return prints.join(ids, "fingerprint").select(*prints.columns, "component", "component_id")
+    linked = settle(least.join(roots, "fingerprint"))
+    smallest = linked.groupBy("component").agg(F.min("_least").alias("component_id"))
+    named = beside(linked, smallest, "component", "fingerprint").select("fingerprint", "component", "component_id")
+    alone = F.col("component").isNull()
+    ids = least.join(named, "fingerprint", "left").select(
+        "fingerprint",
+        F.coalesce("component", "fingerprint").alias("component"),
+        F.when(alone, F.col("_least")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+    return prints.join(settle(ids), "fingerprint").select(*prints.columns, "component", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:

@@ -11,7 +11,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontam, encode, lm, outliers, packing, pii, quality, queries, sharding, simhash, tokens
+from gridloom.llm import decontam, encode, graph, lm, outliers, packing, pii, quality, queries, sharding, simhash, tokens
 
 VOCABULARY = queries.vocabulary("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, score string, fold int, spans string"
@@ -156,9 +156,10 @@ def brute_print(text, shingle=4):
 
 def test_position_groups_cover():
     groups = simhash.position_groups(4)
-    assert len(groups) == 20
-    for shared in combinations(range(8), 4):
-        assert any(set(g) <= set(shared) for g in groups)
+    assert len(groups) == 70
+    for n in range(4, 9):
+        for shared in combinations(range(8), n):
+            assert sum(set(g) <= set(shared) for g in groups) == math.comb(n, 4)
 
 
 def test_near_copies(spark, docs, prose):
@@ -197,6 +198,21 @@ def test_links_of_random_fingerprints(spark):
     assert Counter(tuple(x) for x in found.collect()) == Counter((a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 4)
 
 
+def test_near_copies_among_columns_of_their_names(spark, docs):
+    odd = docs.select("doc_id", "text", F.lit("f").alias("fingerprint"), F.lit(1).alias("component"), F.lit("c").alias("component_id"), F.lit("t").alias("_text"))
+    found = simhash.near_copies(odd)
+    assert found.columns == ["doc_id", "_text", "fingerprint", "component", "component_id"]
+    plain = simhash.near_copies(docs.select("doc_id", "text"))
+    assert Counter(map(tuple, found.drop("_text").collect())) == Counter(map(tuple, plain.collect()))
+    assert len(simhash.keep_one(odd).collect()) == len(simhash.keep_one(docs).collect())
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    hub = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(500, 560)] + [(700, 700)]
+    found = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(hub, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(400)}, **{i: 500 for i in range(500, 561)}}
+
+
 def test_keep_one(docs):
     kept = rows_of(simhash.keep_one(docs))
     found = rows_of(simhash.near_copies(docs.select("doc_id", "text")))
