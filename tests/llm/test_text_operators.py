@@ -121,8 +121,8 @@ def test_local_search_reaches_the_fewest_bins():
     r, best, first = random.Random(5), 0, 0
     for _ in range(60):
         counts = Counter(r.randint(1, 30) for _ in range(9))
-        fit = packing.best_fit(counts, 30)
-        bins = packing.local_search(fit, 30)
+        fit = packing.best_fit(packing.decreasing(counts), 30)
+        bins, _ = packing.packed(counts, 30)
         held = Counter()
         for pattern, n in bins.items():
             assert packing._fill(pattern) <= 30
@@ -139,8 +139,53 @@ def test_exchanges_empty_a_bin():
     """Best fit leaves three bins where two are enough."""
     counts = Counter({6: 2, 5: 1, 4: 1, 3: 3})  # 30 tokens, capacity 15
     start = Counter({((6, 2),): 1, ((5, 1), (4, 1), (3, 1)): 1, ((3, 2),): 1})
-    assert sum(packing.local_search(start, 15).values()) == 2
-    assert sum(packing.local_search(packing.best_fit(counts, 15), 15).values()) == 2
+    bins, steps = packing.local_search(start, 15)
+    assert sum(bins.values()) == 2 and steps
+    assert sum(packing.packed(counts, 15)[0].values()) == 2
+
+
+def test_exchanges_on_many_lengths():
+    """Exchanges keep the pieces and end at the fewest bins the tokens allow, or where no pair of bins has one left.
+
+    The second case ends above the bound, so the second start decides.
+    """
+    r = random.Random(7)
+    for spread in (1, 40):
+        counts = Counter(min(512, 1 + int(r.expovariate(1 / 90))) for _ in range(1500 * spread))
+        start = packing.best_fit(packing.scattered_tail(counts), 512)
+        bins, steps = packing.local_search(start, 512)
+        least = math.ceil(sum(x * n for x, n in counts.items()) / 512)
+        held = Counter()
+        for pattern, n in bins.items():
+            assert packing._fill(pattern) <= 512
+            for length, k in pattern:
+                held[length] += k * n
+        assert held == counts
+        assert steps and least <= sum(bins.values()) < sum(start.values())
+        under = packing._Underfull()
+        for pattern in bins:
+            if packing._fill(pattern) < 512:
+                under.enter(pattern, packing._fill(pattern), 512)
+        assert sum(bins.values()) == least or not any(under.exchange(i, bins[p] < 2) for p, i in under.number.items())
+        assert sum(packing.packed(counts, 512)[0].values()) == least
+
+
+@pytest.mark.parametrize("pattern, giver, exchanged", [
+    (((6, 1),), ((3, 1), (1, 1)), True),  # a move
+    (((6, 1), (3, 1)), ((4, 1),), True),  # one for one
+    (((7, 1), (2, 1)), ((2, 1), (1, 1)), True),  # a move, or two for one
+    (((5, 2),), ((4, 1),), False),  # full bins are left alone
+])
+def test_kinds_of_exchange(pattern, giver, exchanged):
+    under = packing._Underfull()
+    for p in (pattern, giver):
+        if packing._fill(p) < 10:
+            under.enter(p, packing._fill(p), 10)
+    found = under.exchange(under.number[giver], True)
+    assert (found is not None) == exchanged
+    if found:
+        taker, offer, back = found
+        assert packing._fill(taker) < packing._fill(taker) + sum(offer) - sum(back) <= 10 and len(offer) + len(back) <= 3
 
 
 # -- near copies ---------------------------------------------------------------------------------------------------
