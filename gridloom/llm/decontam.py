@@ -3,8 +3,8 @@
 Documents are read as half-blocks of 16 words; two neighbours make a passage of 32, so passages overlap by half.
 Passages and benchmark items are TF-IDF vectors over the words of the benchmark, with frequencies over all documents;
 a word the benchmark does not know counts towards a passage's norm only. A randomised SVD of the benchmark's passages
-and a bounded sample of the documents' passages gives the latent space: tasks multiply their rows with a random
-matrix, Spark sums the products, and the driver orthogonalises a matrix of words by rank. Passages of documents are
+and those of all documents (side by side) gives the latent space: one pass counts the passages that hold each two words
+of the benchmark, tasks multiply blocks of that matrix, and the driver orthogonalises a matrix of words by rank. Passages of documents are
 then compared with items in that space (the benchmark in blocks of bounded size, broadcast), where the text near them
 has as many of the item's words as the last step asks for. Pairs of enough cosine, in that space or of the words
 themselves, are candidates; a longest common subsequence with the item, along the diagonal where they meet, decides,
@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +32,12 @@ from gridloom.session import settle, ship_package
 HALF = 16
 #: Bounds of a block of the benchmark: items and characters. A larger benchmark takes several blocks.
 BLOCK_ITEMS, BLOCK_CHARS = 4_096, 4_000_000
-#: Documents whose passages help to fit the latent space; rank of that space, extra random columns, power rounds.
-FIT_ROWS, RANK, EXTRA, POWER = 2_000, 256, 32, 2
+#: Rank of the latent space, extra random columns, power rounds.
+RANK, EXTRA, POWER = 256, 32, 2
+#: Words of documents whose pairs are listed at once (whole passages); pairs a task holds, and those of a block of words at most.
+STRETCH, CELLS = 1 << 16, 1 << 22
+#: Tasks whose counts are added up first.
+TASKS = 32
 #: Share of an item's words it is not looked up by, at most; less than ``COMMON``.
 SKIPPED = 0.4
 #: Passages a task compares at once.
@@ -175,25 +179,131 @@ def _half_blocks(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, in
     return keys // size, keys % size, n
 
 
-def word_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """Documents that hold each word, and the number of documents."""
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sum of its counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _pairs(ids: np.ndarray, size: int) -> np.ndarray:
+    """Pairs of known words of each passage (two half-blocks), a word with itself included: ``first * size + second``, first <= second."""
+    kind = np.int32 if size * size < 1 << 31 else np.int64
+    at = np.flatnonzero(ids)
+    keys = np.sort(at // (2 * HALF) * np.int64(size) + ids[at])
+    keys = keys[np.flatnonzero(np.diff(keys, prepend=-1))]
+    passage = keys // size
+    word, place = (keys - passage * size).astype(kind), np.arange(len(keys), dtype=np.int32)
+    ends = np.flatnonzero(np.diff(passage, append=-1)) + 1
+    times = np.repeat(ends, np.diff(ends, prepend=0)) - place  # a word meets itself and those after it in its passage
+    pairs, starts = np.repeat(word * kind(size), times), np.cumsum(times) - times
+    pairs += word[np.arange(len(pairs), dtype=np.int32) - np.repeat((starts - place).astype(np.int32), times)]
+    return pairs
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray, size: int, height: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Counts of pairs by block of ``height`` first words; keys in order."""
+    blocks, first = np.unique(keys // size // height, return_index=True)
+    for block, begin, end in zip(blocks.tolist(), first, [*first, len(keys)][1:], strict=True):
+        yield block, keys[begin:end].tobytes(), counts[begin:end].tobytes()
+
+
+def _listed(found: Iterable[tuple[int, bytes, bytes]], part: int = 0) -> pd.DataFrame:
+    return pd.DataFrame([(block, part, keys, counts) for block, keys, counts in found], columns=["block", "part", "keys", "counts"])
+
+
+def _height(size: int) -> int:
+    """Words of a block of the pairs' matrix, whose rows are at most ``CELLS`` together."""
+    return max(1, min(16, CELLS // size))
+
+
+_COUNTS = "block int, part int, keys binary, counts binary"
+
+
+def word_pairs(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int, DataFrame]:
+    """Documents that hold each word, the number of documents, and the passages of all documents that hold each two words.
+
+    The passages' counts are a written symmetric matrix, ``block, keys, counts`` per block of rows (``_height``). Tasks count pairs
+    in order (``_pairs``), Spark adds them up by block, first those of ``TASKS`` tasks, and each sum is then written on both sides of
+    the diagonal.
+    """
     spark, size = docs.sparkSession, len(vocabulary) + 1
+    height = _height(size)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen, rows = shared.value, Counter(), 0
+        known, seen, rows = shared.value, np.zeros(size, np.int64), 0
+        task = TaskContext.get().partitionId() // TASKS
+        held: list[np.ndarray] = []  # ids of passages not counted yet, padded with unknown words to whole passages
+        words_held, raw, raw_held = 0, [], 0
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def merge() -> None:
+            nonlocal keys, counts, raw, raw_held
+            own, n = np.unique(np.concatenate(raw), return_counts=True)
+            keys, counts = _merged(np.concatenate([keys, own]), np.concatenate([counts, n]))
+            raw, raw_held = [], 0
+
+        def pair() -> None:
+            nonlocal held, words_held, raw_held
+            every = np.concatenate(held)
+            for i in range(0, len(every), STRETCH):
+                raw.append(_pairs(every[i : i + STRETCH], size))
+                raw_held += len(raw[-1])
+                if raw_held >= CELLS:
+                    merge()
+            held, words_held = [], 0
+
         for batch in batches:
             for t in batch["t"]:
-                seen.update(known.keys() & set(words(t)))
+                ids = _ids(t, known)
+                seen[np.unique(ids)] += 1
+                held += [ids, np.zeros(-len(ids) % (2 * HALF), np.int32)]
+                words_held += len(ids)
+                if words_held >= STRETCH:
+                    pair()
+                if len(keys) >= CELLS:
+                    yield _listed(_packed(keys, counts, size, height), task)
+                    keys, counts = keys[:0], counts[:0]
             rows += len(batch)
         if rows:
-            yield pd.DataFrame({"word": [0, *map(known.__getitem__, seen)], "n": [rows, *seen.values()]})
-
-    counted = docs.select(text_of().alias("t")).mapInPandas(count, "word long, n long")
+            if held:
+                pair()
+            if raw:
+                merge()
+            seen[0] = rows
+            own = np.flatnonzero(seen)
+            yield _listed([(-1, own.tobytes(), seen[own].tobytes()), *_packed(keys, counts, size, height)], task)
+
+    def total(parts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for k, n in zip(parts["keys"], parts["counts"], strict=True):
+            held.append((np.frombuffer(k, np.int64), np.frombuffer(n, np.int64)))
+            if sum(len(x) for x, _ in held) >= 2 * CELLS:
+                held = [_merged(*map(np.concatenate, zip(*held, strict=True)))]
+        return _merged(*map(np.concatenate, zip(*held, strict=True)))
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = total(parts)
+        return _listed([(int(parts["block"].iloc[0]), keys.tobytes(), counts.tobytes())])
+
+    def mirror(parts: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = total(parts)
+        if parts["block"].iloc[0] < 0:
+            return _listed([(-1, keys.tobytes(), counts.tobytes())])
+        off = keys // size != keys % size
+        other = keys[off] % size * size + keys[off] // size
+        order = np.argsort(other)
+        return _listed([*_packed(keys, counts, size, height), *_packed(other[order], counts[off][order], size, height)])
+
+    counted = docs.select(text_of().alias("t")).mapInPandas(count, _COUNTS)
+    summed = counted.groupBy("block", "part").applyInPandas(add, _COUNTS)
+    halves = settle(summed.groupBy("block").applyInPandas(mirror, _COUNTS))
     found = np.zeros(size, np.int64)
-    for r in counted.groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator():
-        found[r["word"]] = r["n"]
-    return found, int(found[0])
+    for r in halves.where("block < 0").collect():
+        found[np.frombuffer(r["keys"], np.int64)] = np.frombuffer(r["counts"], np.int64)
+    return found, int(found[0]), settle(halves.where("block >= 0").groupBy("block").applyInPandas(add, _COUNTS).drop("part"))
 
 
 def _weights(found: np.ndarray, total: int, items: list[Item]) -> np.ndarray:
@@ -203,59 +313,44 @@ def _weights(found: np.ndarray, total: int, items: list[Item]) -> np.ndarray:
     return weight.astype(np.float32)
 
 
-def latent_space(docs: DataFrame, block: Block, rank: int = RANK) -> np.ndarray:
-    """Words by rank: leading right singular vectors of the passages' matrix, by randomised subspace iteration."""
-    spark, size = docs.sparkSession, len(block.weight)
-    rank = min(rank, size - 1, max(1, len(block.passages)))
-    rows = docs.count()
-    sample = docs.select(text_of().alias("t")).sample(fraction=min(1.0, FIT_ROWS / max(rows, 1)), seed=42)
-    shared = spark.sparkContext.broadcast((block.vocabulary, block.weight))
-
-    def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, _ = shared.value
-        for batch in batches:
-            out = []
-            for t in batch["t"]:
-                half, word, n = _half_blocks(_ids(t, vocabulary), size)
-                for h in range(0, n, 2):
-                    a, b = np.searchsorted(half, (h, h + 2))
-                    if b > a:
-                        out.append(np.unique(word[a:b]))
-            if out:
-                yield pd.DataFrame({"words": pd.Series(out, dtype=object)})
+def latent_space(pairs: DataFrame, block: Block, rank: int = RANK) -> np.ndarray:
+    """Words by rank: leading right singular vectors of the passages' matrix, by randomised subspace iteration.
 
-    matrix = settle(sample.mapInPandas(sparse, "words array<int>")).coalesce(8)
+    ``pairs`` has the passages of all documents, as ``word_pairs`` writes them.
+    """
+    spark, size = pairs.sparkSession, len(block.weight)
+    rank = min(rank, size - 1, max(1, len(block.passages)))
+    weight = block.weight.astype(np.float64)
+    shared = spark.sparkContext.broadcast(weight)
 
     def times(product: np.ndarray) -> np.ndarray:
-        """(AᵀA) times a matrix, A being the benchmark's passages and the sample's, both of the same total weight."""
+        """(AᵀA) times a matrix, A being the benchmark's passages and the documents', both of the same total weight."""
         given = spark.sparkContext.broadcast(product.astype(np.float32))
 
         def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            weight, right = shared.value[1], given.value
-            out, energy = np.zeros((size, right.shape[1]), np.float32), 0.0
+            weight, right = shared.value, given.value
             for batch in batches:
-                for w in batch["words"]:
-                    v = weight[w]
-                    energy += float(v @ v)
-                    out[w] += np.outer(v, v @ right[w])
-            yield pd.DataFrame({"part": [0], "energy": [energy], "product": [out.tobytes()]})
-
-        def add(parts: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(size * given.value.shape[1], np.float32)
-            for p in parts["product"]:
-                total += np.frombuffer(p, np.float32)
-            return pd.DataFrame({"energy": [parts["energy"].sum()], "product": [total.tobytes()]})
-
-        summed = matrix.mapInPandas(multiply, "part int, energy double, product binary").groupBy("part").applyInPandas(add, "energy double, product binary").collect()
+                for k, n in zip(batch["keys"], batch["counts"], strict=True):
+                    keys = np.frombuffer(k, np.int64)
+                    rows, row = np.unique(keys // size, return_inverse=True)
+                    columns, column = np.unique(keys % size, return_inverse=True)
+                    part = np.zeros((len(rows), len(columns)), np.float32)
+                    part[row, column] = np.frombuffer(n, np.int64) * weight[rows][row] * weight[columns][column]
+                    energy = float(part[row, column][rows[row] == columns[column]].sum(dtype=np.float64))
+                    yield pd.DataFrame({"rows": [rows.tobytes()], "energy": [energy], "product": [(part @ right[columns]).tobytes()]})
+
         own, energy = np.zeros((size, product.shape[1]), np.float64), 0.0
         for w in block.passages:
             v = block.weight[w]
             energy += float(v @ v)
             own[w] += np.outer(v, v @ product[w])
+        every, theirs = np.zeros_like(own), 0.0
+        for r in pairs.select("keys", "counts").mapInPandas(multiply, "rows binary, energy double, product binary").collect():
+            rows = np.frombuffer(r["rows"], np.int64)
+            every[rows] = np.frombuffer(r["product"], np.float32).reshape(len(rows), -1)
+            theirs += r["energy"]
         given.unpersist()
-        if not summed or not summed[0]["energy"]:
-            return own
-        return own + np.frombuffer(summed[0]["product"], np.float32).reshape(own.shape) * (energy / summed[0]["energy"])
+        return own + every * (energy / theirs) if theirs else own
 
     random = np.random.default_rng(42).standard_normal((size, min(size, rank + EXTRA)))
     basis = np.linalg.qr(times(random))[0]
@@ -412,9 +507,9 @@ def search(text: str, block: Block) -> list[tuple[int, float, float, float]]:
 
 def prepare(docs: DataFrame, block: Block) -> Block:
     """The block with word weights over all documents, the latent space and the items' places in it."""
-    found, total = word_counts(docs, block.vocabulary)
+    found, total, pairs = word_pairs(docs, block.vocabulary)
     block.weight = _weights(found, total, block.items)
-    block.basis = latent_space(docs, block)
+    block.basis = latent_space(pairs, block)
     weighted = block.weight[:, None] * block.basis
     rows = np.stack([weighted[w].sum(axis=0) for w in block.passages])
     block.latent = (rows / np.linalg.norm(rows, axis=1).clip(1e-9)[:, None]).astype(np.float32)

@@ -52,3 +52,38 @@ def test_items_whose_words_all_repeat():
         item = decontam.Item(0, ids, np.arange(len(ids)))
         assert decontam.verify(text, 32, item) == (1.0, 1.0)
         assert decontam.verify(np.zeros(90, np.int32), 32, item) == (0.0, 0.0)
+
+
+def test_latent_space_of_all_passages(spark, sources, monkeypatch):
+    """Words, pairs and the space are those of every document's passages, counted one by one; tasks that hold few pairs at a time."""
+    monkeypatch.setattr(decontam, "CELLS", 2_000)
+    r = random.Random(23)
+    texts = [" ".join(r.choice(sources).split()[:n]) for n in (r.randint(0, 70) for _ in range(4_000))] + [None, "", " ".join(sources[:400])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    items = spark.createDataFrame([(i, " ".join(s.split()[:30])) for i, s in enumerate(sources[:8])], "item_id long, text string")
+    block = next(decontam.read_blocks(items))
+    size = len(block.vocabulary) + 1
+    pairs, seen, own = np.zeros((size, size)), np.zeros(size), np.zeros((size, size))
+    for t in texts:
+        ids = decontam._ids(t or "", block.vocabulary)
+        seen[np.unique(ids[ids > 0])] += 1
+        for at in range(0, len(ids), 2 * decontam.HALF):
+            w = np.unique(ids[at : at + 2 * decontam.HALF])
+            pairs[np.ix_(w[w > 0], w[w > 0])] += 1
+    found, total, written = decontam.word_pairs(docs, block.vocabulary)
+    assert total == len(texts) and found[1:].tolist() == seen[1:].tolist()
+    got = np.zeros((size, size))
+    for x in written.collect():
+        keys = np.frombuffer(x["keys"], np.int64)
+        assert not got[keys // size, keys % size].any()
+        got[keys // size, keys % size] = np.frombuffer(x["counts"], np.int64)
+    assert (got == pairs).all()
+
+    block = decontam.prepare(docs, block)
+    for w in block.passages:
+        own[np.ix_(w, w)] += 1
+    squares = np.outer(block.weight, block.weight).astype(np.float64)
+    whole = squares * (own + pairs * ((squares * own).trace() / (squares * pairs).trace()))
+    values = np.linalg.eigvalsh(whole)[::-1]
+    rank = block.basis.shape[1]
+    assert np.trace(block.basis.T @ whole @ block.basis) >= 0.995 * values[:rank].sum()
