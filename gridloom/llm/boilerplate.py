@@ -1,15 +1,18 @@
 """Main text of web pages: suffix arrays over the pages of a host find what repeats, marks of the page say what is declared.
 
-A page that declares its article (``article``, ``main`` or their roles) keeps all of it, but for parts that are named as
-menus, adverts, forms, comments and the like; text that copies or quotes share stays. A page that declares nothing is
-decided by its host: the token streams of the host's pages (words and tags, without declared articles) are put in a row, and
-substrings of at least ``RUN`` tokens that stand on several distinct pages, and on a tenth of the host's, are its frame.
-Blocks that the frame covers go, the unique runs between stay.
+Every page is decided by its host: the token streams of the host's pages are put in a row, and substrings of at least ``RUN``
+tokens that stand on several distinct pages, and on a share of the host's, are its frame. Blocks that the frame covers go, the
+unique runs between stay. What the page declares says how much the host must show: a page that declares nothing loses what
+stands on a tenth of the pages (streams of words and tags, without declared articles). A declared article (``article``, ``main`` or
+their roles) loses parts that are named as menus, adverts, forms, comments and the like, and blocks that stand in at least
+``ARTICLES`` of the host's articles and in half of them (streams of their words); an article of which the frame covers half is a
+copy of others and stays whole, as do passages that fewer pages share.
 
 A host may hold a third of all pages, so its stream is cut into chunks of bounded length, page by page, inside the tasks that read them. A task
 builds the suffix array of each chunk, with the longest common prefixes of neighbours: suffixes that share ``RUN`` tokens stand together, which gives every window of that
 length with its number of pages. Windows are then added up over all chunks, by host and hash: a token is covered by a
-repeated substring of at least ``RUN`` tokens exactly if such a window covers it, so chunks lose nothing.
+repeated substring of at least ``RUN`` tokens exactly if such a window covers it, so chunks lose nothing. A window in half of a host's
+articles is in half of those of some chunk: only such windows leave a chunk, and are then counted in every article of the host.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ RUN, SHARE = 10, 0.1
 CHUNK, HELD = 1 << 17, 1 << 20
 #: Share of a block's tokens that a frame covers, and of its characters inside links, from which on it goes.
 COVERED, LINKED = 0.8, 0.6
+#: Articles of a host that a run stands in, and their share, for it to be frame; the share of an article's tokens that make it a copy.
+ARTICLES, ARTICLE_SHARE, COPIED = 3, 0.5, 0.5
 
 # Elements and names of parts as HTML and common practice have them.
 RAW = "script style title textarea xmp iframe noembed noframes"
@@ -95,13 +100,13 @@ class Page:
     blocks: list[Block]
     tokens: list[str]  # the stream: tags and words; articles leave an empty token
 
-    def declared(self) -> str | None:
-        """The text of the declared article, None if there is none."""
+    def declared(self) -> list[Block]:
+        """The blocks of the declared article, none if there is none."""
         for place in ("article", "main"):
-            own = [b.text for b in self.blocks if b.place == place]
+            own = [b for b in self.blocks if b.place == place]
             if own:
-                return "\n".join(own)
-        return None
+                return own
+        return []
 
 
 def _place(tag: str, more: str, outer: str) -> str:
@@ -225,13 +230,13 @@ def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
     rounds = [rank]
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while rank.max() < n - 1:
         step = 1 << (len(rounds) - 1)
         second = np.zeros(n, np.int64)
         second[: max(0, n - step)] = rank[step:] + 1
         key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = np.zeros(n, np.int64)
         ranked[1:] = np.cumsum(np.diff(key[order]) != 0)
         rank = np.empty(n, np.int64)
@@ -295,70 +300,86 @@ def covered(tokens: int, places: np.ndarray, run: int = RUN) -> np.ndarray:
 
 _BLOCK = "struct<text: string, first: int, last: int, linked: double>"
 _READ = (
-    "row long, host string, page_id {page_id}, url string, text string, "
-    f"blocks array<{_BLOCK}>, n_tokens int, keys array<long>, window_keys array<long>, window_pages array<int>, pages long"
+    "row long, host string, page_id {page_id}, url string, declared boolean, "
+    f"blocks array<{_BLOCK}>, n_tokens int, keys array<long>, window_keys array<long>, window_pages array<int>, pages long, "
+    "run_keys array<long>, articles long"
 )
 
 
+class Hashes:
+    """Token hashes; 0 is the empty token, where nothing may pass."""
+
+    def __init__(self) -> None:
+        self.names: dict[str, int] = {"": 0}
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        names = self.names
+        if len(names) > 1 << 18:
+            names.clear()
+            names[""] = 0
+        for t in tokens:
+            if t not in names:
+                names[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) or 1
+        return np.fromiter(map(names.__getitem__, tokens), np.uint64, len(tokens))
+
+
 def read_pages(pages: DataFrame) -> DataFrame:
-    """A written table with a row per page (``row`` is set) and a row per chunk of a host's stream (``pages`` is set)."""
+    """A written table with a row per page (``row`` is set) and a row per chunk of a host's streams (``pages`` or, of articles, ``articles`` is set)."""
     ship_package(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
-    columns = ["row", "host", "page_id", "url", "text", "blocks", "n_tokens", "keys", "window_keys", "window_pages", "pages"]
+    columns = ["row", "host", "page_id", "url", "declared", "blocks", "n_tokens", "keys", "window_keys", "window_pages", "pages", "run_keys", "articles"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        streams: dict[str, list[np.ndarray]] = {}
-        lengths: dict[str, int] = {}
+        streams: dict[tuple[str, bool], list[np.ndarray]] = {}  # by host, and whether of articles
+        lengths: dict[tuple[str, bool], int] = {}
         number = TaskContext.get().partitionId() << 40
-        names: dict[str, int] = {}
-
-        def hashes(tokens: list[str]) -> np.ndarray:
-            if len(names) > 1 << 18:
-                names.clear()
-            out = np.zeros(len(tokens), np.uint64)
-            for i, t in enumerate(tokens):
-                if t:
-                    known = names.get(t)
-                    if known is None:
-                        known = names[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) or 1
-                    out[i] = known
-            return out
+        hashes = Hashes()
 
         def frame(rows: list[dict]) -> pd.DataFrame:
             # objects, so that whole numbers beside nulls stay whole
             return pd.DataFrame([[r.get(c) for c in columns] for r in rows], columns=columns, dtype=object)
 
-        def close(host: str) -> dict:
-            own = streams.pop(host)
-            lengths.pop(host)
+        def close(of: tuple[str, bool]) -> dict:
+            own = streams.pop(of)
+            lengths.pop(of)
             keys, counts = windows(own)
-            return {"host": host, "window_keys": keys.view(np.int64).tolist(), "window_pages": counts.tolist(), "pages": len(own)}
+            if of[1]:
+                return {"host": of[0], "run_keys": keys[counts >= ARTICLE_SHARE * len(own)].view(np.int64).tolist(), "articles": len(own)}
+            return {"host": of[0], "window_keys": keys.view(np.int64).tolist(), "window_pages": counts.tolist(), "pages": len(own)}
 
         for batch in batches:
             out: list[dict] = []
             for page_id, url, source in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
                 page, host = read_page(source or ""), host_of(url)
-                text, tokens = page.declared(), hashes(page.tokens)
-                done = {"row": number, "host": host, "page_id": page_id, "url": url, "text": text}
+                article, given = page.declared(), [((host, False), hashes.of(page.tokens))]
+                done = {"row": number, "host": host, "page_id": page_id, "url": url, "declared": bool(article)}
                 number += 1
-                if text is None:
+                if article:
+                    told = [b.text.split() for b in article]
+                    ends = np.cumsum([len(t) for t in told]).tolist()
+                    done["blocks"] = [{"text": b.text, "first": e - len(t), "last": e, "linked": 0.0} for b, t, e in zip(article, told, ends, strict=True)]
+                    done["n_tokens"] = ends[-1]
+                    given.append(((host, True), hashes.of([w for t in told for w in t])))
+                else:
                     done["blocks"] = [
                         {"text": b.text, "first": b.first, "last": b.last, "linked": min(1.0, b.linked / max(1, sum(map(len, b.pieces))))}
                         for b in page.blocks
                         if b.place == "open"
                     ]
+                    tokens = given[0][1]
                     done["n_tokens"], done["keys"] = len(tokens), window_keys(tokens, RUN).view(np.int64).tolist()
                 out.append(done)
-                streams.setdefault(host, []).append(tokens)
-                lengths[host] = lengths.get(host, 0) + len(tokens) + 1
-                if lengths[host] >= CHUNK:
-                    out.append(close(host))
+                for of, tokens in given:
+                    streams.setdefault(of, []).append(tokens)
+                    lengths[of] = lengths.get(of, 0) + len(tokens) + 1
+                    if lengths[of] >= CHUNK:
+                        out.append(close(of))
             if sum(lengths.values()) >= HELD:
-                out.extend([close(host) for host in list(streams)])
+                out.extend([close(of) for of in list(streams)])
             if out:
                 yield frame(out)
         if streams:
-            yield frame([close(host) for host in list(streams)])
+            yield frame([close(of) for of in list(streams)])
 
     return settle(pages.select("page_id", "url", "html").mapInPandas(read, _READ.format(page_id=kind)))
 
@@ -379,34 +400,63 @@ def frames(read: DataFrame) -> DataFrame:
     return several.join(spread, ["host", "place"]).where(F.col("n") >= SHARE * F.col("all_pages")).select("host", "key")
 
 
+def article_places(read: DataFrame) -> DataFrame:
+    """``row, at`` of the windows of declared articles that enough articles of their host hold."""
+    chunks = read.where("articles is not null")
+    runs = settle(chunks.select("host", F.explode("run_keys").alias("key")).groupBy("host").agg(F.collect_set("key").alias("runs")))
+    told = read.where("declared").select("row", "host", F.transform("blocks", lambda b: b["text"]).alias("texts"))
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = Hashes()
+        for batch in batches:
+            out = []
+            for row, host, texts, own in zip(batch["row"], batch["host"], batch["texts"], batch["runs"], strict=True):
+                tokens = hashes.of([w for t in texts for w in t.split()])
+                keys = window_keys(tokens, RUN)[: max(0, len(tokens) - RUN + 1)].view(np.int64)
+                at = np.flatnonzero(np.isin(keys, own))
+                if len(at):
+                    out.append((row, host, at.tolist(), keys[at].tolist()))
+            yield pd.DataFrame(out, columns=["row", "host", "places", "keys"])
+
+    met = settle(told.join(runs, "host").mapInPandas(meet, "row long, host string, places array<int>, keys array<long>"))
+    totals = chunks.groupBy("host").agg(F.sum("articles").alias("articles"))
+    counted = met.select("host", F.explode(F.array_distinct("keys")).alias("key")).groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+    frame = counted.join(totals, "host").where((F.col("n") >= ARTICLES) & (F.col("n") >= ARTICLE_SHARE * F.col("articles"))).select("host", "key")
+    pairs = met.select("row", "host", F.explode(F.arrays_zip("places", "keys")).alias("w")).select("row", "host", F.col("w.places").alias("at"), F.col("w.keys").alias("key"))
+    return pairs.join(settle(frame), ["host", "key"]).select("row", "at")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` per page.
 
     Null and empty pages have an empty text, as have pages that hold nothing but frame, menus and the like; a page without an
     address belongs to the host with the empty name. A page that declares no article and whose every block is covered by the
-    frame is a copy of others and keeps its blocks. White space is that of Unicode, no-break spaces included. Pages with equal or null ids
+    frame is a copy of others and keeps its blocks, as does a declared article that the frame covers by half. White space is that of Unicode, no-break spaces included. Pages with equal or null ids
     each have a row; an empty table gives none; other columns are not read.
     """
     read = read_pages(pages)
     told = read.where("row is not null")
-    done = told.where("blocks is null").select("page_id", "url", "text")
-    # A page without a declared article meets the frame of its host.
-    unsaid = told.where("blocks is not null").drop("window_keys", "window_pages", "pages", "text")
-    places = unsaid.select("row", "host", F.posexplode("keys").alias("at", "key"))
-    found = places.join(frames(read), ["host", "key"]).groupBy("row").agg(F.collect_list("at").alias("places"))
-    meeting = unsaid.drop("keys", "host").join(found, "row", "left").select("page_id", "url", "blocks", "n_tokens", "places")
+    # A page meets the frame of its host.
+    places = told.where("not declared").select("row", "host", F.posexplode("keys").alias("at", "key"))
+    every = places.join(frames(read), ["host", "key"]).select("row", "at").unionAll(article_places(read))
+    found = settle(every.groupBy("row").agg(F.collect_list("at").alias("places")))
+    meeting = told.select("row", "page_id", "url", "declared", "blocks", "n_tokens").join(found, "row", "left")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for blocks, n, at in zip(batch["blocks"], batch["n_tokens"], batch["places"], strict=True):
-                hidden = np.concatenate([[0], np.cumsum(covered(int(n), np.array([] if at is None else at, np.int64)))])
+            for declared, blocks, n, at in zip(batch["declared"], batch["blocks"], batch["n_tokens"], batch["places"], strict=True):
+                hidden = np.concatenate([[0], np.cumsum(covered(int(n), np.asarray(at, np.int64)))])
                 own = [b for b in blocks if b["linked"] < LINKED]
                 free = [b["text"] for b in own if hidden[b["last"]] - hidden[b["first"]] < COVERED * (b["last"] - b["first"])]
-                texts.append("\n".join(free or [b["text"] for b in own]))
+                copy = declared and hidden[-1] >= COPIED * n
+                texts.append("\n".join(free if free and not copy else [b["text"] for b in own]))
             if texts:
                 yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
-    left = meeting.mapInPandas(keep, f"page_id {kind}, url string, text string")
-    return done.unionAll(left).withColumn("n_chars", F.length("text").cast("long"))
+    left = meeting.where("places is not null").drop("row").mapInPandas(keep, f"page_id {kind}, url string, text string")
+    # Without any frame on it a page keeps its blocks.
+    text = F.array_join(F.transform(F.filter("blocks", lambda b: b["linked"] < LINKED), lambda b: b["text"]), "\n")
+    free = meeting.where("places is null").select("page_id", "url", text.alias("text"))
+    return free.unionAll(left).withColumn("n_chars", F.length("text").cast("long"))

@@ -94,3 +94,24 @@ def test_frame_of_a_host_without_declared_articles(spark, monkeypatch):
 def test_coverage_of_repeats():
     marks = boilerplate.covered(12, np.array([1, 2, 9]), 3)
     assert marks.astype(int).tolist() == [0, 1, 1, 1, 1, 0, 0, 0, 0, 1, 1, 1]
+
+
+def test_frame_inside_declared_articles(spark, monkeypatch):
+    """A notice that no name tells stands in most articles of a host and goes; a shared passage and near copies stay. Small chunks."""
+    r = random.Random(5)
+    monkeypatch.setattr(boilerplate, "CHUNK", 300)
+    notice, passage, copied = words(r, 25), words(r, 25), [words(r, 30) for _ in range(3)]
+    own, pages = {}, []
+    for i in range(40):
+        own[i] = [words(r, r.randint(12, 40)) for _ in range(3)] + [passage] * (i % 3 == 0)
+        shown = [own[i][0], *([notice] if i % 5 else []), *own[i][1:]]
+        tag = "article" if i % 2 else "main"
+        pages.append((i, f"http://a.example/{i}", f"<body><{tag}>" + "".join(f"<p>{p}</p>" for p in shown) + f"</{tag}>"))
+    for i in range(40, 60):  # near copies are most of another host
+        own[i] = [*copied, words(r, 15)] if i < 55 else [words(r, 60)]
+        pages.append((i, f"http://b.example/{i}", "<article>" + "".join(f"<p>{p}</p>" for p in own[i]) + "</article>"))
+    for i in range(60, 62):  # two articles tell nothing
+        own[i] = [words(r, 60), passage]
+        pages.append((i, "http://c.example/", "<article>" + "".join(f"<p>{p}</p>" for p in own[i]) + "</article>"))
+    found = {i: t for i, t, _ in extract(spark, pages)}
+    assert found == {i: "\n".join(p) for i, p in own.items()}
