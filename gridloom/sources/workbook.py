@@ -11,9 +11,12 @@ import io
 import re
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import cache
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,13 +60,19 @@ def _sheets(workbook: bytes, relations: bytes) -> list[tuple[str, str]]:
     return [(n.get("name", ""), path(targets[n.get(_RELATION)])) for n in names]
 
 
-def _column(reference: str) -> int:
+@cache
+def _column_number(letters: str) -> int:
     number = 0
-    for letter in re.match(r"[A-Z]*", reference).group():
+    for letter in letters:
         number = number * 26 + ord(letter) - 64
     return number - 1
 
 
+def _column(reference: str) -> int:
+    letters = reference.rstrip("0123456789")
+    return _column_number(letters if len(letters) == 1 and "A" <= letters <= "Z" else re.match(r"[A-Z]*", reference).group())
+
+
 # Texts that stand for no value, number formats that show a date or a time, and day zero of both calendars.
 MISSING = {
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
@@ -91,7 +100,7 @@ def _number(value: str, is_date: bool, zero: datetime) -> str:
     if is_date:
         moment = zero + timedelta(seconds=round(float(value) * 86_400))
         return str(moment.time() if 0 <= float(value) < 1 else moment)
-    return str(float(value)) if re.search("[.eE]", value) else str(int(value))
+    return str(float(value)) if "." in value or "e" in value or "E" in value else str(int(value))
 
 
 def _text(cell, dates: list[bool], zero: datetime) -> tuple[str | None, int | None]:
@@ -162,26 +171,50 @@ _CELL = "array<struct<col: int, text: string>>"
 _PARSED = f"source string, sheet string, place int, n_sheets int, row_idx long, cells {_CELL}, shared array<struct<col: int, at: int>>, error string"
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source", "sheet", "place", "n_sheets", "row_idx", "cells", "shared", "error"]
+_CELL_TYPE, _SHARED_TYPE = (pa.list_(pa.struct([("col", pa.int32()), (name, kind)])) for name, kind in (("text", pa.string()), ("at", pa.int32())))
+_PARSED_TYPES = pa.schema(
+    [
+        ("source", pa.string()), ("sheet", pa.string()), ("place", pa.int32()), ("n_sheets", pa.int32()), ("row_idx", pa.int64()),
+        ("cells", _CELL_TYPE), ("shared", _SHARED_TYPE), ("error", pa.string()),
+    ]
+)
+
+
+def _pairs(rows: list[list[tuple]], kind: pa.ListType) -> pa.ListArray:
+    """Lists of pairs, from flat columns."""
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = [pair for row in rows for pair in row]
+    columns = [pa.array([pair[i] for pair in flat], kind.value_type.field(i).type) for i in range(2)]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(kind.value_type)), type=kind)
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(sheet: dict, rows: list[tuple]) -> pa.RecordBatch:
+        facts = [pa.array([sheet[name]] * len(rows), _PARSED_TYPES.field(name).type) for name in ("source", "sheet", "place", "n_sheets")]
+        at, cells, shared = zip(*rows, strict=True)
+        lists = [pa.array(at, pa.int64()), _pairs(cells, _CELL_TYPE), _pairs(shared, _SHARED_TYPE)]
+        return pa.RecordBatch.from_arrays([*facts, *lists, pa.nulls(len(rows), pa.string())], schema=_PARSED_TYPES)
+
     for batch in batches:
-        for r in batch.itertuples(index=False):
+        for i in range(batch.num_rows):
+            sheet = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
             pending = []
             try:
-                if r.content is None:
-                    raise KeyError(f"There is no item named '{r.member}' in the archive")
-                for at, texts, shared in _rows(r.content, list(r.dates), DAY_ZERO_1904 if r.late else DAY_ZERO):
-                    cells = [{"col": c, "text": t} for c, t in texts]
-                    pending.append((r.source, r.sheet, r.place, r.n_sheets, at, cells, [{"col": c, "at": p} for c, p in shared], None))
+                if sheet["content"] is None:
+                    raise KeyError(f"There is no item named '{sheet['member']}' in the archive")
+                for row in _rows(sheet["content"], sheet["dates"], DAY_ZERO_1904 if sheet["late"] else DAY_ZERO):
+                    pending.append(row)
                     if len(pending) == BATCH_ROWS:
-                        yield pd.DataFrame(pending, columns=columns)
-                        pending = []
+                        full, pending = pending, []
+                        yield batch_of(sheet, full)
+                if pending:
+                    full, pending = pending, []
+                    yield batch_of(sheet, full)
             except Exception as e:  # noqa: BLE001 - a broken sheet becomes an error row, the others go on
                 if pending:
-                    yield pd.DataFrame(pending, columns=columns)
-                pending = [(r.source, None, r.place, None, None, None, None, f"{type(e).__name__}: {e}")]
-            if pending:
-                yield pd.DataFrame(pending, columns=columns, dtype=object)
+                    yield batch_of(sheet, pending)
+                told = {"source": sheet["source"], "place": sheet["place"], "error": f"{type(e).__name__}: {e}"}
+                yield pa.RecordBatch.from_pylist([told], schema=_PARSED_TYPES)
 
 
 def workbook_parts(pieces: DataFrame) -> DataFrame:
@@ -201,7 +234,7 @@ def workbook_parts(pieces: DataFrame) -> DataFrame:
     content = readable.select("source", "member", "content")
     # A sheet is dealt out by its name: each to a task.
     sheets = listed.join(content, ["source", "member"], "left").repartition("source", "sheet", "place")
-    parsed = settle(sheets.select("source", "sheet", "place", "member", "content", "dates", "late", "n_sheets").mapInPandas(_parse, _PARSED))
+    parsed = settle(sheets.select("source", "sheet", "place", "member", "content", "dates", "late", "n_sheets").mapInArrow(_parse, _PARSED))
     strings = content.filter(F.col("member") == _STRINGS).mapInPandas(_strings, "source string, at int, text string")
 
     key = ["source", "place", "row_idx"]
