@@ -89,18 +89,26 @@ def _content(held: bytes, method: int, packed: int, crc: int, locked: bool) -> b
 
 
 def directory(pieces: DataFrame) -> DataFrame:
-    """``source, member, begin, end, method, packed, crc, locked, error`` per member; a broken archive has one row with its error."""
+    """``source, member, begin, end, method, packed, crc, locked, error`` per member; a broken archive has one row with its error.
+
+    The pieces at the end of an archive tell where its directory is, and mostly hold it: the others are then read by their place.
+    """
     tails = pieces.filter(F.col("at") + F.octet_length("bytes") > F.col("size") - TAIL)
 
     def places(rows: pd.DataFrame) -> pd.DataFrame:
-        source, size = rows["source"].iloc[0], int(rows["size"].iloc[0])
+        source, size, held = rows["source"].iloc[0], int(rows["size"].iloc[0]), None
         try:
-            found = (*_directory_place(_bytes(rows, max(0, size - TAIL), size), size), None)
+            begin, end, shift = _directory_place(_bytes(rows, max(0, size - TAIL), size), size)
+            if begin >= int(rows["at"].min()):
+                names = [c.split()[0] for c in _MEMBER.split(", ")]
+                held = [dict(zip(names, m, strict=True)) for m in _members(_bytes(rows, begin, end), begin, shift)]
+            found = (begin, end, shift, None)
         except Exception as e:  # noqa: BLE001 - a broken archive becomes an error row, the others go on
             found = (0, 0, 0, f"{type(e).__name__}: {e}")
-        return pd.DataFrame([(source, *found)], columns=["source", "begin", "end", "shift", "error"])
+        return pd.DataFrame([(source, *found, held)], columns=["source", "begin", "end", "shift", "error", "members"])
 
-    ends = settle(tails.groupBy("source").applyInPandas(places, "source string, begin long, end long, shift long, error string"))
+    facts = _MEMBER.replace(" ", ": ").replace(",: ", ", ")
+    ends = settle(tails.groupBy("source").applyInPandas(places, f"source string, begin long, end long, shift long, error string, members array<struct<{facts}>>"))
 
     def members(rows: pd.DataFrame) -> pd.DataFrame:
         source, begin, end, shift = (rows[c].iloc[0] for c in ("source", "begin", "end", "shift"))
@@ -110,10 +118,11 @@ def directory(pieces: DataFrame) -> DataFrame:
             found = [(source, *[None] * 7, f"{type(e).__name__}: {e}")]
         return pd.DataFrame(found, columns=["source", "member", "begin", "end", "method", "packed", "crc", "locked", "error"], dtype=object)
 
-    told = ranges(pieces, ends.filter("error is null").drop("error"), ["shift"])
+    told = ranges(pieces, ends.filter("error is null and members is null").drop("error", "members"), ["shift"])
     listed = told.groupBy("source").applyInPandas(members, f"source string, {_MEMBER}, error string")
     broken = ends.filter("error is not null").select("source", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in _MEMBER.split(", ")], "error")
-    return listed.unionAll(broken)
+    at_hand = ends.filter("error is null").select("source", F.explode("members").alias("m")).select("source", "m.*", F.lit(None).cast("string").alias("error"))
+    return listed.unionAll(at_hand).unionAll(broken)
 
 
 def expand_pieces(pieces: DataFrame, wanted: Column | None = None) -> DataFrame:
