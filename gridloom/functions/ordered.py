@@ -211,6 +211,15 @@ def join_facts(blocked: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Dat
     return blocked.join(blocks.join(facts, list(keys)), [*keys, _BLOCK])
 
 
+def join_by_row(rows: DataFrame, decided: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two tables that both grow with the rows of the sheets.
+
+    Spark takes a written table to be as large as its files. Columns of repeated texts shrink a hundredfold there, so that
+    it would broadcast millions of rows. Here both sides are sorted and merged, in memory that can spill.
+    """
+    return rows.join(decided.hint("merge"), list(keys), how)
+
+
 def over_blocks(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.ordered import join_by_row
 from gridloom.functions.text import caption_key
 
 # Row classes that tell the depth of a label.
@@ -67,7 +68,7 @@ def insert_rowspans(rows: DataFrame, keys: Sequence[str] = ("url",)) -> DataFram
         F.slice(acc, F.lit(1), i), F.array(F.lit("")), F.slice(acc, i + 1, F.greatest(F.size(acc) - i, F.lit(0)))
     )
     filled = F.aggregate(F.coalesce("__inserts", F.array().cast("array<int>")), texts, insert)
-    return placed.join(inserts, [*part, "__at"], "left").select(*part, "row_idx", "slice_idx", filled.alias("vals"))
+    return join_by_row(placed, inserts, [*part, "__at"], "left").select(*part, "row_idx", "slice_idx", filled.alias("vals"))
 
 
 def span_expand(cells: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
@@ -110,7 +111,7 @@ def wide_row_slice(
     facts = body.groupBy(*table).agg(F.min("row_idx").alias("__first")).join(
         header.select(*table, F.size("header").alias("__w")), table
     )
-    wide = body.join(facts, table)
+    wide = join_by_row(body, facts, table)
     width = F.size(cells)
     sliced = (F.col("row_idx") > F.col("__first")) & (width > F.col("__w")) & (F.col("__w") > 0)
     ends = F.when(sliced, F.sequence(F.col("__w"), width - 1, F.col("__w"))).otherwise(F.array(width))

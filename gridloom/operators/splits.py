@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from gridloom.functions.blockwise import Block, Machine, State, carry_through
 from gridloom.functions.ordered import (
+    join_by_row,
     last_seen,
     next_seen,
     no_blocks,
@@ -123,7 +124,7 @@ def split_tables_down(rows: DataFrame) -> DataFrame:
     is small, so a block of rows is a function from state to state; see ``Down`` and ``functions.blockwise``.
     """
     numbered = carry_through(rows, SHEET, "row_idx", {"flags": _flags(F.col("vals"))}, Down())
-    return rows.join(numbered, [*SHEET, "row_idx"])
+    return join_by_row(rows, numbered, [*SHEET, "row_idx"])
 
 
 # ---- sideways -----------------------------------------------------------

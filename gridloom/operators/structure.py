@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from gridloom.functions.blockwise import carry_through
 from gridloom.functions.ordered import (
+    join_by_row,
     no_blocks,
     over_blocks,
     previous,
@@ -226,7 +227,7 @@ def indent_path(rows: DataFrame) -> DataFrame:
     facts = {"level": F.coalesce(indent_level(first), F.lit(0)), "label": strip(first)}
     paths = carry_through(rows, SHEET, "row_idx", facts, Indentation())
     vals = F.when(F.col("__path").isNotNull(), replace_first(F.col("vals"), F.col("__path"))).otherwise(F.col("vals"))
-    return rows.join(paths, ROW, "left").withColumn("vals", vals).select(*rows.columns)
+    return join_by_row(rows, paths, ROW, "left").withColumn("vals", vals).select(*rows.columns)
 
 
 def replace_first(vals: Column, value: Column) -> Column:
@@ -350,7 +351,7 @@ def classify_rows_gov(rows: DataFrame) -> DataFrame:
     early = ~F.col("__body") & (F.col("__bodies") == 0)
     titled = over_blocks(counted, SHEET, "row_idx", {"__titles": whole_sum(F.when(early, n))})
     note = (F.col("__titles") > 1) & (F.col("__bodies") > 1) & (n == 1)
-    return rows.join(titled.select(*ROW, _roles(F.col("__body"), early, note).alias("role")), ROW)
+    return join_by_row(rows, titled.select(*ROW, _roles(F.col("__body"), early, note).alias("role")), ROW)
 
 
 def classify_rows_uspto(rows: DataFrame) -> DataFrame:
@@ -459,7 +460,7 @@ def collapse_lone_rows(classified: DataFrame) -> DataFrame:
             ).alias("__text"),
         )
     )
-    out = classified.join(joined.drop("island"), ROW, "left")
+    out = join_by_row(classified, joined.drop("island"), ROW, "left")
     keep = ~lone | F.col("__text").isNotNull()
     return (
         out.filter(keep)
@@ -487,7 +488,7 @@ def carry_label_uspto(rows: DataFrame) -> DataFrame:
     labels = carry_through(rows, SHEET, "row_idx", facts, RunningLabel())
     prefixed = F.concat(F.col("__label"), F.lit(" "), F.coalesce(cell(vals, 0), F.lit("")))
     out = F.when(F.col("__label").isNotNull(), replace_first(vals, prefixed)).otherwise(vals)
-    return rows.filter(F.col("role") == "body").join(labels, ROW, "left").select(*ROW, out.alias("vals"))
+    return join_by_row(rows.filter(F.col("role") == "body"), labels, ROW, "left").select(*ROW, out.alias("vals"))
 
 
 def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
@@ -503,7 +504,7 @@ def keep_label_uspto_special(rows: DataFrame) -> DataFrame:
     decided = carry_through(rows, SHEET, "row_idx", facts, KeptLabels(USPTO_JOINED_LABEL))
     text = F.coalesce("__text", cell(vals, 0))
     shown = F.when(F.col("__above"), F.concat_ws(" ", F.lit(USPTO_JOINED_LABEL), text)).otherwise(text)
-    out = rows.join(decided, ROW).withColumn("__shown", shown).filter("__shown is not null")
+    out = join_by_row(rows, decided, ROW).withColumn("__shown", shown).filter("__shown is not null")
     return out.select(*ROW, replace_first(vals, F.col("__shown")).alias("vals"))
 
 
@@ -520,7 +521,7 @@ def carry_label_soi(rows: DataFrame) -> DataFrame:
     decided = carry_through(rows, SHEET, "row_idx", facts, LoneRuns())
     only = F.transform(vals, lambda v, i: F.when(i == 0, F.col("__text")))
     text = F.when(F.col("__text").isNotNull(), only).otherwise(vals)
-    return rows.join(decided, ROW).select(*ROW, text.alias("vals"), "prefix")
+    return join_by_row(rows, decided, ROW).select(*ROW, text.alias("vals"), "prefix")
 
 
 def apply_prefix(rows: DataFrame) -> DataFrame:

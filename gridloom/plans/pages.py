@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.functions.ordered import join_by_row
 from gridloom.operators import combine, html_tables, naming, structure
 from gridloom.operators.grid import COLUMN, ROW, SHEET, normalise_rows
 from gridloom.plans.workbook import SheetTables
@@ -62,7 +63,7 @@ def page_unions(found: SheetTables, outputs: DataFrame) -> DataFrame:
 
     ``place``, ``table_id`` and ``row_idx`` keep the order; ``sinks.route_write`` writes one folder per output.
     """
-    return found.rows.join(outputs, SHEET).select("folder", "output_group", "table_name", "place", "table_id", "row_idx", "source", "vals")
+    return join_by_row(found.rows, outputs, SHEET).select("folder", "output_group", "table_name", "place", "table_id", "row_idx", "source", "vals")
 
 
 def simple_tables(pages: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:

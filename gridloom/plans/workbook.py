@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.ordered import dense_position, join_facts, last_seen, over_blocks, with_blocks
+from gridloom.functions.ordered import dense_position, join_by_row, join_facts, last_seen, over_blocks, with_blocks
 from gridloom.operators import grid, naming, splits, structure
 from gridloom.operators.grid import COLUMN, ROW, SHEET, cell, n_nulls
 from gridloom.session import settle
@@ -268,7 +268,7 @@ def soi_tables(rows: DataFrame) -> SheetTables:
     names, data = structure.split_header(again, F.col("depth"), strip_pieces=True)
     carried = structure.carry_label_soi(data.select(*ROW, "vals"))
     prefixes = settle(carried)
-    paths = structure.indent_path(prefixes.select(*ROW, "vals")).join(prefixes.select(*ROW, "prefix"), ROW)
+    paths = join_by_row(structure.indent_path(prefixes.select(*ROW, "vals")), prefixes.select(*ROW, "prefix"), ROW)
     notes = _soi_notes(structure.notes_concat(classified), placed)
     every_name = naming.clean_names(names, "excel").select(*COLUMN, "name").unionByName(
         plain_names.select(*COLUMN, "name")

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from gridloom.operators import grid, structure as st
+from gridloom.operators import grid, html_tables, splits, structure as st
+from gridloom.plans import pages
+from gridloom.plans.workbook import SheetTables
 from gridloom.queries.registry import load
 
 SF = "/root/testdata/sf0.001"
@@ -52,3 +54,26 @@ def test_summaries_read_narrow_columns(spark):
     text = plan(st.classify_rows_html(rows))
     partial = [line for line in text.splitlines() if "partial_min" in line]
     assert partial and all("vals" not in line for line in partial)
+
+
+def test_results_by_row_are_merged_with_the_rows(spark):
+    """What a rule says of every row is as long as the table: however small its files are, it is not broadcast."""
+    rows = spark.createDataFrame([("f", "s", i, ["a", "1"], "body", i) for i in range(4)], "source string, sheet string, row_idx long, vals array<string>, role string, island long")
+    spans = spark.createDataFrame(
+        [("u", 1, "tbody", i, 0, [("a", 2)]) for i in range(4)], "url string, table_idx int, part string, row_idx int, slice_idx int, cells array<struct<text string, rowspan int>>"
+    )
+    outputs = rows.select("source", "sheet", *[F.lit(c).alias(c) for c in ("folder", "output_group", "table_name", "place", "table_id")])
+    header = spans.select("url", "table_idx", F.array(F.lit("a")).alias("header")).distinct()
+    for df in (
+        st.indent_path(rows.select("source", "sheet", "row_idx", "vals")),
+        st.carry_label_uspto(rows),
+        st.keep_label_uspto_special(rows),
+        st.carry_label_soi(rows),
+        st.collapse_lone_rows(rows),
+        splits.split_tables_down(rows),
+        html_tables.insert_rowspans(spans),
+        pages.page_unions(SheetTables(rows, rows, rows), outputs),
+    ):
+        assert "SortMergeJoin" in plan(df) and "BroadcastHashJoin" not in plan(df)
+    sliced = plan(html_tables.wide_row_slice(spans, header, cells="cells"))
+    assert "SortMergeJoin" in sliced
