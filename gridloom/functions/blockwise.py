@@ -9,6 +9,9 @@ per block of a sheet:
 2. ``chain``: over the summaries of one sheet, the state at the start of each block;
 3. ``run``: the block's results, from its start.
 
+Most sheets are one block, whose start needs no summaries (``alone``): it is run at once. Only blocks of longer sheets are
+summarised and chained.
+
 The facts a rule reads are written once, as small columns; the rows themselves are only read to work out the facts.
 """
 
@@ -41,6 +44,8 @@ class Rule(Protocol):
 
     def chain(self, summaries: list[State]) -> list[State]: ...
 
+    def alone(self, block: Block) -> State: ...
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]: ...
 
 
@@ -81,6 +86,16 @@ def _columns(parts: list[pd.DataFrame]) -> Block:
     return {name: whole[name].to_numpy() for name in whole.columns}
 
 
+def _stacked(held: list[tuple[tuple, np.ndarray, dict[str, Any]]], keys: Sequence[str], order: str) -> pd.DataFrame:
+    """Results of many blocks as one frame: frames of a few rows each would cost more than the rule."""
+    sizes = [len(places) for _, places, _ in held]
+    columns: dict[str, Any] = {name: np.repeat(np.array([key[i] for key, _, _ in held], object), sizes) for i, name in enumerate(keys)}
+    columns[order] = np.concatenate([places for _, places, _ in held]).astype(np.int64)
+    for name in held[0][2]:
+        columns[name] = np.concatenate([np.asarray(out[name]) for _, _, out in held])
+    return pd.DataFrame(columns)
+
+
 def carry_through(
     rows: DataFrame, keys: Sequence[str], order: str, facts: Mapping[str, Column], rule: Rule, rows_per_block: int | None = None
 ) -> DataFrame:
@@ -112,23 +127,30 @@ def carry_through(
             yield pd.DataFrame(held, columns=[*group, "__state"])
 
     def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held: list[tuple[tuple, np.ndarray, dict[str, Any]]] = []
         size = 0
         for key, block in _blocks(batches, group):
-            # The start stands in a row of its own, before all others.
-            start = json.loads(block["__state"][0])
-            at, out = rule.run({name: c[1:] for name, c in block.items()}, start)
+            # The start stands in a row of its own, before all others; the only block of a sheet has none.
+            if block["__state"][0] is None:
+                start = rule.alone(block)
+            else:
+                start = json.loads(block["__state"][0])
+                block = {name: c[1:] for name, c in block.items()}
+            at, out = rule.run(block, start)
             if not len(at):
                 continue
-            held.append(pd.DataFrame({**dict(zip(keys, key, strict=False)), order: block[order][1:][at].astype(np.int64), **out}))
+            held.append((key, block[order][at], out))
             size += len(at)
             if size >= 10_000:
-                yield pd.concat(held)
+                yield _stacked(held, keys, order)
                 held, size = [], 0
         if held:
-            yield pd.concat(held)
+            yield _stacked(held, keys, order)
 
-    ends = narrow.repartition(*group).sortWithinPartitions(*group, order).mapInPandas(summaries, f"{named(group)}, __state string")
+    spans = narrow.groupBy(*keys).agg(F.min(_BLOCK).alias("__low"), F.max(_BLOCK).alias("__high"))
+    several = settle(spans.filter("__low < __high").select(*keys))
+    in_several = narrow.join(several, list(keys), "left_semi").select(*narrow.columns)
+    ends = in_several.repartition(*group).sortWithinPartitions(*group, order).mapInPandas(summaries, f"{named(group)}, __state string")
     in_order = ends.repartition(*keys).sortWithinPartitions(*group)
     starts = in_order.mapInPandas(chained, f"{named(group)}, __state string")
     # Facts are never NULL where they are numbers, so that a row of the start gives its own values for them.

@@ -13,6 +13,9 @@ CSV_NAME_CHARACTERS = " .()"
 LAYOUT_NAME_CHARACTERS = " ,;{}()\n\t="
 MAX_NAME_LENGTH = 255
 
+# Code points that names are cleaned of without a pattern, ASCII to Cyrillic and general punctuation.
+COMMON_CHARACTERS = [*range(0x530), *range(0x2000, 0x2070)]
+
 # Fixed value: white space in the Unicode sense, control separators included.
 WHITE_SPACE = (
     "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -63,18 +66,30 @@ def indent_level(c: Column) -> Column:
 # ---- column names -------------------------------------------------------
 
 
+def _underscored(c: Column, kept: str = "") -> Column:
+    """Every character but ASCII letters, digits and those in ``kept`` as ``_``.
+
+    A pattern takes some ten times as long as ``translate``; it is left for texts with still other characters, which then
+    have more bytes than characters.
+    """
+    others = "".join(chr(i) for i in COMMON_CHARACTERS if not (i < 128 and chr(i).isalnum()) and chr(i) not in kept)
+    plain = F.translate(c, others, "_" * len(others))
+    rare = F.octet_length(plain) > F.length(plain)
+    return F.when(rare, F.regexp_replace(plain, f"[^a-zA-Z0-9_{kept}]", "_")).otherwise(plain)
+
+
 def clean_name_excel(c: Column, position: Column) -> Column:
-    name = F.regexp_replace(F.replace(strip(c), F.lit(".0"), F.lit("")), "[^a-zA-Z0-9]", "_")
+    name = _underscored(F.replace(strip(c), F.lit(".0"), F.lit("")))
     return F.coalesce(name, F.concat(F.lit("col_"), position.cast("string")))
 
 
 def clean_name_html(c: Column, position: Column) -> Column:
-    name = F.regexp_replace(F.replace(strip(c), F.lit(".0"), F.lit("")), "[^a-zA-Z0-9]", "_")
+    name = _underscored(F.replace(strip(c), F.lit(".0"), F.lit("")))
     return F.coalesce(F.regexp_replace(name, "^_+|_+$", ""), F.concat(F.lit("col_"), position.cast("string")))
 
 
 def clean_name_dl(c: Column, position: Column) -> Column:
-    name = F.regexp_replace(F.replace(strip(c), F.lit(".0"), F.lit("")), "[^a-zA-Z0-9%#]", "_")
+    name = _underscored(F.replace(strip(c), F.lit(".0"), F.lit("")), "%#")
     return F.when(F.length(strip(c)) > 1, name).otherwise(F.concat(F.lit("col_"), position.cast("string")))
 
 

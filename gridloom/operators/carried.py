@@ -58,6 +58,9 @@ class RunningLabel:
             one = s["one"]
         return starts
 
+    def alone(self, block: Block) -> State:
+        return {"text": "", "one": False}
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]:
         blank, label, restart = self._steps(block, start["one"])
         first, labels = block["first"], np.flatnonzero(label)
@@ -165,6 +168,9 @@ class KeptLabels:
             one = s["one"]
         return starts
 
+    def alone(self, block: Block) -> State:
+        return {"one": False, "above": False, "text": "", "begin": "", "mover": False}
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]:
         first, lone = block["first"], block["n"] == 1
         blank, label, joins, restart = self._steps(block, start["one"], start["above"])
@@ -249,6 +255,9 @@ class LoneRuns:
                 run, length = None, 0
         return starts
 
+    def alone(self, block: Block) -> State:
+        return {"at": 0, "of": len(block["lone"]), "run": None, "length": 0, "prefix": None, "below": False}
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]:
         lone, value = block["lone"], block["first"]
         at = start["at"] + 1 + np.arange(len(lone))
@@ -316,6 +325,9 @@ class Indentation:
             stack = stack + [[level, f"{above} {path}" if above and path else above or path] for level, path in s["stack"]]
         return starts
 
+    def alone(self, block: Block) -> State:
+        return {"stack": []}
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]:
         paths = self._walk(block, [list(e) for e in start["stack"]])
         at = np.flatnonzero([label is not None for label in block["label"]])

@@ -35,9 +35,9 @@ def dedupe_names(names: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """
     keys = SHEET if keys is None else keys
     ordered = F.sort_array(F.collect_list(F.struct("col_idx", "name")))
-    tables = names.groupBy(*keys).agg(ordered.alias("__names"))
-    folded = F.transform("__names", lambda n: F.lower(n["name"]))
-    repeated = F.size(F.array_distinct(F.filter(folded, lambda n: n.isNotNull()))) < F.size(F.filter(folded, lambda n: n.isNotNull()))
+    # Lists leave NULL names out.
+    tables = names.groupBy(*keys).agg(ordered.alias("__names"), F.collect_list(F.lower("name")).alias("__folded"))
+    repeated = F.size(F.array_distinct("__folded")) < F.size("__folded")
 
     def step(done: Column, n: Column) -> Column:
         taken, seen, fold = done["taken"], done["seen"], F.lower(n["name"])

@@ -110,6 +110,9 @@ class Down:
             state = int(machine.following[last, state])
         return starts
 
+    def alone(self, block: Block) -> State:
+        return {"state": 0, "tables": 0, "below": 0}
+
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict]:
         flags = block["flags"].astype(np.int64)
         tables = start["tables"] + np.cumsum(_machine().marks(self._codes(flags, start["below"]), start["state"])) - 1

@@ -175,9 +175,7 @@ def header_ffill(header_cells: DataFrame) -> DataFrame:
 
 def header_flatten(filled: DataFrame, strip_pieces: bool = False) -> DataFrame:
     """Names per column: the header rows joined top-down by one space."""
-    pieces = F.transform(
-        F.array_sort(F.collect_list(F.struct("row_idx", "value"))), lambda c: c["value"]
-    )
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("row_idx", "value"))), lambda c: c["value"])
     grouped = filled.groupBy(*COLUMN).agg(pieces.alias("pieces"))
     if strip_pieces:
         join = lambda acc, v: F.concat(
@@ -204,13 +202,10 @@ def split_header(rows: DataFrame, depth: Column, strip_pieces: bool = False) ->
     )
     cells = head.select(*ROW, "is_first", "is_last", F.posexplode("vals").alias("col_idx", "value"))
     names = header_flatten(header_ffill(cells), strip_pieces)
-    # One row has nothing to join: an empty name stays NULL and is named by position.
+    # One row has nothing to join: an empty name stays NULL and is named by position, all others are as they are.
     single = head.filter(F.col("__consumed") == 1).select(*SHEET, F.posexplode("vals").alias("col_idx", "one"))
-    names = (
-        names.join(single.withColumn("__single", F.lit(True)), COLUMN, "left")
-        .withColumn("raw", F.when(F.col("__single"), F.col("one")).otherwise(F.col("raw")))
-        .select(*COLUMN, "raw")
-    )
+    empty = single.filter("one is null").select(*COLUMN, F.lit(True).alias("__empty"))
+    names = names.join(empty, COLUMN, "left").select(*COLUMN, F.when(F.col("__empty").isNull(), F.col("raw")).alias("raw"))
     body = marked.filter(F.col("position") >= F.col("__consumed")).drop("__consumed")
     return names, body
 

@@ -108,8 +108,10 @@ def stored_table(spark: SparkSession, path: str, source: str, sheet: str) -> Dat
 
 
 def _first_facts(rows: DataFrame, plain: Callable[[Column], Column]) -> DataFrame:
-    first = rows.groupBy(*SHEET).agg(F.min_by("vals", "row_idx").alias("vals"))
-    return first.select(*SHEET, F.coalesce(plain(F.col("vals")), F.lit(False)).alias("is_plain"))
+    # The test of each row goes into the aggregate, not its cells: a hash aggregate instead of one that sorts whole rows.
+    tested = rows.select(*ROW, F.coalesce(plain(F.col("vals")), F.lit(False)).alias("__plain"))
+    first = tested.groupBy(*SHEET).agg(F.min_by("__plain", "row_idx").alias("is_plain"))
+    return first.select(*SHEET, F.coalesce("is_plain", F.lit(False)).alias("is_plain"))
 
 
 def sheet_tables(rows: DataFrame, profile: Profile) -> SheetTables:
@@ -151,7 +153,8 @@ def _finish(profile, names, rows, notes, plain_names, plain_rows) -> SheetTables
     if profile.drop_labels:
         rows = structure.drop_label_rows(rows, need_first=profile.need_first)
     every_name = names.select(*COLUMN, "name").unionByName(plain_names.select(*COLUMN, "name"))
-    unique = settle(naming.dedupe_names(every_name))
+    # Written first, as unique names are joined back to them: else cells, headings and names are worked out twice.
+    unique = settle(naming.dedupe_names(settle(every_name)))
     if profile.heading_column:
         # Group headings are rows whose description ends in a colon.
         at = unique.filter(F.col("name") == profile.heading_column).groupBy(*SHEET).agg(F.min("col_idx").alias("__at"))
