@@ -173,7 +173,9 @@ def latest(marks: np.ndarray) -> np.ndarray:
 
 def before(values: np.ndarray, first: Any) -> np.ndarray:
     """The value of the row above; ``first`` for the first row."""
-    return np.concatenate([np.array([first], values.dtype), values[:-1]])
+    above = np.empty_like(values)
+    above[:1], above[1:] = first, values[:-1]
+    return above
 
 
 class Machine:

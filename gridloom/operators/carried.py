@@ -173,6 +173,10 @@ class KeptLabels:
 
     def run(self, block: Block, start: State) -> tuple[np.ndarray, dict[str, Any]]:
         first, lone = block["first"], block["n"] == 1
+        kept = np.flatnonzero(block["role"] != 0)
+        if not ((block["role"] == LABEL) | (lone & (block["role"] != 0))).any():
+            # Nothing to join, move or drop.
+            return kept, {"__above": before(np.zeros(len(kept), bool), start["mover"]), "__text": np.full(len(kept), None, object)}
         blank, label, joins, restart = self._steps(block, start["one"], start["above"])
         begun, joined = latest(restart), np.flatnonzero(joins)
         pieces = [f" {first[i].strip(' ')}" for i in joined]
@@ -186,7 +190,6 @@ class KeptLabels:
                 base = start["text"] if cut < 0 else first[cut]
                 texts[at] = base + "".join(pieces[int(np.searchsorted(joined, cut + 1)) : k + 1])
         shown = np.where(joins, texts, first)
-        kept = np.flatnonzero(block["role"] != 0)
         moves = lone[kept] & (shown[kept] == self.moved)
         above = before(moves, start["mover"])
         stays = np.ones(len(kept), bool)
