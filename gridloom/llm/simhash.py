@@ -95,7 +95,8 @@ def links(prints: DataFrame, distance: int = 4, column: str = "fingerprint") ->
         & (F.bit_count(xor) <= distance)
         & (first == F.col("a.list"))
     )
-    return a.join(b, near).select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
+    # Spark takes an exploded table to be as small as what it was made of, and would broadcast all entries of a million prints.
+    return a.join(b.hint("merge"), near).select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
 
 
 def near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -118,7 +119,8 @@ def near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, text: str
         F.coalesce("component", "fingerprint").alias("component"),
         F.when(alone, F.col("_least")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return prints.join(settle(ids), "fingerprint").select(*prints.columns, "component", "component_id")
+    # As long as the table, however small its files are.
+    return prints.join(settle(ids).hint("merge"), "fingerprint").select(*prints.columns, "component", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
