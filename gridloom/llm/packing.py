@@ -283,7 +283,8 @@ def pack(cut: DataFrame, capacity: int = 4096) -> DataFrame:
 
     before = counts.select("length", "_task", (F.sum("_n").over(Window.partitionBy("length").orderBy("_task")) - F.col("_n")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("length", "_task").orderBy("_row")) - 1
-    ranked = rows.withColumn("_inside", inside).join(before, ["length", "_task"])
+    # The counts are many, one of a length and task, in small files; the rows lie in the order of a merge join already.
+    ranked = rows.withColumn("_inside", inside).join(before.hint("merge"), ["length", "_task"])
     placed = ranked.withColumn("_place", places("length", (F.col("_before") + F.col("_inside")).cast("long")))
     return placed.select(*cut.columns, "_place.sequence_id", "_place.offset")
 

@@ -40,6 +40,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"[\p{L}\p{N}]+"
 #: Positions are summed in runs of so many matches.
 RUN = 256
+#: Words listed for texts, in all, up to which Spark may broadcast the lists (some 50 bytes a word).
+LISTED = 100_000
 
 
 def _digits(value: Column) -> Column:
@@ -154,10 +156,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     if candidates.isEmpty():
         return candidates.select("term", F.lit(1.0).alias("share"))
     carriers = near.select("doc", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    # A common word is near many entities: written, the counts meet them in a join that can split it.
+    # A common word is near many entities: written, the counts meet them in a join that can split it. Pairs and
+    # entities are many and their files small, as words and values repeat: Spark would broadcast them.
     words = settle(docs.select(F.explode(F.array_distinct(terms_of(text_of()))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term")))
     total = F.lit(float(docs.count()))
-    scored = candidates.join(carriers, "entity").join(words, "term")
+    scored = candidates.join(carriers.hint("merge"), "entity").join(words.hint("merge"), "term")
     # Several surroundings in one document count the document more than once; a word is in no more than hold it.
     joint = F.least("together", "with_entity", "with_term")
     sure = 1 - F.pow(F.lit(2.0), -F.col("arounds"))
@@ -188,6 +191,9 @@ def find(docs: DataFrame, name: str = "spans") -> DataFrame:
     key = F.xxhash64(text_of())
     held = docs.select(key.alias("_gl_key"), F.explode(F.array_distinct(terms_of(text_of()))).alias("term"))
     listed = settle(held.join(terms, "term").groupBy("_gl_key").agg(F.collect_set(F.struct("term", (F.col("share") >= REMOVAL).alias("gone"))).alias("_gl_terms")))
+    # In a file a word of a list is a byte or two, so that Spark takes long lists to be small.
+    if (listed.agg(F.sum(F.size("_gl_terms"))).first()[0] or 0) > LISTED:
+        listed = listed.hint("merge")
 
     def term_spans(terms: Column) -> Column:
         def named(s: Column) -> Column:

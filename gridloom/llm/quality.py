@@ -122,7 +122,8 @@ def paths(forest, names: list[str]) -> list[Rule]:
 def labelled(stats: DataFrame, labels: DataFrame, learn: Column, rows: int = FIT_ROWS) -> DataFrame:
     """``label, _gl_stats`` of at most ``rows`` labelled rows that satisfy ``learn``; repeated labels count by their mean."""
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    known = stats.where(learn).join(marks, "doc_id")
+    # Labels take a few bytes each in a file and many times that in memory: they are not broadcast.
+    known = stats.where(learn).join(marks.hint("merge"), "doc_id")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     # Most rows beyond the smallest hashes go before the sort, in every task for itself.
     share = 1.25 * rows / max(known.count(), 1)
